@@ -26,7 +26,7 @@ class Check:
     lo: float | None = None
     hi: float | None = None
     where: str | None = None       # optional SQL predicate restricting the checked rows
-    mode: str = "values"           # unique: 'values' = duplicated values (NULLs ignored),
+    mode: str = "values"           # unique (column may be a comma list = composite key): 'values' = duplicated values (NULLs ignored),
                                    #         'rows' = rows minus distinct values (NULL counts as a value)
     label: str | None = None
 
@@ -89,9 +89,13 @@ def run_checks(df: DataFrame, checks: Sequence[Check], table: str = "") -> DataF
             *[_row(table, c, F.col(f"_v{i}")) for i, c in enumerate(row_checks)]))))
     for c in (c for c in checks if c.kind == "unique"):
         src = df.filter(F.expr(c.where)) if c.where else df
-        groups = src.groupBy(c.column).agg(F.count(F.lit(1)).alias("_n"))
+        key = [k.strip() for k in c.column.split(",")]
+        groups = src.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
         if c.mode == "values":
-            v = F.count_if((F.col("_n") > 1) & F.col(c.column).isNotNull())
+            present = F.lit(True)
+            for k in key:
+                present = present & F.col(k).isNotNull()
+            v = F.count_if((F.col("_n") > 1) & present)
         else:
             v = F.sum(F.col("_n") - 1)
         parts.append(groups.agg(v.alias("_v")).select(F.inline(F.array(_row(table, c, F.col("_v"))))))

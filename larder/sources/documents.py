@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from larder.functions.nested import nutrient_columns
 from larder.functions.predicates import cap_filter
+from larder.operators.keys import top_n
+from larder.sources.io import JSON_OPTIONS
 
 DOCUMENT_COLUMNS = ["code", "product_name", "brands", "nutriscore_grade", "nutriscore_score", "nova_group",
                     "environmental_score_grade", "categories_tags", "countries_tags"]
@@ -32,7 +34,7 @@ def document_subset(food: DataFrame, n: int | None = 100_000, max_energy: float
     if nutrients and max_energy is not None:
         df = df.filter(cap_filter("energy_kcal", max_energy))
     if n is not None:
-        df = df.orderBy(F.col("code").asc_nulls_last()).limit(n)
+        df = top_n(df, [F.col("code").asc_nulls_last()], n)
     return df
 
 
@@ -42,9 +44,9 @@ def export_documents(df: DataFrame, path: str, records_per_file: int | None = No
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if records_per_file:
         w = w.option("maxRecordsPerFile", str(records_per_file))
-    w.option("ignoreNullFields", "false").json(path)
+    w.options(**JSON_OPTIONS).option("ignoreNullFields", "false").json(path)
     return int(obs.get["rows"])
 
 
 def read_documents(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).options(**JSON_OPTIONS).json(path)

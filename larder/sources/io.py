@@ -49,9 +49,13 @@ def project_typed(df: DataFrame, spec: Sequence[tuple[str, str, str]]) -> DataFr
 
 
 def read_paths(spark: SparkSession, paths: Sequence[str], path_col: str = "source_file",
-               basename: bool = True, schema: str | StructType | None = None) -> DataFrame:
-    """Read a list of Parquet paths as one table with the source file as a column."""
+               basename: bool = True, schema: str | StructType | None = None,
+               merge_schema: bool = False) -> DataFrame:
+    """Read a list of Parquet paths as one table with the source file as a column.
+    ``merge_schema`` unions differing file schemas (missing columns read as NULL)."""
     reader = spark.read if schema is None else spark.read.schema(schema)
+    if merge_schema:
+        reader = reader.option("mergeSchema", "true")
     df = reader.parquet(*paths)
     src = F.col("_metadata.file_name") if basename else F.col("_metadata.file_path")
     return df.select("*", src.alias(path_col))
@@ -85,8 +89,15 @@ def write_layer(df: DataFrame, base: str, layer: str, name: str, **kw) -> int:
     return write_parquet(df, layer_path(base, layer, name), mode="overwrite", **kw)
 
 
+# JSON text keeps full microsecond timestamps (Spark's default JSON format stops at
+# milliseconds, which would make a JSON copy differ from its source).
+JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def _write(df: DataFrame, fmt: str, path: str, options: dict | None = None, mode: str = "overwrite") -> None:
-    df.write.mode(mode).options(**(options or {})).format(fmt).save(path)
+    opts = {**(JSON_OPTIONS if fmt == "json" else {}), **(options or {})}
+    df.write.mode(mode).options(**opts).format(fmt).save(path)
 
 
 def fan_out(df: DataFrame, sinks: Sequence[tuple[str, str, dict | None]]) -> int:
