@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 # The raw columns the pipeline reads. Passing this narrow schema to the reader
 # prunes the nested ``nutriments`` / ``product_name`` structs to the fields used,
@@ -42,10 +42,24 @@ def read_layer(spark: SparkSession, base: str, layer: str, name: str) -> DataFra
     return spark.read.parquet(layer_path(base, layer, name))
 
 
+_INTEGRAL = {"tinyint", "byte", "smallint", "short", "int", "integer", "bigint", "long"}
+
+
+def typed(df: DataFrame, src: str, typ: str):
+    """``try_cast`` of one column. Text headed for an integer type is first tested
+    against a digits pattern: a failed cast is costly in Spark (an exception per
+    value), the pattern test is not; the answer is the same."""
+    c = F.col(src)
+    cast = c.try_cast(typ)
+    if typ.lower() in _INTEGRAL and isinstance(df.schema[src].dataType, StringType):
+        return F.when(c.rlike(r"^\s*[+-]?[0-9]+\s*$"), cast)
+    return cast
+
+
 def project_typed(df: DataFrame, spec: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Typed projection on read (S3): ``[(source, type, alias), ...]``; values that do not
     convert become NULL (``try_cast``) instead of failing the job."""
-    return df.select(*[F.col(src).try_cast(typ).alias(alias) for src, typ, alias in spec])
+    return df.select(*[typed(df, src, typ).alias(alias) for src, typ, alias in spec])
 
 
 def read_paths(spark: SparkSession, paths: Sequence[str], path_col: str = "source_file",
