@@ -42,15 +42,19 @@ def row_width(df: DataFrame) -> int:
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
-                       max_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows (derived from ``max_bytes``)."""
+                       max_rows: int | None = None, known_rows: int | None = None) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows (derived from ``max_bytes``).
+
+    ``known_rows``: an exact row count already in hand (e.g. observed while the
+    table was written), which saves the counting job.
+    """
     bound = max_rows if max_rows is not None else max(1, max_bytes // row_width(df))
-    n = df.limit(bound + 1).count()
+    n = known_rows if known_rows is not None else df.limit(bound + 1).count()
     return F.broadcast(df) if n <= bound else df
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: str | tuple[str, str], cols: Sequence[str],
-           how: str = "left", check_broadcast: bool = True) -> DataFrame:
+           how: str = "left", check_broadcast: bool = True, dim_rows: int | None = None) -> DataFrame:
     """Attach ``cols`` of ``dim`` by a natural key.
 
     ``on`` is a shared column name or ``(left_name, dim_name)``. Only the key and
@@ -61,7 +65,7 @@ def lookup(df: DataFrame, dim: DataFrame, on: str | tuple[str, str], cols: Seque
     tmp = f"_lk_{dim_key}"
     side = dim.select(F.col(dim_key).alias(tmp), *cols)
     if check_broadcast:
-        side = broadcast_if_small(side)
+        side = broadcast_if_small(side, known_rows=dim_rows)
     joined = df.join(side, F.col(left_key) == F.col(tmp), how)
     return joined.drop(tmp)
 
@@ -73,10 +77,11 @@ def bridge_lookup(df: DataFrame, key: str, bridge: DataFrame, tag: str, dim: Dat
     return lookup(out, dim, (tag, dim_tag or tag), cols)
 
 
-def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, Sequence[str]]]) -> DataFrame:
+def star_join(fact: DataFrame, dims: Sequence[tuple]) -> DataFrame:
     """Inner joins of a fact to dimensions by surrogate key (J5 J6): rows with a
-    missing key drop out. Dimensions are broadcast when the size check allows."""
+    missing key drop out. Dimensions are broadcast when the size check allows.
+    Each entry is ``(dim, key, cols)`` or ``(dim, key, cols, known_rows)``."""
     out = fact
-    for dim, key, cols in dims:
-        out = lookup(out, dim, key, cols, how="inner")
+    for dim, key, cols, *rows in dims:
+        out = lookup(out, dim, key, cols, how="inner", dim_rows=rows[0] if rows else None)
     return out

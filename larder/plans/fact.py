@@ -26,8 +26,11 @@ def fact_columns(v: Variant) -> list[str]:
     return [v.fact_sk, *FKS, *measure_names(v.measure_names), "nutriscore_score"]
 
 
-def fact_nutrition(food: DataFrame, v: Variant, dims: dict[str, DataFrame]) -> DataFrame:
-    """``dims`` needs 'product_wide', 'country', 'category', 'brand' and 'date'."""
+def fact_nutrition(food: DataFrame, v: Variant, dims: dict[str, DataFrame],
+                   rows: dict[str, int] | None = None) -> DataFrame:
+    """``dims`` needs 'product_wide', 'country', 'category', 'brand' and 'date';
+    ``rows`` may give their exact row counts (saves the broadcast size checks)."""
+    rows = rows or {}
     measures = measure_names(v.measure_names)
     countries = S.stg_countries(food, v)
     prod = dims["product_wide"].select("product_code", "product_sk", "_cat_tag", "_brand_key", "_date",
@@ -35,15 +38,16 @@ def fact_nutrition(food: DataFrame, v: Variant, dims: dict[str, DataFrame]) -> D
     # Every country row's code is a product code (both come from raw rows with a code),
     # so this join keeps the row set of either base the sources used.
     fact = countries.join(prod, "product_code", "left")
-    fact = lookup(fact, dims["country"], "country_tag", ["country_sk"])
-    fact = lookup(fact, dims["category"], ("_cat_tag", "category_tag"), ["category_sk"])
+    fact = lookup(fact, dims["country"], "country_tag", ["country_sk"], dim_rows=rows.get("country"))
+    fact = lookup(fact, dims["category"], ("_cat_tag", "category_tag"), ["category_sk"],
+                  dim_rows=rows.get("category"))
     brand_key = "brand_tag" if v.brand_key == "tag" else "brand_name"
-    fact = lookup(fact, dims["brand"], ("_brand_key", brand_key), ["brand_sk"])
+    fact = lookup(fact, dims["brand"], ("_brand_key", brand_key), ["brand_sk"], dim_rows=rows.get("brand"))
     if v.date_key == "smart":
         # the smart key is the date itself; every bridge value is in dim_date by construction
         fact = fact.withColumn("date_sk", F.col("_date").cast("int"))
     else:
-        fact = lookup(fact, dims["date"], ("_date", v.date_col), ["date_sk"])
+        fact = lookup(fact, dims["date"], ("_date", v.date_col), ["date_sk"], dim_rows=rows.get("date"))
     if v.fact_order == "natural":
         order = ["product_code", "country_tag"]
     else:

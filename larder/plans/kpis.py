@@ -19,15 +19,17 @@ def active_products(fact: DataFrame) -> DataFrame:
 
 
 def mean_score(fact: DataFrame, dim_category: DataFrame, dim_brand: DataFrame, dim_country: DataFrame,
-               dim_date: DataFrame, label_col: str = "category_label") -> DataFrame:
+               dim_date: DataFrame, label_col: str = "category_label",
+               rows: dict[str, int | None] | None = None) -> DataFrame:
     """K2: mean score and product count by category, brand, country, year and month.
     Inner joins: fact rows missing any of the four keys drop out."""
     scored = fact.filter(F.col("nutriscore_score").isNotNull()).select(
         "product_sk", "category_sk", "brand_sk", "country_sk", "date_sk", "nutriscore_score")
-    joined = star_join(scored, [(dim_category, "category_sk", [label_col]),
-                                (dim_brand, "brand_sk", ["brand_name"]),
-                                (dim_country, "country_sk", ["country_name"]),
-                                (dim_date, "date_sk", ["year", "month"])])
+    rows = rows or {}
+    joined = star_join(scored, [(dim_category, "category_sk", [label_col], rows.get("dim_category")),
+                                (dim_brand, "brand_sk", ["brand_name"], rows.get("dim_brand")),
+                                (dim_country, "country_sk", ["country_name"], rows.get("dim_country")),
+                                (dim_date, "date_sk", ["year", "month"], rows.get("dim_date"))])
     return joined.groupBy(label_col, "brand_name", "country_name", "year", "month").agg(
         avg_rounded("nutriscore_score", 2).alias("nutriscore_moyen"),
         count_distinct("product_sk").alias("nb_produits"))
@@ -52,10 +54,10 @@ def pct_grade_a(fact: DataFrame, dim_product: DataFrame, per: str = "row") -> Da
 
 
 def mean_salt(fact: DataFrame, dim_category: DataFrame, label_col: str = "category_label",
-              salt_col: str = "salt_100g") -> DataFrame:
+              salt_col: str = "salt_100g", dim_rows: int | None = None) -> DataFrame:
     """K4: mean salt per category label."""
     salted = fact.filter(F.col(salt_col).isNotNull()).select("category_sk", salt_col)
-    joined = lookup(salted, dim_category, "category_sk", [label_col], how="inner")
+    joined = lookup(salted, dim_category, "category_sk", [label_col], how="inner", dim_rows=dim_rows)
     return joined.groupBy(label_col).agg(avg_rounded(salt_col, 4).alias("sel_moyen_g"))
 
 

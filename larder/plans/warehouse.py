@@ -53,7 +53,8 @@ def build_gold(food: DataFrame, v: Variant, out: str) -> Gold:
     t["dim_date"] = _persist(spark, DM.dim_date(food, v), f"{out}/dim_date", rows, "dim_date")
     dims = {"product_wide": wide, "brand": t["dim_brand"], "category": t["dim_category"],
             "country": t["dim_country"], "date": t["dim_date"]}
-    t["fact_nutrition"] = _persist(spark, fact_nutrition(food, v, dims), f"{out}/fact_nutrition", rows,
+    dim_rows = {k: rows[f"dim_{k}"] for k in ("brand", "category", "country", "date")}
+    t["fact_nutrition"] = _persist(spark, fact_nutrition(food, v, dims, dim_rows), f"{out}/fact_nutrition", rows,
                                    "fact_nutrition")
     return Gold(v, t, rows)
 
@@ -62,12 +63,14 @@ def kpis(g: Gold) -> dict[str, DataFrame]:
     v, t = g.variant, g.tables
     label = S.category_label_col(v)
     salt = "salt_100g" if v.measure_names == "100g" else "salt_g"
+    rows = {k: g.rows.get(k) for k in ("dim_category", "dim_brand", "dim_country", "dim_date")}
     return {
         "kpi_active_products": K.active_products(t["fact_nutrition"]),
         "kpi_mean_score": K.mean_score(t["fact_nutrition"], t["dim_category"], t["dim_brand"],
-                                       t["dim_country"], t["dim_date"], label_col=label),
+                                       t["dim_country"], t["dim_date"], label_col=label, rows=rows),
         "kpi_pct_grade_a": K.pct_grade_a(t["fact_nutrition"], t["dim_product"]),
-        "kpi_mean_salt": K.mean_salt(t["fact_nutrition"], t["dim_category"], label_col=label, salt_col=salt),
+        "kpi_mean_salt": K.mean_salt(t["fact_nutrition"], t["dim_category"], label_col=label, salt_col=salt,
+                                     dim_rows=rows["dim_category"]),
         "kpi_completeness": K.completeness(t["fact_nutrition"]),
     }
 
@@ -106,7 +109,7 @@ def run_pipeline(raw: DataFrame, v: Variant, out: str | None = None, audit_path:
     report = _persist(spark, quality_report(g), f"{out}/quality_report", g.rows, "quality_report")
     result["quality_report"] = report
     if audit_path:
-        log_run(spark, audit_path, source_file, out, g.rows["fact_nutrition"], Q.status(report), prefix="DBT")
+        log_run(spark, audit_path, source_file, out, g.rows["fact_nutrition"], Q.status(report), prefix="GOLD")
     return result
 
 

@@ -29,18 +29,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def part_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per part: sorted distinct country tags of its suppliers, last ship time (seconds)."""
+    """Per part: sorted distinct country tags of its suppliers, last ship time (seconds).
+
+    Lines are reduced to one row per (part, nation) on integer keys first
+    (map-side combined); the tags are attached to that small result and
+    gathered per part (at most one entry per nation).
+    """
     nation = _table(spark, sf_dir, "nation").select(
         "n_nationkey", F.concat(F.lit("en:"), F.lower(F.replace(F.col("n_name"), F.lit("_"), F.lit("-"))))
         .alias("tag"))
     supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    sup_tag = supplier.join(broadcast_if_small(nation), supplier.s_nationkey == nation.n_nationkey) \
-                      .select("s_suppkey", "tag")
     lineitem = _table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_shipdate")
-    return (lineitem.join(broadcast_if_small(sup_tag), lineitem.l_suppkey == sup_tag.s_suppkey)
-            .groupBy("l_partkey")
-            .agg(F.sort_array(F.collect_set("tag")).alias("tags"),
-                 F.max(ntz_to_seconds("l_shipdate")).alias("t")))
+    per_nation = (lineitem.join(broadcast_if_small(supplier), lineitem.l_suppkey == supplier.s_suppkey)
+                  .groupBy("l_partkey", "s_nationkey").agg(F.max("l_shipdate").alias("_ship")))
+    tagged = per_nation.join(broadcast_if_small(nation), per_nation.s_nationkey == nation.n_nationkey)
+    return (tagged.groupBy("l_partkey")
+            .agg(F.sort_array(F.collect_list("tag")).alias("tags"), F.max("_ship").alias("_ship"))
+            .select("l_partkey", "tags", ntz_to_seconds("_ship").alias("t")))
 
 
 def food(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The pipeline this library rebuilds is a batch job: a full raw dump is landed,
+then every layer is rebuilt and overwritten (a daily re-run). It has no event
+stream, watermark, window or state, so there is no Structured Streaming job to
+write; a streaming re-run over daily full dumps would also double count.
+The package exists so the layout is uniform; see README.md.
+"""
