@@ -29,6 +29,10 @@ from larder.functions._util import as_col
 from larder.session import ensure_checkpoint_dir
 
 _PART, _POS, _TIE = "_sk_part", "_sk_pos", "_sk_tie"
+
+# Bound for the single-partition numbering of a checked-small table: one task
+# sorts at most this many rows.
+SMALL_KEY_ROWS = 1_000_000
 _LOW_BITS = (1 << 33) - 1
 
 
@@ -41,12 +45,23 @@ def sort_spec(c, descending: bool = False, nulls_last: bool | None = None) -> Co
 
 
 def surrogate_key(df: DataFrame, order: Sequence, name: str, *, unique: bool = True,
-                  partitions: int | None = None, first: bool = True) -> DataFrame:
-    """Add ``name`` = 1..N following ``order`` (a list of column names or sort Columns)."""
+                  partitions: int | None = None, first: bool = True,
+                  small_rows: int | None = None) -> DataFrame:
+    """Add ``name`` = 1..N following ``order`` (a list of column names or sort Columns).
+
+    ``small_rows``: for inputs that are usually small (a dimension of tags), the
+    input is first checkpointed and counted exactly; at or under this bound the
+    numbering is a single-partition ``row_number`` over the checkpoint (fewer
+    jobs), above it the distributed path below runs on the checkpoint.
+    """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [sort_spec(o) if isinstance(o, str) else o for o in order]
+    if small_rows is not None:
+        df = df.checkpoint(eager=True)
+        if df.count() <= small_rows:
+            return small_surrogate_key(df, order, name, first=first)
     cols = df.columns
     if not unique:
         df = df.withColumn(_TIE, F.monotonically_increasing_id())
@@ -70,9 +85,8 @@ def surrogate_key(df: DataFrame, order: Sequence, name: str, *, unique: bool = T
 def small_surrogate_key(df: DataFrame, order: Sequence, name: str, first: bool = True) -> DataFrame:
     """Plain ``row_number`` over a single-partition window.
 
-    Only for tables whose size is bounded by the domain, not by the data
-    (a calendar of days, a list of countries); everything else uses
-    :func:`surrogate_key`.
+    Only for tables whose size is bounded: by the domain (a calendar of days) or
+    by an exact count checked beforehand (``surrogate_key(small_rows=...)``).
     """
     order = [sort_spec(o) if isinstance(o, str) else o for o in order]
     sk = F.row_number().over(Window.orderBy(*order)).cast("bigint").alias(name)

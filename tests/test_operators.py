@@ -101,3 +101,13 @@ def test_quality_checks(spark):
     assert Q.status(report) == "FAILED"
     ok = Q.run_checks(spark.createDataFrame([(1,), (2,)], "sk int"), [Q.unique("sk"), Q.not_null("sk")], "t")
     assert Q.status(ok) == "SUCCESS"
+
+
+def test_surrogate_key_small_path_equals_range_path(spark):
+    rows = [(f"t{i % 97:03d}", i) for i in range(500)]
+    df = spark.createDataFrame(rows, "k string, i int")
+    order = ["k", F.col("i").desc()]
+    a = K.surrogate_key(df, order, "sk", partitions=4)
+    b = K.surrogate_key(df, order, "sk", small_rows=1000)
+    c = K.surrogate_key(df, order, "sk", small_rows=10, partitions=4)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(c).count() == 0 and a.count() == 500
