@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.config import VARIANT_A, VARIANT_B, Variant
+from larder.config import DEFAULT, VARIANT_A, VARIANT_B, Variant
 from larder.functions.dates import ntz_to_seconds  # noqa: F401  (re-exported for users)
 from larder.operators import quality as Q
 from larder.operators.dedup import latest_per_key
@@ -286,6 +286,11 @@ QUERIES: dict[str, Query] = {
     "kpi_mean_salt": _kpi("kpi_mean_salt"),
     "kpi_completeness": _kpi("kpi_completeness"),
     "dq_report": dq_report,
+    "dim_brand_default": _gold_table("dim_brand", DEFAULT),
+    "dim_category_default": _gold_table("dim_category", DEFAULT),
+    "dim_date_default": _gold_table("dim_date", DEFAULT),
+    "fact_nutrition_default": _gold_table("fact_nutrition", DEFAULT),
+    "kpi_mean_score_default": _kpi("kpi_mean_score", DEFAULT),
     "document_subset": document_subset,
     "document_roundtrip": document_roundtrip,
     "star_join_sales": star_join_sales,

@@ -202,6 +202,51 @@ CTE = {
         FROM fact_rows_b""",
 }
 
+CTE.update({
+    # ---- the recommended DEFAULT configuration
+    "stg_brands_d": f"""SELECT product_code, max({{'t': brand_tag, 'n': brand_name}}).t AS brand_tag,
+        max({{'t': brand_tag, 'n': brand_name}}).n AS brand_name FROM (
+        SELECT code AS product_code, lower(trim(brands_tags[1])) AS brand_tag,
+               {_sentence("trim(string_split(brands, ',')[1])")} AS brand_name FROM food WHERE code IS NOT NULL) r
+        WHERE brand_name IS NOT NULL AND brand_name != '' GROUP BY product_code""",
+    "stg_categories_d": f"""SELECT product_code, category_tag, category_label FROM (
+        SELECT code AS product_code, lower(trim(categories_tags[1])) AS category_tag,
+               {_sentence("trim(string_split(categories, ',')[1])")} AS category_label FROM food WHERE code IS NOT NULL) r
+        WHERE category_tag IS NOT NULL AND category_tag != ''""",
+    "stg_date_d": f"""SELECT product_code, d AS date_value, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_sk,
+        CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
+        CAST(isodow(d) AS INTEGER) AS day_of_week, CAST(floor(year(d) / 10) * 10 AS INTEGER) AS decade,
+        isodow(d) IN (6, 7) AS is_weekend
+        FROM (SELECT code AS product_code, max({_day('last_modified_t')}) AS d FROM food
+              WHERE code IS NOT NULL AND last_modified_t IS NOT NULL GROUP BY code) b""",
+    "nutrition_d": "SELECT product_code, " + ", ".join(M_A) + ", nutriscore_score FROM ("
+        + "SELECT *, row_number() OVER (PARTITION BY product_code ORDER BY last_modified_t DESC NULLS LAST, "
+        + ", ".join(f"{m} DESC NULLS LAST" for m in M_A)
+        + ", nutriscore_score DESC NULLS LAST) AS rn FROM stg_nutrition_rows_a) k WHERE rn = 1",
+    "dim_brand_d": """SELECT CAST(row_number() OVER (ORDER BY brand_tag) AS BIGINT) AS brand_sk, brand_tag, brand_name
+        FROM (SELECT brand_tag, max(brand_name) AS brand_name FROM stg_brands_d WHERE brand_tag IS NOT NULL
+              GROUP BY brand_tag) d""",
+    "dim_category_d": """SELECT CAST(row_number() OVER (ORDER BY category_tag) AS BIGINT) AS category_sk, category_tag,
+        category_label FROM (SELECT category_tag, max(category_label) AS category_label FROM stg_categories_d
+        GROUP BY category_tag) d""",
+    "dim_date_d": """SELECT DISTINCT date_sk, date_value, decade, year, quarter, month, day_of_week, is_weekend
+        FROM stg_date_d""",
+    "fact_nutrition_d": "SELECT CAST(row_number() OVER (ORDER BY c.product_code, c.country_tag) AS BIGINT) AS nutrition_sk,"
+        " p.product_sk, dc.category_sk, db.brand_sk, dco.country_sk, du.date_sk, "
+        + ", ".join(f"n.{m}" for m in M_A) + ", n.nutriscore_score"
+        + """ FROM stg_countries_b c
+        LEFT JOIN nutrition_d n ON c.product_code = n.product_code
+        LEFT JOIN dim_product_a p ON c.product_code = p.product_code
+        LEFT JOIN dim_country_b dco ON c.country_tag = dco.country_tag
+        LEFT JOIN (SELECT product_code, max(category_tag) AS category_tag FROM stg_categories_d GROUP BY product_code) cu
+          ON c.product_code = cu.product_code
+        LEFT JOIN dim_category_d dc ON cu.category_tag = dc.category_tag
+        LEFT JOIN stg_brands_d bu ON c.product_code = bu.product_code
+        LEFT JOIN dim_brand_d db ON bu.brand_tag = db.brand_tag
+        LEFT JOIN stg_date_d du ON c.product_code = du.product_code""",
+})
+
+
 # Which CTEs each one reads (besides the views), so a query includes only what it needs.
 DEPS = {
     "stg_products_a": ["food"], "stg_brands_a": ["food"], "stg_categories_a": ["food"],
@@ -221,6 +266,11 @@ DEPS = {
     "fact_rows_b": ["stg_nutrition_latest", "stg_countries_b", "dim_product_b", "stg_categories_b",
                     "dim_category_b", "stg_brands_b", "dim_brand_b", "dim_country_b", "dim_date_b"],
     "fact_nutrition_b": ["fact_rows_b"],
+    "stg_brands_d": ["food"], "stg_categories_d": ["food"], "stg_date_d": ["food"],
+    "nutrition_d": ["stg_nutrition_rows_a"], "dim_brand_d": ["stg_brands_d"],
+    "dim_category_d": ["stg_categories_d"], "dim_date_d": ["stg_date_d"],
+    "fact_nutrition_d": ["stg_countries_b", "nutrition_d", "dim_product_a", "dim_country_b", "stg_categories_d",
+                         "dim_category_d", "stg_brands_d", "dim_brand_d", "stg_date_d"],
 }
 
 
@@ -366,6 +416,21 @@ ORACLES: dict[str, str] = {
     "kpi_completeness": with_ctes(["fact_nutrition_a"], """SELECT round(100.0::DOUBLE * count(nutriscore_score)
         / nullif(count(*), 0), 2) AS taux_completude_nutriscore FROM fact_nutrition_a"""),
     "dq_report": _dq_report(),
+    "dim_brand_default": model("dim_brand_d"),
+    "dim_category_default": model("dim_category_d"),
+    "dim_date_default": model("dim_date_d"),
+    "fact_nutrition_default": model("fact_nutrition_d"),
+    "kpi_mean_score_default": with_ctes(["fact_nutrition_d", "dim_category_d", "dim_brand_d", "dim_country_b",
+                                         "dim_date_d"], """SELECT dc.category_label, db.brand_name, dco.country_name,
+        dd.year, dd.month, round(avg(fn.nutriscore_score), 2) AS nutriscore_moyen,
+        CAST(count(DISTINCT fn.product_sk) AS BIGINT) AS nb_produits
+        FROM fact_nutrition_d fn
+        JOIN dim_category_d dc ON fn.category_sk = dc.category_sk
+        JOIN dim_brand_d db ON fn.brand_sk = db.brand_sk
+        JOIN dim_country_b dco ON fn.country_sk = dco.country_sk
+        JOIN dim_date_d dd ON fn.date_sk = dd.date_sk
+        WHERE fn.nutriscore_score IS NOT NULL
+        GROUP BY dc.category_label, db.brand_name, dco.country_name, dd.year, dd.month"""),
     "document_subset": DOCUMENTS,
     "document_roundtrip": DOCUMENTS,
     "star_join_sales": """SELECT r_name, n_name, CAST(year(o_orderdate) AS INTEGER) AS order_year,
