@@ -4,6 +4,7 @@
 
 1. range-partition on the order (Spark samples the keys for the cut points) and
    sort inside each partition;
+   (AQE may merge adjacent small ranges; order is kept)
 2. tag each row with its partition id and its position inside the partition
    (``monotonically_increasing_id`` = partition id << 33 | position);
 3. checkpoint to the shared folder: the placement is now fixed, so the counts
@@ -56,7 +57,6 @@ def surrogate_key(df: DataFrame, order: Sequence, name: str, *, unique: bool = T
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [sort_spec(o) if isinstance(o, str) else o for o in order]
     if small_rows is not None:
         df = df.checkpoint(eager=True)
@@ -66,8 +66,10 @@ def surrogate_key(df: DataFrame, order: Sequence, name: str, *, unique: bool = T
     if not unique:
         df = df.withColumn(_TIE, F.monotonically_increasing_id())
         order = [*order, F.col(_TIE).asc()]
-    placed = (df.repartitionByRange(n, *order)
-                .sortWithinPartitions(*order)
+    # Without an explicit count AQE sizes the ranges (adjacent small ranges are merged,
+    # keeping their order), so partitions follow the data volume.
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    placed = (ranged.sortWithinPartitions(*order)
                 .withColumn(_PART, F.spark_partition_id())
                 .withColumn(_POS, F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))))
     placed = placed.checkpoint(eager=True)
