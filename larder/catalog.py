@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.config import DEFAULT, VARIANT_A, VARIANT_B, Variant
-from larder.functions.dates import ntz_to_seconds  # noqa: F401  (re-exported for users)
 from larder.operators import quality as Q
 from larder.operators.dedup import latest_per_key
 from larder.operators.joins import broadcast_if_small, lookup

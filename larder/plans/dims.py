@@ -17,7 +17,7 @@ from larder.config import Variant
 from larder.functions import dates as D
 from larder.functions.nested import measure_names, nutrient_columns
 from larder.functions.text import nonempty, prettify_tag, tag_name_offset
-from larder.operators.dedup import max_row
+from larder.operators.dedup import collapse_max, first_nonnull, max_row
 from larder.operators.keys import SMALL_KEY_ROWS, small_surrogate_key, surrogate_key
 from larder.plans import staging as S
 
@@ -49,8 +49,7 @@ def product_summary(food: DataFrame, v: Variant) -> DataFrame:
         *nutrient_columns("nutriments", style=v.measure_names),
         F.when(S.category_row_filter(v), S.category_tag_expr(v)).alias("_cat_row"),
         *[F.col(c) for c in ("brands", "brands_tags")])
-    aggs = [max_row([t], attrs).alias("_attrs"),
-            F.max(F.when(F.col("_cat_row").isNotNull(), F.col("_cat_row"))).alias("_cat_tag")]
+    aggs = [max_row([t], attrs).alias("_attrs"), F.max("_cat_row").alias("_cat_tag")]
     # brand bridge is computed from the raw brand columns kept above
     aggs.append(brand_bridge_expr(v).alias("_brand_key"))
     aggs.append(F.max(D.date_key(d) if v.date_key == "smart" else d).alias("_date"))
@@ -83,12 +82,11 @@ def dim_product(food: DataFrame, v: Variant) -> DataFrame:
 def dim_brand(food: DataFrame, v: Variant) -> DataFrame:
     stg = S.stg_brands(food, v)
     if v.brand_key == "tag":
-        d = stg.filter(F.col("brand_tag").isNotNull()).groupBy("brand_tag").agg(
-            F.max("brand_name").alias("brand_name"))
+        d = collapse_max(stg.filter(F.col("brand_tag").isNotNull()), "brand_tag", ["brand_name"])
         return surrogate_key(d, ["brand_tag"], "brand_sk", small_rows=SMALL_KEY_ROWS).select(
             "brand_sk", "brand_tag", "brand_name")
     # keyed by name; the smallest tag stands in for "first non-NULL tag" so the result is stable
-    d = stg.filter(nonempty("brand_name")).groupBy("brand_name").agg(F.min("brand_tag").alias("brand_tag"))
+    d = first_nonnull(stg.filter(nonempty("brand_name")), "brand_name", "brand_tag")
     return surrogate_key(d, ["brand_name"], "brand_sk", small_rows=SMALL_KEY_ROWS).select(
         "brand_sk", "brand_name", "brand_tag")
 
@@ -99,7 +97,7 @@ def dim_category(food: DataFrame, v: Variant) -> DataFrame:
     label = S.category_label_col(v)
     stg = S.stg_categories(food, v)
     keep = nonempty("category_tag") if v.category_drop_empty else F.col("category_tag").isNotNull()
-    d = stg.filter(keep).groupBy("category_tag").agg(F.max(label).alias(label))
+    d = collapse_max(stg.filter(keep), "category_tag", [label])
     return surrogate_key(d, ["category_tag"], "category_sk", small_rows=SMALL_KEY_ROWS).select(
         "category_sk", "category_tag", label)
 

@@ -16,7 +16,7 @@ from larder.functions import dates as D
 from larder.functions.nested import first_item, first_text, measure_names, name_with_fallback, nutrient_columns
 from larder.functions.predicates import allow_or_null
 from larder.functions.text import apply_case, clean_tag, first_of_list, nonempty, sentence_case
-from larder.operators.dedup import latest_per_key
+from larder.operators.dedup import collapse_max, latest_per_key
 
 # Accepted nutrition grades.
 GRADES = ["a", "b", "c", "d", "e"]
@@ -73,8 +73,7 @@ def stg_brands(food: DataFrame, v: Variant) -> DataFrame:
     if v.brand_collapse == "none":
         return rows
     if v.brand_collapse == "independent":
-        return rows.groupBy("product_code").agg(F.max("brand_name").alias("brand_name"),
-                                                F.max("brand_tag").alias("brand_tag"))
+        return collapse_max(rows, "product_code", ["brand_name", "brand_tag"])
     if v.brand_collapse == "row":
         pair = F.max(F.struct("brand_tag", "brand_name")).alias("_b")
         return rows.groupBy("product_code").agg(pair).select(
@@ -111,8 +110,7 @@ def stg_categories(food: DataFrame, v: Variant) -> DataFrame:
                 .select(_code().alias("product_code"), category_tag_expr(v).alias("category_tag"),
                         category_label_expr(v).alias(label)))
     if v.category_collapse:
-        return rows.groupBy("product_code").agg(F.max("category_tag").alias("category_tag"),
-                                                F.max(label).alias(label))
+        return collapse_max(rows, "product_code", ["category_tag", label])
     return rows
 
 
@@ -175,8 +173,7 @@ def stg_nutrition(food: DataFrame, v: Variant, collapse: bool = True) -> DataFra
     if not collapse:
         return rows
     if v.nutrition == "max":
-        return rows.groupBy("product_code").agg(
-            *[F.max(m).alias(m) for m in [*measures, "nutriscore_score", "last_modified_t"]])
+        return collapse_max(rows, "product_code", [*measures, "nutriscore_score", "last_modified_t"])
     latest = latest_per_key(rows, "product_code", ["last_modified_t"],
                             payload=[*measures, "nutriscore_score", "last_modified_t"])
     return latest.select("product_code", *measures, "nutriscore_score",
