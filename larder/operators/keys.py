@@ -95,22 +95,22 @@ def small_surrogate_key(df: DataFrame, order: Sequence, name: str, first: bool =
     return df.select(sk, *df.columns) if first else df.select(*df.columns, sk)
 
 
-# Above this many candidate rows (partitions x n) the first n rows are found by
-# ranking instead of Spark's per-partition top-n + single-task merge.
-TOP_N_MERGE_BOUND = 20_000_000
+# Largest n answered by Spark's own top-n (a per-partition top-n, then one task
+# merging n rows per partition). Above it the first n rows are found by ranking,
+# whose cost does not depend on the number of partitions.
+TOP_N_SMALL = 10_000
 
 
-def top_n(df: DataFrame, order: Sequence, n: int, partitions: int | None = None) -> DataFrame:
+def top_n(df: DataFrame, order: Sequence, n: int) -> DataFrame:
     """First ``n`` rows by ``order`` (ties broken by the remaining columns).
 
-    Small ``n``: ``orderBy().limit()`` (a top-n per partition, merged in one task).
-    When partitions x n would make that merge large, rank with the distributed
-    surrogate key and keep rank <= n instead.
+    Small ``n``: ``orderBy().limit()``. Large ``n`` (e.g. an export cap of 100 000):
+    rank with the distributed surrogate key and keep rank <= n, so no single task
+    ever merges partitions x n rows.
     """
     order = [sort_spec(o) if isinstance(o, str) else o for o in order]
     full = [*order, *[F.col(c).asc_nulls_last() for c in df.columns]]
-    parts = partitions or max(df.rdd.getNumPartitions(), 1)
-    if n * parts <= TOP_N_MERGE_BOUND:
+    if n <= TOP_N_SMALL:
         return df.orderBy(*full).limit(n)
     ranked = surrogate_key(df, full, "_top_rank", unique=False, first=False)
     return ranked.filter(F.col("_top_rank") <= n).drop("_top_rank")

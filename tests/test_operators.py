@@ -58,7 +58,7 @@ def test_surrogate_key_with_ties_and_hot_key(spark):
 def test_top_n_both_paths(spark, monkeypatch):
     df = spark.createDataFrame([(i % 50, i) for i in range(1000)], "a int, b int")
     small = {tuple(r) for r in K.top_n(df, ["a"], 30).collect()}
-    monkeypatch.setattr(K, "TOP_N_MERGE_BOUND", 1)
+    monkeypatch.setattr(K, "TOP_N_SMALL", 1)
     ranked = {tuple(r) for r in K.top_n(df, ["a"], 30).collect()}
     exp = {(a, b) for a, b in sorted([(i % 50, i) for i in range(1000)])[:30]}
     assert small == ranked == exp
