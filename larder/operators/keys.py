@@ -60,7 +60,7 @@ def surrogate_key(df: DataFrame, order: Sequence, name: str, *, unique: bool = T
     order = [sort_spec(o) if isinstance(o, str) else o for o in order]
     if small_rows is not None:
         df = df.checkpoint(eager=True)
-        if df.count() <= small_rows:
+        if df.limit(small_rows + 1).count() <= small_rows:
             return small_surrogate_key(df, order, name, first=first)
     cols = df.columns
     if not unique:
