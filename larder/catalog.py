@@ -114,12 +114,21 @@ def dq_report(spark, sf):
     return report.unionByName(li)
 
 
+def dq_report_b(spark, sf):
+    return W.quality_report(_gold(spark, sf, VARIANT_B), unique_mode="rows")
+
+
 # ---- documents ----------------------------------------------------------------------------
 
 def document_subset(spark, sf):
     return _jsonify(DOC.document_subset(load_food(spark, sf)))
 
 
+def document_subset_basic(spark, sf):
+    """The subset without nutrients and without the energy cap."""
+    return _jsonify(DOC.document_subset(load_food(spark, sf), nutrients=False))
+
+
 def document_roundtrip(spark, sf):
     docs = DOC.document_subset(load_food(spark, sf))
     path = _scratch(spark, "documents")
@@ -290,7 +299,9 @@ QUERIES: dict[str, Query] = {
     "dim_date_default": _gold_table("dim_date", DEFAULT),
     "fact_nutrition_default": _gold_table("fact_nutrition", DEFAULT),
     "kpi_mean_score_default": _kpi("kpi_mean_score", DEFAULT),
+    "dq_report_b": dq_report_b,
     "document_subset": document_subset,
+    "document_subset_basic": document_subset_basic,
     "document_roundtrip": document_roundtrip,
     "star_join_sales": star_join_sales,
     "latest_event_per_user": latest_event_per_user,

@@ -339,6 +339,36 @@ def _check(table: str, kind: str, col: str, *, label: str | None = None, values=
     return head + f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS violations FROM {table}"
 
 
+def _dq_report_b() -> str:
+    u = {"mode": "rows"}
+    checks = [
+        ("dim_product_b", "unique", "product_sk", u), ("dim_product_b", "not_null", "product_sk", {}),
+        ("dim_product_b", "not_null", "product_code", {}),
+        ("dim_product_b", "accepted_values", "nutriscore_grade",
+         {"values": ("a", "b", "c", "d", "e"), "where": "nutriscore_grade IS NOT NULL"}),
+        ("dim_category_b", "unique", "category_sk", u), ("dim_category_b", "not_null", "category_sk", {}),
+        ("dim_category_b", "not_null", "category_tag", {}),
+        ("dim_brand_b", "unique", "brand_sk", u), ("dim_brand_b", "not_null", "brand_sk", {}),
+        ("dim_brand_b", "not_null", "brand_tag", {}),
+        ("dim_country_b", "unique", "country_sk", u), ("dim_country_b", "not_null", "country_sk", {}),
+        ("dim_country_b", "not_null", "country_tag", {}),
+        ("dim_date_b", "unique", "date_sk", u), ("dim_date_b", "not_null", "date_sk", {}),
+        ("dim_date_b", "not_null", "full_date", {}),
+        ("fact_nutrition_b", "unique", "nutrition_fact_sk", u),
+        ("fact_nutrition_b", "not_null", "nutrition_fact_sk", {}),
+        *[("fact_nutrition_b", "not_null", c, {}) for c in
+          ("product_sk", "category_sk", "brand_sk", "country_sk", "date_sk")],
+        ("fact_nutrition_b", "at_least", "energy_kcal", {"lo": 0}),
+        ("fact_nutrition_b", "at_least", "salt_g", {"lo": 0}),
+        ("fact_nutrition_b", "in_range", "nutriscore_score", {"lo": -15, "hi": 40}),
+    ]
+    parts = [_check(t, k, c, **kw) for t, k, c, kw in checks]
+    body = ("SELECT substr(table_name, 1, length(table_name) - 2) AS table_name, check_name, column_name, "
+            "violations, violations = 0 AS passed FROM (" + "\nUNION ALL ".join(parts) + ") r")
+    return with_ctes(["dim_product_b", "dim_category_b", "dim_brand_b", "dim_country_b", "dim_date_b",
+                      "fact_nutrition_b"], body)
+
+
 def _dq_report() -> str:
     checks = [
         ("dim_product_a", "unique", "product_sk", {}), ("dim_product_a", "not_null", "product_sk", {}),
@@ -416,6 +446,11 @@ ORACLES: dict[str, str] = {
     "kpi_completeness": with_ctes(["fact_nutrition_a"], """SELECT round(100.0::DOUBLE * count(nutriscore_score)
         / nullif(count(*), 0), 2) AS taux_completude_nutriscore FROM fact_nutrition_a"""),
     "dq_report": _dq_report(),
+    "dq_report_b": _dq_report_b(),
+    "document_subset_basic": with_ctes(["food"], "SELECT code, to_json(product_name) AS product_name, brands, "
+        "nutriscore_grade, nutriscore_score, nova_group, environmental_score_grade, "
+        "to_json(categories_tags) AS categories_tags, to_json(countries_tags) AS countries_tags "
+        "FROM food WHERE nutriscore_grade IS NOT NULL ORDER BY code NULLS LAST, brands NULLS LAST LIMIT 100000"),
     "dim_brand_default": model("dim_brand_d"),
     "dim_category_default": model("dim_category_d"),
     "dim_date_default": model("dim_date_d"),

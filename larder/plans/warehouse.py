@@ -95,25 +95,33 @@ def kpis(g: Gold) -> dict[str, DataFrame]:
     }
 
 
-def quality_suite(v: Variant) -> dict[str, list[Q.Check]]:
-    """The checks both sources declare on the gold tables."""
+def quality_suite(v: Variant, unique_mode: str = "values") -> dict[str, list[Q.Check]]:
+    """The checks both sources declare on the gold tables.
+
+    ``unique_mode``: 'values' counts duplicated values (NULLs ignored, as the SQL
+    source's tests do); 'rows' counts rows minus distinct values (the DataFrame
+    source's tests)."""
     date_col = v.date_col
+
+    def unique(col: str) -> Q.Check:
+        return Q.unique(col, mode=unique_mode)
+
     return {
-        "dim_product": [Q.unique("product_sk"), Q.not_null("product_sk"), Q.not_null("product_code"),
+        "dim_product": [unique("product_sk"), Q.not_null("product_sk"), Q.not_null("product_code"),
                         Q.accepted_values("nutriscore_grade", S.GRADES, where="nutriscore_grade IS NOT NULL")],
-        "dim_category": [Q.unique("category_sk"), Q.not_null("category_sk"), Q.not_null("category_tag")],
-        "dim_brand": [Q.unique("brand_sk"), Q.not_null("brand_sk"), Q.not_null("brand_tag")],
-        "dim_country": [Q.unique("country_sk"), Q.not_null("country_sk"), Q.not_null("country_tag")],
-        "dim_date": [Q.unique("date_sk"), Q.not_null("date_sk"), Q.not_null(date_col)],
-        "fact_nutrition": [Q.unique(v.fact_sk), Q.not_null(v.fact_sk), *[Q.not_null(c) for c in FKS],
+        "dim_category": [unique("category_sk"), Q.not_null("category_sk"), Q.not_null("category_tag")],
+        "dim_brand": [unique("brand_sk"), Q.not_null("brand_sk"), Q.not_null("brand_tag")],
+        "dim_country": [unique("country_sk"), Q.not_null("country_sk"), Q.not_null("country_tag")],
+        "dim_date": [unique("date_sk"), Q.not_null("date_sk"), Q.not_null(date_col)],
+        "fact_nutrition": [unique(v.fact_sk), Q.not_null(v.fact_sk), *[Q.not_null(c) for c in FKS],
                            Q.at_least("energy_kcal", 0),
                            Q.at_least("salt_100g" if v.measure_names == "100g" else "salt_g", 0),
                            Q.in_range("nutriscore_score", -15, 40)],
     }
 
 
-def quality_report(g: Gold) -> DataFrame:
-    return Q.run_suite(g.tables, quality_suite(g.variant))
+def quality_report(g: Gold, unique_mode: str = "values") -> DataFrame:
+    return Q.run_suite(g.tables, quality_suite(g.variant, unique_mode))
 
 
 def run_pipeline(raw: DataFrame, v: Variant, out: str | None = None, audit_path: str | None = None,
