@@ -125,19 +125,29 @@ def quality_report(g: Gold, unique_mode: str = "values") -> DataFrame:
 
 
 def run_pipeline(raw: DataFrame, v: Variant, out: str | None = None, audit_path: str | None = None,
-                 source_file: str = "food") -> dict[str, DataFrame]:
-    """Whole run. Returns gold tables, KPI tables (written too) and the quality report;
-    appends one audit row whose status is FAILED when a check fails (soft failure)."""
+                 source_file: str = "food", parallel: int = 6) -> dict[str, DataFrame]:
+    """Whole run. Returns gold tables, KPI tables and the quality report (all written
+    under ``out``); appends one audit row whose status is FAILED when a check fails
+    (a soft failure: the run still completes). The KPI tables and the report are
+    independent and are written concurrently."""
     spark = raw.sparkSession
     out = out or work_dir(spark, "gold", v.name)
-    g = build_gold(raw, v, out)
+    g = build_gold(raw, v, out, parallel=min(parallel, 5))
     result = {k: v_ for k, v_ in g.tables.items() if k != "product_wide"}
-    for name, df in kpis(g).items():
-        result[name] = _persist(spark, df, f"{out}/{name}", g.rows, name)
-    report = _persist(spark, quality_report(g), f"{out}/quality_report", g.rows, "quality_report")
-    result["quality_report"] = report
+    finals = {**kpis(g), "quality_report": quality_report(g)}
+
+    def write(item: tuple[str, DataFrame]) -> tuple[str, DataFrame]:
+        name, df = item
+        return name, _persist(spark, df, f"{out}/{name}", g.rows, name)
+
+    if parallel > 1:
+        with ThreadPoolExecutor(max_workers=parallel, thread_name_prefix="gold-out") as pool:
+            result.update(dict(pool.map(write, finals.items())))
+    else:
+        result.update(dict(map(write, finals.items())))
     if audit_path:
-        log_run(spark, audit_path, source_file, out, g.rows["fact_nutrition"], Q.status(report), prefix="GOLD")
+        log_run(spark, audit_path, source_file, out, g.rows["fact_nutrition"], Q.status(result["quality_report"]),
+                prefix="GOLD")
     return result
 
 
