@@ -66,7 +66,11 @@ def read_paths(spark: SparkSession, paths: Sequence[str], path_col: str = "sourc
                basename: bool = True, schema: str | StructType | None = None,
                merge_schema: bool = False) -> DataFrame:
     """Read a list of Parquet paths as one table with the source file as a column.
-    ``merge_schema`` unions differing file schemas (missing columns read as NULL)."""
+    Blank entries in the list are skipped. ``merge_schema`` unions differing file
+    schemas (missing columns read as NULL)."""
+    paths = [p for p in paths if p and p.strip()]
+    if not paths:
+        raise ValueError("no paths to read")
     reader = spark.read if schema is None else spark.read.schema(schema)
     if merge_schema:
         reader = reader.option("mergeSchema", "true")

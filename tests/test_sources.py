@@ -96,3 +96,23 @@ def test_run_pipeline_writes_everything_and_audits(spark, tmpdir_session, v):
     assert report[("fact_nutrition", "unique", v.fact_sk)] == 0
     audit = AU.read_audit(spark, f"{out}/pipeline_logs").collect()
     assert len(audit) == 1 and audit[0].statut == "FAILED" and audit[0].nb_lignes_output == fact.count()
+
+
+def test_command_line_land_and_run(spark, tmpdir_session, capsys):
+    import json
+
+    from larder.__main__ import main
+    src = f"{tmpdir_session}/cli_food"
+    load_food(spark, SF).write.mode("overwrite").parquet(src)
+    assert main(["land", "--source", src, "--base", f"{tmpdir_session}/cli_raw", "--fixed-name"]) == 0
+    landed = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert landed["verified"] and landed["path"].endswith("/food.parquet")
+    assert main(["run", "--raw", landed["path"], "--out", f"{tmpdir_session}/cli_gold", "--variant", "b"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["failed_checks"] > 0   # NULL foreign keys in the test data, as in the source
+    assert spark.read.parquet(f"{tmpdir_session}/cli_gold/kpi_mean_score").count() > 0
+
+
+def test_read_paths_skips_blank_entries(spark):
+    df = IO.read_paths(spark, [f"{SF}/region.parquet", "", "  "])
+    assert df.count() == 5
