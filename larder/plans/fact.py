@@ -35,9 +35,10 @@ def fact_nutrition(food: DataFrame, v: Variant, dims: dict[str, DataFrame],
     countries = S.stg_countries(food, v)
     prod = dims["product_wide"].select("product_code", "product_sk", "_cat_tag", "_brand_key", "_date",
                                        *measures, "nutriscore_score")
-    # Every country row's code is a product code (both come from raw rows with a code),
-    # so this join keeps the row set of either base the sources used.
-    fact = countries.join(prod, "product_code", "left")
+    # 'countries': countries LEFT JOIN everything; 'nutrition_inner': nutrition INNER JOIN
+    # countries. Every country row's code is a product code (both come from raw rows with
+    # a code), so both keep the same rows.
+    fact = countries.join(prod, "product_code", "inner" if v.fact_base == "nutrition_inner" else "left")
     fact = lookup(fact, dims["country"], "country_tag", ["country_sk"], dim_rows=rows.get("country"))
     fact = lookup(fact, dims["category"], ("_cat_tag", "category_tag"), ["category_sk"],
                   dim_rows=rows.get("category"))
