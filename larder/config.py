@@ -44,10 +44,38 @@ class Variant:
     fact_order: str = "natural"          # 'natural': (product_code, country_tag) | 'fks': five FKs nulls first
     fact_sk: str = "nutrition_sk"
 
+    def __post_init__(self) -> None:
+        for name, allowed in _CHOICES.items():
+            value = getattr(self, name)
+            if value not in allowed:
+                raise ValueError(f"Variant.{name}={value!r}; expected one of {sorted(allowed)}")
+
     def with_(self, **kw) -> "Variant":
         return replace(self, **kw)
 
 
+_CHOICES = {
+    "brand_case": {"sentence", "upper", "lower", "none"},
+    "brand_filter": {"raw", "trimmed"},
+    "brand_collapse": {"none", "row", "independent"},
+    "brand_key": {"tag", "name"},
+    "category_label": {"first_text", "from_tag"},
+    "country_name": {"pretty", "offset"},
+    "country_filter": {"raw", "clean"},
+    "date_rows": {"per_row", "latest"},
+    "weekday": {"iso", "sunday"},
+    "date_key": {"smart", "dense"},
+    "date_col": {"date_value", "full_date"},
+    "nutrition": {"max", "latest"},
+    "measure_names": {"100g", "g"},
+    "product_name": {"main_fallback", "first"},
+    "product_quantity_col": {"product_quantity", "quantity"},
+    "fact_base": {"countries", "nutrition_inner"},
+    "fact_order": {"natural", "fks"},
+    "fact_sk": {"nutrition_sk", "nutrition_fact_sk"},
+}
+
+
 VARIANT_A = Variant(
     name="a", brand_case="sentence", brand_filter="raw", brand_collapse="none", brand_key="tag",
     category_lower=True, category_drop_empty=False, category_label="first_text", category_collapse=False,

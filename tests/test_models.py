@@ -93,3 +93,9 @@ def test_dim_country_names(spark):
     b = {r.country_tag: r.country_name for r in DM.dim_country(food, VARIANT_B).collect()}
     assert a == {"en:united-states": "United-states", "fra:cafe": ":cafe"}
     assert b == {"en:united-states": "United States", "fra:cafe": "Fra:cafe"}
+
+
+def test_variant_rejects_unknown_values():
+    with pytest.raises(ValueError):
+        DEFAULT.with_(weekday="monday")
+    assert VARIANT_B.with_(weekday="iso").weekday == "iso"
