@@ -27,6 +27,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--out", required=True, help="folder for the gold tables")
     run.add_argument("--variant", default="default", choices=sorted(VARIANTS))
     run.add_argument("--audit", default=None, help="audit table folder (appended)")
+    run.add_argument("--silver", default=None, help="also write the six staging tables to this folder")
     land = sub.add_parser("land", help="copy a raw dump to food/food_YYYYMMDD.parquet and check it")
     land.add_argument("--source", required=True)
     land.add_argument("--base", required=True)
@@ -36,7 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session("larder")
     if args.cmd == "run":
         res = run_pipeline(read_raw(spark, args.raw), VARIANTS[args.variant], out=args.out,
-                           audit_path=args.audit, source_file=args.raw)
+                           audit_path=args.audit, source_file=args.raw, silver=args.silver)
         failed = res["quality_report"].filter("NOT passed").count()
         print(json.dumps({"out": args.out, "variant": args.variant, "failed_checks": failed}))
     else:

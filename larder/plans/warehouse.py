@@ -39,13 +39,21 @@ def _persist(spark: SparkSession, df: DataFrame, path: str, rows: dict, name: st
     return spark.read.parquet(path)
 
 
-def build_gold(food: DataFrame, v: Variant, out: str, parallel: int = 5) -> Gold:
+def silver_tables(food: DataFrame, v: Variant) -> dict[str, DataFrame]:
+    """The six staging models (T1-T6) as one would store them in a silver layer."""
+    return {"stg_products": S.stg_products(food, v), "stg_brands": S.stg_brands(food, v),
+            "stg_categories": S.stg_categories(food, v), "stg_countries": S.stg_countries(food, v),
+            "stg_date": S.stg_date(food, v), "stg_nutrition": S.stg_nutrition(food, v)}
+
+
+def build_gold(food: DataFrame, v: Variant, out: str, parallel: int = 5, silver: str | None = None) -> Gold:
     """Build and write the five dimensions and the fact under ``out``.
 
     The five dimensions do not depend on each other: their jobs are submitted
     concurrently (``parallel`` driver threads, one Spark job stream each) so their
     fixed per-job costs overlap and idle executor slots are used. The fact waits
-    for all of them.
+    for all of them. With ``silver`` (a folder) the six staging tables are written
+    there too, alongside the dimensions; the gold tables do not read them.
     """
     spark = food.sparkSession
     rows: dict[str, int] = {}
@@ -58,8 +66,13 @@ def build_gold(food: DataFrame, v: Variant, out: str, parallel: int = 5) -> Gold
         "dim_date": lambda: DM.dim_date(food, v),
     }
 
+    if silver:
+        for name, df in silver_tables(food, v).items():
+            builders[name] = (lambda df=df: df)
+
     def build(name: str) -> tuple[str, DataFrame]:
-        return name, _persist(spark, builders[name](), f"{out}/{name}", rows, name)
+        base = silver if name.startswith("stg_") else out
+        return name, _persist(spark, builders[name](), f"{base}/{name}", rows, name)
 
     if parallel > 1:
         with ThreadPoolExecutor(max_workers=parallel, thread_name_prefix="gold") as pool:
@@ -125,14 +138,14 @@ def quality_report(g: Gold, unique_mode: str = "values") -> DataFrame:
 
 
 def run_pipeline(raw: DataFrame, v: Variant, out: str | None = None, audit_path: str | None = None,
-                 source_file: str = "food", parallel: int = 6) -> dict[str, DataFrame]:
+                 source_file: str = "food", parallel: int = 6, silver: str | None = None) -> dict[str, DataFrame]:
     """Whole run. Returns gold tables, KPI tables and the quality report (all written
     under ``out``); appends one audit row whose status is FAILED when a check fails
     (a soft failure: the run still completes). The KPI tables and the report are
     independent and are written concurrently."""
     spark = raw.sparkSession
     out = out or work_dir(spark, "gold", v.name)
-    g = build_gold(raw, v, out, parallel=min(parallel, 5))
+    g = build_gold(raw, v, out, parallel=parallel, silver=silver)
     result = {k: v_ for k, v_ in g.tables.items() if k != "product_wide"}
     finals = {**kpis(g), "quality_report": quality_report(g)}
 

@@ -116,3 +116,14 @@ def test_command_line_land_and_run(spark, tmpdir_session, capsys):
 def test_read_paths_skips_blank_entries(spark):
     df = IO.read_paths(spark, [f"{SF}/region.parquet", "", "  "])
     assert df.count() == 5
+
+
+def test_run_pipeline_writes_silver(spark, tmpdir_session):
+    from larder.plans.warehouse import silver_tables
+    food = load_food(spark, SF)
+    out = f"{tmpdir_session}/silver-run"
+    res = W.run_pipeline(food, VARIANT_B, out=f"{out}/gold", silver=f"{out}/silver")
+    for name, df in silver_tables(food, VARIANT_B).items():
+        back = spark.read.parquet(f"{out}/silver/{name}")
+        assert back.count() == df.count() and back.exceptAll(df).count() == 0
+    assert res["fact_nutrition"].count() > 0
