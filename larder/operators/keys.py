@@ -98,7 +98,7 @@ def small_surrogate_key(df: DataFrame, order: Sequence, name: str, first: bool =
 # Largest n answered by Spark's own top-n (a per-partition top-n, then one task
 # merging n rows per partition). Above it the first n rows are found by ranking,
 # whose cost does not depend on the number of partitions.
-TOP_N_SMALL = 10_000
+TOP_N_SMALL = 1_000
 
 
 def top_n(df: DataFrame, order: Sequence, n: int) -> DataFrame:
