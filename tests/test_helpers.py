@@ -47,3 +47,38 @@ def test_materialize_view(spark):
     df = spark.createDataFrame([(1,), (2,)], "x int")
     IO.materialize(df, "view", "tiny_view")
     assert spark.sql("SELECT sum(x) FROM tiny_view").first()[0] == 3
+
+
+class _FakeContext:
+    def __init__(self, master, ckpt=None):
+        self.master, self._ckpt = master, ckpt
+
+    def getCheckpointDir(self):
+        return self._ckpt
+
+    def setCheckpointDir(self, d):
+        self._ckpt = d
+
+
+class _FakeConf:
+    def __init__(self, values):
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+class _FakeSession:
+    def __init__(self, master, conf=None, ckpt=None):
+        self.sparkContext = _FakeContext(master, ckpt)
+        self.conf = _FakeConf(conf or {})
+
+
+def test_cluster_session_needs_a_shared_checkpoint_folder():
+    import pytest
+    from larder.session import ensure_checkpoint_dir
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_FakeSession("yarn"))
+    assert ensure_checkpoint_dir(_FakeSession("yarn", {"spark.checkpoint.dir": "hdfs:///ckpt"})) == "hdfs:///ckpt"
+    assert ensure_checkpoint_dir(_FakeSession("yarn", ckpt="s3a://b/ckpt")) == "s3a://b/ckpt"
+    assert ensure_checkpoint_dir(_FakeSession("local[2]")).startswith("/")
