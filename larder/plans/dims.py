@@ -108,8 +108,9 @@ def country_name_expr(v: Variant, tag: Column) -> Column:
     return tag_name_offset(tag) if v.country_name == "offset" else prettify_tag(tag)
 
 
-def dim_country(food: DataFrame, v: Variant) -> DataFrame:
-    stg = S.stg_countries(food, v)
+def dim_country(food: DataFrame, v: Variant, countries: DataFrame | None = None) -> DataFrame:
+    """``countries``: the written staging rows, if at hand (saves a second explode of the raw)."""
+    stg = S.stg_countries(food, v) if countries is None else countries
     keep = F.col("country_tag").isNotNull() if v.country_filter == "raw" else nonempty("country_tag")
     d = stg.select("country_tag").filter(keep).distinct()
     d = d.select("country_tag", country_name_expr(v, F.col("country_tag")).alias("country_name"))

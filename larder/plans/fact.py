@@ -27,12 +27,13 @@ def fact_columns(v: Variant) -> list[str]:
 
 
 def fact_nutrition(food: DataFrame, v: Variant, dims: dict[str, DataFrame],
-                   rows: dict[str, int] | None = None) -> DataFrame:
+                   rows: dict[str, int] | None = None, countries: DataFrame | None = None) -> DataFrame:
     """``dims`` needs 'product_wide', 'country', 'category', 'brand' and 'date';
-    ``rows`` may give their exact row counts (saves the broadcast size checks)."""
+    ``rows`` may give their exact row counts (saves the broadcast size checks);
+    ``countries`` the written country staging rows, if at hand."""
     rows = rows or {}
     measures = measure_names(v.measure_names)
-    countries = S.stg_countries(food, v)
+    countries = S.stg_countries(food, v) if countries is None else countries
     prod = dims["product_wide"].select("product_code", "product_sk", "_cat_tag", "_brand_key", "_date",
                                        *measures, "nutriscore_score")
     # 'countries': countries LEFT JOIN everything; 'nutrition_inner': nutrition INNER JOIN

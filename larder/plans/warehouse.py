@@ -49,30 +49,35 @@ def silver_tables(food: DataFrame, v: Variant) -> dict[str, DataFrame]:
 def build_gold(food: DataFrame, v: Variant, out: str, parallel: int = 5, silver: str | None = None) -> Gold:
     """Build and write the five dimensions and the fact under ``out``.
 
-    The five dimensions do not depend on each other: their jobs are submitted
-    concurrently (``parallel`` driver threads, one Spark job stream each) so their
-    fixed per-job costs overlap and idle executor slots are used. The fact waits
-    for all of them. With ``silver`` (a folder) the six staging tables are written
-    there too, alongside the dimensions; the gold tables do not read them.
+    Four dimensions and the country staging rows do not depend on each other: their
+    jobs are submitted concurrently (``parallel`` driver threads, one Spark job stream
+    each) so fixed per-job costs overlap and idle executor slots are used. The
+    country rows are written once and feed both dim_country and the fact. With
+    ``silver`` (a folder) the six staging tables are written there as well.
     """
     spark = food.sparkSession
     rows: dict[str, int] = {}
     t: dict[str, DataFrame] = {}
+    # Country rows feed both dim_country and the fact: written once, read twice.
+    countries_path = f"{silver}/stg_countries" if silver else f"{out}/_stg_countries"
     builders = {
         "dim_product_wide": lambda: DM.dim_product_wide(food, v),
         "dim_brand": lambda: DM.dim_brand(food, v),
         "dim_category": lambda: DM.dim_category(food, v),
-        "dim_country": lambda: DM.dim_country(food, v),
         "dim_date": lambda: DM.dim_date(food, v),
+        "stg_countries": lambda: S.stg_countries(food, v),
     }
-
     if silver:
         for name, df in silver_tables(food, v).items():
-            builders[name] = (lambda df=df: df)
+            builders.setdefault(name, (lambda df=df: df))
+
+    def path_of(name: str) -> str:
+        if name == "stg_countries":
+            return countries_path
+        return f"{silver if name.startswith('stg_') else out}/{name}"
 
     def build(name: str) -> tuple[str, DataFrame]:
-        base = silver if name.startswith("stg_") else out
-        return name, _persist(spark, builders[name](), f"{base}/{name}", rows, name)
+        return name, _persist(spark, builders[name](), path_of(name), rows, name)
 
     if parallel > 1:
         with ThreadPoolExecutor(max_workers=parallel, thread_name_prefix="gold") as pool:
@@ -80,6 +85,9 @@ def build_gold(food: DataFrame, v: Variant, out: str, parallel: int = 5, silver:
     else:
         done = [build(n) for n in builders]
     t.update(dict(done))
+    countries = t["stg_countries"] if silver else t.pop("stg_countries")
+    t["dim_country"] = _persist(spark, DM.dim_country(food, v, countries), f"{out}/dim_country", rows,
+                                "dim_country")
     wide = t.pop("dim_product_wide")
     t["product_wide"] = wide
     t["dim_product"] = wide.select(*DM.dim_product_columns(v))
@@ -87,8 +95,8 @@ def build_gold(food: DataFrame, v: Variant, out: str, parallel: int = 5, silver:
     dims = {"product_wide": wide, "brand": t["dim_brand"], "category": t["dim_category"],
             "country": t["dim_country"], "date": t["dim_date"]}
     dim_rows = {k: rows[f"dim_{k}"] for k in ("brand", "category", "country", "date")}
-    t["fact_nutrition"] = _persist(spark, fact_nutrition(food, v, dims, dim_rows), f"{out}/fact_nutrition", rows,
-                                   "fact_nutrition")
+    t["fact_nutrition"] = _persist(spark, fact_nutrition(food, v, dims, dim_rows, countries=countries),
+                                   f"{out}/fact_nutrition", rows, "fact_nutrition")
     return Gold(v, t, rows)
 
 
