@@ -38,13 +38,23 @@ def document_subset(food: DataFrame, n: int | None = 100_000, max_energy: float
     return df
 
 
-def export_documents(df: DataFrame, path: str, records_per_file: int | None = None) -> int:
-    """Truncate-and-write the documents as JSON lines (S10); returns the number written."""
+def export_documents(df: DataFrame, path: str | None, records_per_file: int | None = None,
+                     fmt: str = "json", options: dict | None = None) -> int:
+    """Truncate-and-write the documents (S10); returns the number written.
+
+    Default: JSON lines under ``path``. With a document-store connector on the
+    classpath, pass its ``fmt`` and ``options`` (connection, collection, batch size):
+    the executors write to the store directly, in overwrite mode, and Spark retries
+    failed tasks. ``path`` may then be None.
+    """
     obs = Observation()
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if records_per_file:
         w = w.option("maxRecordsPerFile", str(records_per_file))
-    w.options(**JSON_OPTIONS).option("ignoreNullFields", "false").json(path)
+    if fmt == "json":
+        w = w.options(**JSON_OPTIONS).option("ignoreNullFields", "false")
+    w = w.options(**(options or {})).format(fmt)
+    w.save(path) if path is not None else w.save()
     return int(obs.get["rows"])
 
 
