@@ -53,11 +53,16 @@ def _pretty(x: str) -> str:
 
 
 def _sentence(x: str) -> str:
-    return f"upper(substr({x}, 1, 1)) || lower(substr({x}, 2))"
+    return f"upper(left({x}, 1)) || lower(substr({x}, 2))"
+
+
+def _keyed(arr: str, key_field: str, key: str) -> str:
+    """First struct of ``arr`` whose ``key_field`` equals ``key`` (NULL if none)."""
+    return f"{arr}[list_position(list_transform({arr}, lambda e: e.{key_field}), '{key}')]"
 
 
 def _nutrient(name: str) -> str:
-    return f"CAST(list_filter(nutriments, lambda x: x.name = '{name}')[1]['100g'] AS DOUBLE)"
+    return f"CAST({_keyed('nutriments', 'name', name)}['100g'] AS DOUBLE)"
 
 
 def _day(sec: str) -> str:
@@ -71,32 +76,32 @@ NUTRIENTS = [("energy-kcal", "energy_kcal", "energy_kcal"), ("fat", "fat_100g",
 M_A = [n[1] for n in NUTRIENTS]
 M_B = [n[2] for n in NUTRIENTS]
 GRADE = "CASE WHEN nutriscore_grade IN ('a', 'b', 'c', 'd', 'e') THEN nutriscore_grade END"
-NAME_A = "COALESCE(list_filter(product_name, lambda x: x.lang = 'main')[1].text, product_name[1].text)"
-NAME_B = "product_name[1].text"
-MONTHS = ("CASE month(d) WHEN 1 THEN 'Janvier' WHEN 2 THEN 'Février' WHEN 3 THEN 'Mars' WHEN 4 THEN 'Avril' "
-          "WHEN 5 THEN 'Mai' WHEN 6 THEN 'Juin' WHEN 7 THEN 'Juillet' WHEN 8 THEN 'Août' WHEN 9 THEN 'Septembre' "
-          "WHEN 10 THEN 'Octobre' WHEN 11 THEN 'Novembre' WHEN 12 THEN 'Décembre' END")
+NAME_A = f"COALESCE({_keyed('product_name', 'lang', 'main')}.text, list_extract(product_name, 1).text)"
+NAME_B = "list_extract(product_name, 1).text"
+# French month names, January first.
+MONTHS = ("(['Janvier', 'Février', 'Mars', 'Avril', 'Mai', 'Juin', 'Juillet', 'Août', 'Septembre', 'Octobre', "
+          "'Novembre', 'Décembre'])[month(d)]")
 
 CTE = {
     "food": FOOD,
     # ---- staging, variant A
     "stg_products_a": f"""SELECT DISTINCT code AS product_code, {NAME_A} AS product_name, {GRADE} AS nutriscore_grade,
         nova_group, environmental_score_grade, quantity AS product_quantity FROM food WHERE code IS NOT NULL""",
-    "stg_brands_a": f"""SELECT code AS product_code, lower(trim(brands_tags[1])) AS brand_tag,
-        {_sentence("trim(string_split(brands, ',')[1])")} AS brand_name
+    "stg_brands_a": f"""SELECT code AS product_code, lower(trim(list_extract(brands_tags, 1))) AS brand_tag,
+        {_sentence("trim(split_part(brands, ',', 1))")} AS brand_name
         FROM food WHERE brands IS NOT NULL AND brands != '' AND code IS NOT NULL""",
-    "stg_categories_a": f"""SELECT code AS product_code, lower(trim(categories_tags[1])) AS category_tag,
-        {_sentence("trim(string_split(categories, ',')[1])")} AS category_label
+    "stg_categories_a": f"""SELECT code AS product_code, lower(trim(list_extract(categories_tags, 1))) AS category_tag,
+        {_sentence("trim(split_part(categories, ',', 1))")} AS category_label
         FROM food WHERE categories_tags IS NOT NULL AND code IS NOT NULL""",
     "stg_countries_a": """SELECT product_code, trim(country_tag) AS country_tag FROM (
         SELECT code AS product_code, unnest(countries_tags) AS country_tag FROM food
         WHERE code IS NOT NULL AND countries_tags IS NOT NULL) u
         WHERE country_tag IS NOT NULL AND country_tag != ''""",
-    "stg_date_a": f"""SELECT product_code, d AS date_value, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_sk,
+    "stg_date_a": f"""SELECT product_code, d AS date_value, CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_sk,
         CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
         CAST(day(d) AS INTEGER) AS day, CAST(isodow(d) AS INTEGER) AS day_of_week,
         CAST(floor(year(d) / 10) * 10 AS INTEGER) AS decade, {MONTHS} AS month_name,
-        CASE WHEN isodow(d) IN (6, 7) THEN TRUE ELSE FALSE END AS is_weekend
+        isodow(d) >= 6 AS is_weekend
         FROM (SELECT code AS product_code, {_day('last_modified_t')} AS d FROM food WHERE last_modified_t IS NOT NULL) b""",
     "stg_nutrition_rows_a": "SELECT code AS product_code, nutriscore_score, last_modified_t, "
         + ", ".join(f"{_nutrient(n)} AS {a}" for n, a, _ in NUTRIENTS) + " FROM food WHERE code IS NOT NULL",
@@ -107,12 +112,12 @@ CTE = {
     "stg_products_b": f"""SELECT code AS product_code, {NAME_B} AS product_name, {GRADE} AS nutriscore_grade,
         nova_group, environmental_score_grade, quantity FROM food WHERE code IS NOT NULL""",
     "stg_brands_b": """SELECT product_code, max(brand_name) AS brand_name, max(brand_tag) AS brand_tag FROM (
-        SELECT code AS product_code, upper(trim(string_split(brands, ',')[1])) AS brand_name,
-               lower(trim(brands_tags[1])) AS brand_tag FROM food WHERE code IS NOT NULL) r
+        SELECT code AS product_code, upper(trim(split_part(brands, ',', 1))) AS brand_name,
+               lower(trim(list_extract(brands_tags, 1))) AS brand_tag FROM food WHERE code IS NOT NULL) r
         WHERE brand_name IS NOT NULL AND brand_name != '' GROUP BY product_code""",
     "stg_categories_b": f"""SELECT product_code, max(category_tag) AS category_tag,
         max({_pretty('category_tag')}) AS category_name FROM (
-        SELECT code AS product_code, trim(categories_tags[1]) AS category_tag FROM food WHERE code IS NOT NULL) r
+        SELECT code AS product_code, trim(list_extract(categories_tags, 1)) AS category_tag FROM food WHERE code IS NOT NULL) r
         WHERE category_tag IS NOT NULL AND category_tag != '' GROUP BY product_code""",
     "stg_countries_b": """SELECT DISTINCT product_code, country_tag FROM (
         SELECT product_code, lower(trim(t)) AS country_tag FROM (
@@ -208,17 +213,17 @@ CTE.update({
     # ---- the recommended DEFAULT configuration
     "stg_brands_d": f"""SELECT product_code, max({{'t': brand_tag, 'n': brand_name}}).t AS brand_tag,
         max({{'t': brand_tag, 'n': brand_name}}).n AS brand_name FROM (
-        SELECT code AS product_code, lower(trim(brands_tags[1])) AS brand_tag,
-               {_sentence("trim(string_split(brands, ',')[1])")} AS brand_name FROM food WHERE code IS NOT NULL) r
+        SELECT code AS product_code, lower(trim(list_extract(brands_tags, 1))) AS brand_tag,
+               {_sentence("trim(split_part(brands, ',', 1))")} AS brand_name FROM food WHERE code IS NOT NULL) r
         WHERE brand_name IS NOT NULL AND brand_name != '' GROUP BY product_code""",
     "stg_categories_d": f"""SELECT product_code, category_tag, category_label FROM (
-        SELECT code AS product_code, lower(trim(categories_tags[1])) AS category_tag,
-               {_sentence("trim(string_split(categories, ',')[1])")} AS category_label FROM food WHERE code IS NOT NULL) r
+        SELECT code AS product_code, lower(trim(list_extract(categories_tags, 1))) AS category_tag,
+               {_sentence("trim(split_part(categories, ',', 1))")} AS category_label FROM food WHERE code IS NOT NULL) r
         WHERE category_tag IS NOT NULL AND category_tag != ''""",
-    "stg_date_d": f"""SELECT product_code, d AS date_value, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_sk,
+    "stg_date_d": f"""SELECT product_code, d AS date_value, CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_sk,
         CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
         CAST(isodow(d) AS INTEGER) AS day_of_week, CAST(floor(year(d) / 10) * 10 AS INTEGER) AS decade,
-        isodow(d) IN (6, 7) AS is_weekend
+        isodow(d) >= 6 AS is_weekend
         FROM (SELECT code AS product_code, max({_day('last_modified_t')}) AS d FROM food
               WHERE code IS NOT NULL AND last_modified_t IS NOT NULL GROUP BY code) b""",
     "nutrition_d": "SELECT product_code, " + ", ".join(M_A) + ", nutriscore_score FROM ("
