@@ -299,6 +299,10 @@ QUERIES: dict[str, Query] = {
     "dim_date_default": _gold_table("dim_date", DEFAULT),
     "fact_nutrition_default": _gold_table("fact_nutrition", DEFAULT),
     "kpi_mean_score_default": _kpi("kpi_mean_score", DEFAULT),
+    "kpi_active_products_default": _kpi("kpi_active_products", DEFAULT),
+    "kpi_pct_grade_a_default": _kpi("kpi_pct_grade_a", DEFAULT),
+    "kpi_mean_salt_default": _kpi("kpi_mean_salt", DEFAULT),
+    "kpi_completeness_default": _kpi("kpi_completeness", DEFAULT),
     "dq_report_b": dq_report_b,
     "document_subset": document_subset,
     "document_subset_basic": document_subset_basic,

@@ -462,6 +462,16 @@ ORACLES: dict[str, str] = {
     "dim_category_default": model("dim_category_d"),
     "dim_date_default": model("dim_date_d"),
     "fact_nutrition_default": model("fact_nutrition_d"),
+    "kpi_active_products_default": with_ctes(["fact_nutrition_d"],
+        "SELECT CAST(count(DISTINCT product_sk) AS BIGINT) AS nb_produits_actifs FROM fact_nutrition_d"),
+    "kpi_pct_grade_a_default": with_ctes(["fact_nutrition_d", "dim_product_a"], """SELECT
+        round(100.0::DOUBLE * count(*) FILTER (WHERE g.nutriscore_grade = 'a') / nullif(count(g.nutriscore_grade), 0), 2)
+        AS pct_produits_nutriscore_a FROM fact_nutrition_d f JOIN dim_product_a g USING (product_sk)"""),
+    "kpi_mean_salt_default": with_ctes(["fact_nutrition_d", "dim_category_d"], """SELECT kg.category_label,
+        round(avg(f.salt_100g), 4) AS sel_moyen_g FROM fact_nutrition_d f JOIN dim_category_d kg USING (category_sk)
+        WHERE f.salt_100g IS NOT NULL GROUP BY ALL"""),
+    "kpi_completeness_default": with_ctes(["fact_nutrition_d"], """SELECT round(100.0::DOUBLE * count(nutriscore_score)
+        / nullif(count(*), 0), 2) AS taux_completude_nutriscore FROM fact_nutrition_d"""),
     "kpi_mean_score_default": with_ctes(["fact_nutrition_d", "dim_category_d", "dim_brand_d", "dim_country_b",
                                          "dim_date_d"], """SELECT kg.category_label, kb.brand_name, kc.country_name,
         kd.year, kd.month, round(avg(f.nutriscore_score), 2) AS nutriscore_moyen,
