@@ -14,7 +14,7 @@ def get_session(app: str = "larder", master: str | None = None, shuffle_partitio
 
     * AQE on, so shuffle partitions are coalesced and skewed joins split at run time.
     * UTC session zone; the library's own date maths is zone-free anyway.
-    * No UI server.
+    * No UI server; checkpoint files cleaned up when no longer referenced.
     * Object-store settings (S3A endpoint and credentials) only from the environment,
       never from literals: ``LARDER_S3_ENDPOINT``, ``AWS_ACCESS_KEY_ID``,
       ``AWS_SECRET_ACCESS_KEY``.
@@ -29,6 +29,8 @@ def get_session(app: str = "larder", master: str | None = None, shuffle_partitio
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # checkpoint files (surrogate-key placements) are removed once no longer referenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
