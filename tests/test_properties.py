@@ -65,3 +65,58 @@ def test_fact_grain(spark, tmpdir_session, v):
     n = fact.count()
     assert fact.agg(F.min(v.fact_sk), F.max(v.fact_sk), F.count_distinct(v.fact_sk)).first() == (1, n, n)
     assert fact.join(g["dim_product"], "product_sk", "left_anti").count() == 0
+
+
+BRAND_TEXT = st.one_of(st.none(), st.text(alphabet=" ,aBé", max_size=8))
+TAGS = st.one_of(st.none(), st.lists(st.text(alphabet=" aB:-", max_size=5), max_size=3))
+
+
+def _raw(spark, rows):
+    from tests.test_models import raw
+    return raw(spark, rows)
+
+
+def _py_sentence(x):
+    return None if x is None else x[:1].upper() + x[1:].lower()
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.sampled_from(["1", "2", None]), BRAND_TEXT, TAGS), min_size=1, max_size=8))
+def test_brand_staging_matches_python(spark, rows):
+    food = _raw(spark, [{"code": c, "brands": b, "brands_tags": t} for c, b, t in rows])
+    def key(t):
+        return tuple((v is None, v or "") for v in t)
+
+    got_a = sorted(((r.product_code, r.brand_tag, r.brand_name) for r in S.stg_brands(food, VARIANT_A).collect()),
+                   key=key)
+    exp_a = []
+    for c, b, t in rows:
+        if c is None or b is None or b == "":
+            continue
+        tag = t[0].strip().lower() if t else None
+        exp_a.append((c, tag, _py_sentence(b.split(",")[0].strip())))
+    assert got_a == sorted(exp_a, key=key)
+    got_b = {r.product_code: (r.brand_name, r.brand_tag) for r in S.stg_brands(food, VARIANT_B).collect()}
+    exp_b = {}
+    for c, b, t in rows:
+        name = None if b is None else b.split(",")[0].strip().upper()
+        if c is None or not name:
+            continue
+        tag = t[0].strip().lower() if t else None
+        n0, t0 = exp_b.get(c, (None, None))
+        exp_b[c] = (max(x for x in (n0, name) if x is not None),
+                    max((x for x in (t0, tag) if x is not None), default=None))
+    assert got_b == exp_b
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.sampled_from(["1", "2", None]), TAGS), min_size=1, max_size=8))
+def test_country_staging_matches_python(spark, rows):
+    food = _raw(spark, [{"code": c, "countries_tags": t} for c, t in rows])
+    got_a = sorted(tuple(r) for r in S.stg_countries(food, VARIANT_A).collect())
+    exp_a = sorted((c, x.strip()) for c, t in rows if c is not None and t for x in t if x)
+    assert got_a == exp_a
+    got_b = sorted(tuple(r) for r in S.stg_countries(food, VARIANT_B).collect())
+    exp_b = sorted({(c, x.strip().lower()) for c, t in rows if c is not None and t for x in t
+                    if x.strip().lower() != ""})
+    assert got_b == exp_b
