@@ -120,3 +120,55 @@ def test_country_staging_matches_python(spark, rows):
     exp_b = sorted({(c, x.strip().lower()) for c, t in rows if c is not None and t for x in t
                     if x.strip().lower() != ""})
     assert got_b == exp_b
+
+
+CAT_TAGS = st.one_of(st.none(), st.lists(st.text(alphabet=" aB:-x", max_size=7), max_size=2))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.sampled_from(["1", "2", None]), CAT_TAGS, BRAND_TEXT), min_size=1, max_size=8))
+def test_category_staging_matches_python(spark, rows):
+    import re
+    food = _raw(spark, [{"code": c, "categories_tags": t, "categories": txt} for c, t, txt in rows])
+
+    def initcap(x):
+        return " ".join(w[:1].upper() + w[1:].lower() for w in x.split(" "))
+
+    got_a = sorted((tuple(r) for r in S.stg_categories(food, VARIANT_A).collect()),
+                   key=lambda t: tuple((v is None, v or "") for v in t))
+    exp_a = []
+    for c, t, txt in rows:
+        if c is None or t is None:
+            continue
+        tag = t[0].strip().lower() if t else None
+        exp_a.append((c, tag, _py_sentence(None if txt is None else txt.split(",")[0].strip())))
+    assert got_a == sorted(exp_a, key=lambda t: tuple((v is None, v or "") for v in t))
+    got_b = {r.product_code: (r.category_tag, r.category_name) for r in S.stg_categories(food, VARIANT_B).collect()}
+    exp_b = {}
+    for c, t, _ in rows:
+        tag = t[0].strip() if t else None
+        if c is None or not tag:
+            continue
+        name = initcap(re.sub("^..:", "", tag).replace("-", " "))
+        t0, n0 = exp_b.get(c, (tag, name))
+        exp_b[c] = (max(t0, tag), max(n0, name))
+    assert got_b == exp_b
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(secs=st.lists(st.integers(0, 2_000_000_000), min_size=1, max_size=12))
+def test_date_attributes_match_python(spark, secs):
+    import datetime as dt
+    from larder.functions.dates import FRENCH_MONTHS
+    food = _raw(spark, [{"code": str(i), "last_modified_t": s} for i, s in enumerate(secs)])
+    got = {r.product_code: (r.date_sk, r.day_of_week, r.decade, r.month_name, r.is_weekend)
+           for r in S.stg_date(food, VARIANT_A).collect()}
+    exp = {}
+    for i, s in enumerate(secs):
+        d = dt.datetime.fromtimestamp(s, dt.timezone.utc).date()
+        exp[str(i)] = (d.year * 10000 + d.month * 100 + d.day, d.isoweekday(), d.year // 10 * 10,
+                       FRENCH_MONTHS[d.month - 1], d.isoweekday() >= 6)
+    assert got == exp
+    got_b = {r.product_code: r.day_of_week for r in S.stg_date(food, VARIANT_B).collect()}
+    assert got_b == {str(i): dt.datetime.fromtimestamp(s, dt.timezone.utc).date().isoweekday() % 7 + 1
+                     for i, s in enumerate(secs)}
