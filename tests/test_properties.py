@@ -211,3 +211,31 @@ def test_nutrition_models_match_python(spark, rows):
         if r[0] not in exp_b or rank(r) > rank(exp_b[r[0]]):
             exp_b[r[0]] = r
     assert got_b == {c: (r[2], r[3]) for c, r in exp_b.items()}
+
+
+PROD_ROW = st.tuples(st.sampled_from(["10", "9", "100"]), st.one_of(st.none(), st.integers(0, 2)),
+                     st.sampled_from(["a", "b", "unknown", None]), st.sampled_from(["X", "y", None]))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(PROD_ROW, min_size=1, max_size=8))
+def test_dim_product_rule_matches_python(spark, rows):
+    from larder.plans import dims as DM
+    food = _raw(spark, [{"code": c, "last_modified_t": t, "nutriscore_grade": g,
+                         "product_name": None if n is None else [{"lang": "main", "text": n}]}
+                        for c, t, g, n in rows])
+    got = {r.product_code: (r.product_sk, r.product_name, r.nutriscore_grade)
+           for r in DM.dim_product(food, VARIANT_A).collect()}
+
+    def rank(r):
+        grade = r[2] if r[2] in ("a", "b", "c", "d", "e") else None
+        return (r[1] is not None, r[1] or 0, r[3] is not None, r[3] or "", grade is not None, grade or "")
+    best = {}
+    for r in rows:
+        if r[0] not in best or rank(r) > rank(best[r[0]]):
+            best[r[0]] = r
+    exp = {}
+    for i, code in enumerate(sorted(best)):
+        r = best[code]
+        exp[code] = (i + 1, r[3], r[2] if r[2] in ("a", "b", "c", "d", "e") else None)
+    assert got == exp
