@@ -239,3 +239,18 @@ def test_dim_product_rule_matches_python(spark, rows):
         r = best[code]
         exp[code] = (i + 1, r[3], r[2] if r[2] in ("a", "b", "c", "d", "e") else None)
     assert got == exp
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(vals=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.sampled_from(["a", "b", None])),
+                     min_size=1, max_size=40),
+       parts=st.integers(1, 5), desc=st.booleans())
+def test_surrogate_key_matches_row_number(spark, vals, parts, desc):
+    from pyspark.sql import Window
+    from larder.operators.keys import sort_spec, surrogate_key
+    df = spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(vals)], "a int, b string, i int")
+    order = [sort_spec("a", descending=desc), sort_spec("b"), sort_spec("i")]
+    got = surrogate_key(df, order, "sk", partitions=parts)
+    exp = df.withColumn("sk", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    assert sorted(tuple(r) for r in got.select("sk", "i").collect()) == \
+        sorted(tuple(r) for r in exp.select("sk", "i").collect())
