@@ -8,8 +8,8 @@ Search. A set is embedded as ``COORDINATES`` MinHash values. In each run a tree
 draws coordinates at random (by a hash of the node), and a set follows each drawn coordinate to
 the child named by its value there, so sets sharing that sampled token go down together and
 sharply different sets part. A child small enough is searched by brute force over the embeddings;
-a larger one is split again, down to ``DEPTH``. There the sets agree on many sampled tokens and
-are tied by comparing all with a few leaders. Runs repeat with other draws: a pair at the threshold
+in a larger one every set is compared with a few leaders first (so a bucket of near copies is not
+passed down again and again), and the sets not as close as the threshold to one are split again, down to ``DEPTH``. Runs repeat with other draws: a pair at the threshold
 survives a level with probability 1 - exp(-BRANCH * 0.8), and the number of runs follows from the
 recall asked for.
 
@@ -213,14 +213,15 @@ def _brute(leaves: DataFrame, least: float) -> DataFrame:
     return placed.mapInArrow(run, f"u {kind}, v {kind}")
 
 
-def _to_leaders(big: DataFrame, least: float, leaders: int) -> DataFrame:
-    """Edges of every set of a bucket to the bucket's leaders its embedding agrees with. A leader
-    is the least of a bucket under one of ``leaders`` orders: one row per bucket and order."""
+def _with_leaders(big: DataFrame, least: float, enough: float, leaders: int) -> DataFrame:
+    """(id, node, sketch, ties, done) of every set of a large bucket: the bucket's leaders its embedding
+    agrees with to ``least``, and whether it agrees with one to ``enough``. A leader is the least
+    of a bucket under one of ``leaders`` orders: one row per bucket and order."""
     kind = big.schema["id"].dataType.simpleString()
     orders = [F.min(F.struct(F.xxhash64(F.lit(k), "id").alias("h"), "id", "sketch")).alias(f"l{k}") for k in range(leaders)]
     chosen = big.groupBy("node").agg(*orders).select("node", F.array(*[f"l{k}" for k in range(leaders)]).alias("leaders"))
     rows = big.join(chosen, "node").select(
-        "id", "sketch", F.transform("leaders", lambda x: x["id"]).alias("lead"),
+        "id", "node", "sketch", F.transform("leaders", lambda x: x["id"]).alias("lead"),
         F.transform("leaders", lambda x: x["sketch"]).alias("lead_sketch"))
 
     def run(batches):
@@ -229,18 +230,15 @@ def _to_leaders(big: DataFrame, least: float, leaders: int) -> DataFrame:
                 continue
             own = _matrix(batch.column("sketch"))
             lead, theirs = batch.column("lead").to_pylist(), batch.column("lead_sketch").to_pylist()
-            ids = batch.column("id").to_pylist()
-            us, vs = [], []
-            for k in range(leaders):
-                m = np.frombuffer(b"".join(x[k] for x in theirs), np.uint32).reshape(own.shape)
-                for i in np.flatnonzero((own == m).mean(1) >= least).tolist():
-                    if ids[i] != lead[i][k]:
-                        us.append(ids[i])
-                        vs.append(lead[i][k])
+            agree = np.stack([(own == np.frombuffer(b"".join(x[k] for x in theirs), np.uint32).reshape(own.shape)).mean(1)
+                              for k in range(leaders)], 1)
+            ties = [[x[k] for k in np.flatnonzero(a >= least).tolist()] for a, x in zip(agree, lead)]
             t = batch.column("id").type
-            yield pa.RecordBatch.from_pydict({"u": pa.array(us, t), "v": pa.array(vs, t)})
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in ("id", "node", "sketch")], pa.array(ties, pa.list_(t)), pa.array(agree.max(1) >= enough)],
+                names=["id", "node", "sketch", "ties", "done"])
 
-    return rows.mapInArrow(run, f"u {kind}, v {kind}")
+    return rows.mapInArrow(run, f"id {kind}, node long, sketch binary, ties array<{kind}>, done boolean")
 
 
 def likely_ties(sets: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, branch: float = BRANCH,
@@ -260,12 +258,12 @@ def likely_ties(sets: DataFrame, threshold: float = THRESHOLD, recall: float = R
         met = met.join(sets.select("id", "sketch"), "id").select("node", "size", "id", "sketch")
         met = written(met, f"buckets-{level}")
         big = met.filter(F.col("size") > leaf)
-        found = [_brute(met.filter(F.col("size") <= leaf), least)]
-        if level == depth:
-            found.append(_to_leaders(big, least, LEADERS))
-        for f in found:
+        led = written(_with_leaders(big, least, threshold, LEADERS), f"led-{level}")
+        ties = led.select(F.col("id").alias("u"), F.explode("ties").alias("v")).filter("u != v")
+        for f in (_brute(met.filter(F.col("size") <= leaf), least), ties):
             edges = f if edges is None else edges.unionByName(f)
-        frontier = big.select("node", "id", "sketch")
+        # A set tied to a leader is found; what is close to it lies close to the leader too.
+        frontier = led.filter(~F.col("done")).select("node", "id", "sketch")
     return edges
 
 
