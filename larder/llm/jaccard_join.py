@@ -42,6 +42,8 @@ COORDINATES, BRANCH, DEPTH, LEAF, LEADERS = 64, 2.5, 3, 48, 4
 #: deviations of the estimate at 64 coordinates).
 SLACK = 0.2
 BLOCK, BLOCK_TOKENS = 256, 1 << 20
+#: Sets of a large bucket that a task compares with the bucket's leaders at once, about.
+SUB = 1024
 
 
 def runs_for(recall: float, threshold: float = THRESHOLD, branch: float = BRANCH, depth: int = 2) -> int:
@@ -162,7 +164,7 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.R
         for a, b in zip(cuts, cuts[1:]):
             yield t.slice(a, b - a)
         rest = t.slice(cuts[-1])
-        rest = pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in rest.columns], names=rest.schema.names)
+        rest = pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in rest.columns], schema=rest.schema)
     if rest is not None:
         yield rest
 
@@ -213,32 +215,42 @@ def _brute(leaves: DataFrame, least: float) -> DataFrame:
     return placed.mapInArrow(run, f"u {kind}, v {kind}")
 
 
-def _with_leaders(big: DataFrame, least: float, enough: float, leaders: int) -> DataFrame:
+def _buckets(slim: DataFrame, leaders: int, leaf: int) -> DataFrame:
+    """(node, size, lead, id): every row whose node holds more than one set, with the node's size
+    and, in a large one, its leaders: the least ids under ``leaders`` orders. One aggregation with a
+    row per node, one join."""
+    orders = [F.min_by("id", F.xxhash64(F.lit(k), "id")).alias(f"l{k}") for k in range(leaders)]
+    shape = slim.groupBy("node").agg(F.count(F.lit(1)).alias("size"), *orders).filter("size > 1").select(
+        "node", "size", F.when(F.col("size") > leaf, F.array(*[f"l{k}" for k in range(leaders)])).alias("lead"))
+    return slim.join(shape, "node").select("node", "size", "lead", "id")
+
+
+def _with_leaders(big: DataFrame, least: float, enough: float) -> DataFrame:
     """(id, node, sketch, ties, done) of every set of a large bucket: the bucket's leaders its embedding
-    agrees with to ``least``, and whether it agrees with one to ``enough``. A leader is the least
-    of a bucket under one of ``leaders`` orders: one row per bucket and order."""
+    agrees with to ``least``, and whether it agrees with one to ``enough``. A bucket is dealt out in
+    parts of about SUB sets, each with a copy of the few leaders."""
     kind = big.schema["id"].dataType.simpleString()
-    orders = [F.min(F.struct(F.xxhash64(F.lit(k), "id").alias("h"), "id", "sketch")).alias(f"l{k}") for k in range(leaders)]
-    chosen = big.groupBy("node").agg(*orders).select("node", F.array(*[f"l{k}" for k in range(leaders)]).alias("leaders"))
-    rows = big.join(chosen, "node").select(
-        "id", "node", "sketch", F.transform("leaders", lambda x: x["id"]).alias("lead"),
-        F.transform("leaders", lambda x: x["sketch"]).alias("lead_sketch"))
+    parts = F.ceil(F.col("size") / F.lit(SUB)).cast("int")
+    members = big.select("node", F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"), F.lit(1).alias("member"), "id", "sketch")
+    lead = big.filter(F.array_contains("lead", F.col("id"))).select(
+        "node", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("member"), "id", "sketch")
+    placed = members.unionByName(lead).repartition("node", "part").sortWithinPartitions("node", "part", "member")
 
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
+        for g in _groups(batches, ["node", "part"]):
+            member = g.column("member").to_numpy() == 1
+            if not member.any():
                 continue
-            own = _matrix(batch.column("sketch"))
-            lead, theirs = batch.column("lead").to_pylist(), batch.column("lead_sketch").to_pylist()
-            agree = np.stack([(own == np.frombuffer(b"".join(x[k] for x in theirs), np.uint32).reshape(own.shape)).mean(1)
-                              for k in range(leaders)], 1)
-            ties = [[x[k] for k in np.flatnonzero(a >= least).tolist()] for a, x in zip(agree, lead)]
-            t = batch.column("id").type
+            sketch, ids = _matrix(g.column("sketch")), g.column("id")
+            first = np.flatnonzero(~member)
+            agree = np.stack([(sketch[member] == sketch[k]).mean(1) for k in first], 1)
+            own, lead = ids.filter(pa.array(member)), ids.take(pa.array(first)).to_pylist()
+            ties = [[x for x, a in zip(lead, row) if a] for row in (agree >= least).tolist()]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("id", "node", "sketch")], pa.array(ties, pa.list_(t)), pa.array(agree.max(1) >= enough)],
-                names=["id", "node", "sketch", "ties", "done"])
+                [own, g.column("node").filter(pa.array(member)), g.column("sketch").filter(pa.array(member)),
+                 pa.array(ties, pa.list_(ids.type)), pa.array(agree.max(1) >= enough)], names=["id", "node", "sketch", "ties", "done"])
 
-    return rows.mapInArrow(run, f"id {kind}, node long, sketch binary, ties array<{kind}>, done boolean")
+    return placed.mapInArrow(run, f"id {kind}, node long, sketch binary, ties array<{kind}>, done boolean")
 
 
 def likely_ties(sets: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, branch: float = BRANCH,
@@ -253,12 +265,10 @@ def likely_ties(sets: DataFrame, threshold: float = THRESHOLD, recall: float = R
     for level in range(1, depth + 1):
         # Names of children first, without the sketches: lone sets go no further.
         slim = written(_descend(frontier, branch), f"paths-{level}")
-        sizes = slim.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-        met = slim.join(sizes, "node").select("node", "size", "id").distinct()
-        met = met.join(sets.select("id", "sketch"), "id").select("node", "size", "id", "sketch")
+        met = _buckets(slim, LEADERS, leaf).join(sets.select("id", "sketch"), "id")
         met = written(met, f"buckets-{level}")
         big = met.filter(F.col("size") > leaf)
-        led = written(_with_leaders(big, least, threshold, LEADERS), f"led-{level}")
+        led = written(_with_leaders(big, least, threshold), f"led-{level}")
         ties = led.select(F.col("id").alias("u"), F.explode("ties").alias("v")).filter("u != v")
         for f in (_brute(met.filter(F.col("size") <= leaf), least), ties):
             edges = f if edges is None else edges.unionByName(f)
