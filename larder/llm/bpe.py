@@ -25,7 +25,7 @@ import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator, Sequence
 from functools import cached_property, lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -178,65 +178,85 @@ class Vocabulary:
 
 
 class Memo:
-    """Keys and their id lists, laid one after another in one array."""
+    """Keys and their id lists, laid one after another in one array. When more than ``most`` keys
+    are held, those used once are forgotten, and the least used down to half of ``most``."""
 
-    def __init__(self):
-        self.at: dict = {}
-        self.ids = array("i")
-        self.ends = array("q", [0])
+    def __init__(self, most: int = CACHE_WORDS):
+        self.most = most
+        self._fill([], np.zeros(0, np.int32), np.zeros(0, np.int64))
+        self.uses = np.zeros(0, np.int64)
 
-    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
-        return np.frombuffer(self.ids, np.int32) if self.ids else np.zeros(0, np.int32), np.frombuffer(self.ends, np.int64)
+    def _fill(self, keys: list, ids: np.ndarray, ends: np.ndarray) -> None:
+        self.at: dict = {}
+        self.ids, self.ends = array("i"), array("q", [0])
+        self._extend(keys, ids, ends)
 
-    def extend(self, keys: Sequence, ids: np.ndarray, ends: np.ndarray) -> None:
+    def _extend(self, keys: Sequence, ids: np.ndarray, ends: np.ndarray) -> None:
         base, first = len(self.ids), len(self.at)
         self.at.update(zip(keys, range(first, first + len(keys))))
         self.ids.frombytes(np.ascontiguousarray(ids, np.int32).tobytes())
         self.ends.frombytes((np.asarray(ends, np.int64) + base).tobytes())
 
+    def _forget(self) -> None:
+        kept = np.argsort(-self.uses, kind="stable")[:self.most // 2]
+        kept = kept[self.uses[kept] > 1]
+        keys = list(self.at)
+        self._fill([keys[k] for k in kept.tolist()], *self.gather(kept))
+        self.uses = self.uses[kept] // 2
+
     def gather(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the entries ``index``, one after another, and where each entry's end."""
-        ids, ends = self.arrays()
+        ids = np.frombuffer(self.ids, np.int32) if self.ids else np.zeros(0, np.int32)
+        ends = np.frombuffer(self.ends, np.int64)
         begin = ends[index]
         sizes = ends[index + 1] - begin
         to = np.cumsum(sizes)
         return ids[np.repeat(begin - to + sizes, sizes) + np.arange(int(to[-1]) if len(to) else 0)], to
 
+    def look_up(self, keys: Sequence, encode) -> tuple[np.ndarray, np.ndarray]:
+        """``gather`` of the keys; ``encode(new keys)`` gives the ids and ends of those not held."""
+        if len(self.at) > self.most:
+            self._forget()
+        index = np.fromiter(map(self.at.get, keys, repeat(-1)), np.int64, len(keys))
+        missed = np.flatnonzero(index < 0).tolist()
+        if missed:
+            new = list(dict.fromkeys([keys[i] for i in missed]))
+            self._extend(new, *encode(new))
+            index[missed] = [self.at[keys[i]] for i in missed]
+        uses = np.bincount(index, minlength=len(self.at))
+        uses[:len(self.uses)] += self.uses
+        self.uses = uses
+        return self.gather(index)
+
 
 class Encoder:
     """Encodes texts batch by batch, remembering words and the runs between spaces (no word
     crosses a space)."""
 
     def __init__(self, vocabulary: Vocabulary, cache_words: int = CACHE_WORDS):
-        self.v, self.cache_words, self.runs, self.words = vocabulary, cache_words, Memo(), Memo()
+        self.v, self.runs, self.words = vocabulary, Memo(cache_words), Memo(cache_words)
 
-    def _cut(self, run) -> Sequence[str]:
+    def _cut(self, run) -> Sequence[str | int]:
         if isinstance(run, str):
             return (run,) if run.isalpha() else self.v.words(run)
-        return run if isinstance(run, tuple) else ()
+        return run if isinstance(run, tuple) else (run,)
+
+    def _encode_words(self, words: list) -> tuple[np.ndarray, np.ndarray]:
+        special = [w for w in words if isinstance(w, int)]
+        if not special:
+            return self.v.encode_words(words)
+        each = [[w] if isinstance(w, int) else self.v.encode_words([w])[0].tolist() for w in words]
+        return np.array(list(chain.from_iterable(each)), np.int32), np.cumsum([len(x) for x in each])
 
-    def _learn(self, runs: Sequence) -> None:
+    def _encode_runs(self, runs: list) -> tuple[np.ndarray, np.ndarray]:
         cut = [self._cut(x) for x in runs]
-        distinct = [w for w in dict.fromkeys(chain.from_iterable(cut)) if w not in self.words.at]
-        self.words.extend(distinct, *self.v.encode_words(distinct))
-        index = np.fromiter(map(self.words.at.__getitem__, chain.from_iterable(cut)), np.int64)
-        ids, to = self.words.gather(index)
-        ends = np.concatenate([[0], to])[np.cumsum([len(c) for c in cut], dtype=np.int64)]
-        self.runs.extend(runs, ids, ends)
+        ids, to = self.words.look_up(list(chain.from_iterable(cut)), self._encode_words)
+        return ids, np.concatenate([[0], to])[np.cumsum([len(c) for c in cut], dtype=np.int64)]
 
     def encode(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and offsets: text i has ids[offsets[i]:offsets[i + 1]]."""
         pieces = [self.v.pieces(t or "") for t in texts]
-        for memo in ("runs", "words"):
-            if len(getattr(self, memo).at) > self.cache_words:
-                setattr(self, memo, Memo())
-        known = self.runs.at
-        new = [x for x in dict.fromkeys(x for x in chain.from_iterable(pieces) if x not in known)]
-        special = [x for x in new if isinstance(x, int)]
-        self.runs.extend(special, np.array(special, np.int32), np.arange(1, len(special) + 1))
-        self._learn([x for x in new if not isinstance(x, int)])
-        index = np.fromiter(map(known.__getitem__, chain.from_iterable(pieces)), np.int64)
-        ids, to = self.runs.gather(index)
+        ids, to = self.runs.look_up(list(chain.from_iterable(pieces)), self._encode_runs)
         return ids, np.concatenate([[0], to])[np.cumsum([0, *map(len, pieces)], dtype=np.int64)]
 
     def decode(self, ids: Sequence[int]) -> str:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from larder.llm.bpe import CACHE_WORDS, Memo
+from larder.llm.bpe import Memo
 from larder.llm.common import remove, scratch
 
 VOCABULARY, END_ID = "byte_bpe_50k.json", 2
@@ -80,18 +80,15 @@ class UnitEncoder:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids and offsets, as ``bpe.Encoder.encode`` gives them."""
         units = [self._units(t or "") for t in texts]
-        if len(self.memo.at) > CACHE_WORDS:
-            self.memo = Memo()
-        known = self.memo.at
-        new = list(dict.fromkeys(u for u in chain.from_iterable(units) if u not in known))
-        for k in range(0, len(new), 10_000):
-            part = new[k:k + 10_000]
-            ids = [e.ids for e in self.library.encode_batch_fast(part, add_special_tokens=False)]
-            self.memo.extend(part, np.fromiter(chain.from_iterable(ids), np.int32), np.cumsum([len(x) for x in ids]))
-        index = np.fromiter(map(known.__getitem__, chain.from_iterable(units)), np.int64)
-        ids, to = self.memo.gather(index)
+        ids, to = self.memo.look_up(list(chain.from_iterable(units)), self._encode_units)
         return ids, np.concatenate([[0], to])[np.cumsum([0, *map(len, units)], dtype=np.int64)]
 
+    def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = []
+        for k in range(0, len(units), 10_000):
+            ids += [e.ids for e in self.library.encode_batch_fast(units[k:k + 10_000], add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(ids), np.int32), np.cumsum([len(x) for x in ids])
+
 
 @lru_cache(maxsize=1)
 def unit_encoder(path: str) -> UnitEncoder:
