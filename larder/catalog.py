@@ -17,8 +17,11 @@ from pyspark.sql import types as T
 
 from larder.config import DEFAULT, VARIANT_A, VARIANT_B, Variant
 from larder.operators import quality as Q
-from larder.operators.dedup import latest_per_key
-from larder.operators.joins import broadcast_if_small, lookup
+from larder.functions.dates import date_key, seconds_to_date
+from larder.functions.nested import array_size
+from larder.functions.predicates import if_
+from larder.operators.dedup import dedup, latest_per_key
+from larder.operators.joins import bridge_lookup, lookup
 from larder.operators.keys import sort_spec, surrogate_key
 from larder.operators.metrics import count_distinct, pct_nonnull, pct_where
 from larder.plans import staging as S
@@ -27,7 +30,7 @@ from larder.session import work_dir
 from larder.sources import audit as AU
 from larder.sources import documents as DOC
 from larder.sources import io as IO
-from larder.sources.testdata import load_food
+from larder.sources.testdata import food_path, load_food
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,7 +51,7 @@ def _jsonify(df: DataFrame) -> DataFrame:
 
 
 def _gold(spark: SparkSession, sf_dir: str, v: Variant) -> W.Gold:
-    return W.gold_for(load_food(spark, sf_dir), v, sf_dir)
+    return W.gold_for(load_food(spark, sf_dir), v, food_path(spark, sf_dir))
 
 
 # ---- sources --------------------------------------------------------------------------------
@@ -121,7 +124,12 @@ def dq_report_b(spark, sf):
 # ---- documents ----------------------------------------------------------------------------
 
 def document_subset(spark, sf):
-    return _jsonify(DOC.document_subset(load_food(spark, sf)))
+    return _jsonify(DOC.document_subset(load_food(spark, sf), max_energy=900))
+
+
+def document_top_n(spark, sf):
+    """The export with an explicit limit that binds."""
+    return _jsonify(DOC.document_subset(load_food(spark, sf), n=100, max_energy=900))
 
 
 def document_subset_basic(spark, sf):
@@ -130,9 +138,9 @@ def document_subset_basic(spark, sf):
 
 
 def document_roundtrip(spark, sf):
-    docs = DOC.document_subset(load_food(spark, sf))
+    docs = DOC.document_subset(load_food(spark, sf), max_energy=900)
     path = _scratch(spark, "documents")
-    DOC.export_documents(docs, path, records_per_file=1000)
+    DOC.export_documents(docs, path)
     return _jsonify(DOC.read_documents(spark, path, docs.schema))
 
 
@@ -143,7 +151,7 @@ def star_join_sales(spark, sf):
 
     Lines are first reduced to one row per order (sum, count; map-side combined),
     so the order join shuffles orders, not lines. Customer -> nation -> region is
-    a dimension chain looked up with size-checked broadcasts.
+    a chain of dimension lookups.
     """
     li = table(spark, sf, "lineitem")
     per_order = li.groupBy("l_orderkey").agg(
@@ -156,7 +164,7 @@ def star_join_sales(spark, sf):
     cust = lookup(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), geo,
                   ("c_nationkey", "n_nationkey"), ["n_name", "r_name"], how="inner")
     joined = per_order.join(orders, per_order.l_orderkey == orders.o_orderkey)
-    joined = joined.join(broadcast_if_small(cust), joined.o_custkey == cust.c_custkey)
+    joined = joined.join(cust, joined.o_custkey == cust.c_custkey)
     return joined.groupBy("r_name", "n_name", "order_year").agg(
         F.round(F.sum("_rev") / F.sum("_lines"), 2).alias("avg_revenue"),
         count_distinct("o_custkey").alias("nb_customers"),
@@ -226,7 +234,8 @@ def audit_append(spark, sf):
     ok, _ = IO.verify_landing(spark, path, rows)
     AU.log_run(spark, f"{base}/pipeline_logs", "food", path, rows, "SUCCESS" if ok else "FAILED")
     return AU.read_audit(spark, f"{base}/pipeline_logs").select(
-        "source_file", F.regexp_extract("output_file", r"([^/]+)$", 1).alias("output_file"),
+        F.col("run_id").rlike(r"^PL_[0-9]{8}_[0-9]{6}$").alias("run_id_ok"),
+        (F.date_format("run_date", "yyyyMMdd_HHmmss") == F.substring("run_id", 4, 15)).alias("run_date_ok"), "source_file", F.regexp_extract("output_file", r"([^/]+)$", 1).alias("output_file"),
         "nb_lignes_output", "statut")
 
 
@@ -234,18 +243,103 @@ def external_table(spark, sf):
     path = _scratch(spark, "external")
     IO.write_parquet(table(spark, sf, "part"), path)
     name = f"larder_part_{uuid.uuid4().hex[:8]}"
-    return IO.create_external(spark, name, path)
+    made = IO.create_external(spark, name, path)
+    spark.sql(f"DROP TABLE {name}")  # external: the catalog entry goes, the data stay
+    return made
+
+
+def audit_catalog(spark, sf):
+    """The audit log read as a catalog table."""
+    base = _scratch(spark, "audit-table")
+    rows = table(spark, sf, "part").count()
+    AU.log_run(spark, base, "part", "part.parquet", rows)
+    name = f"larder_audit_{uuid.uuid4().hex[:8]}"
+    made = AU.audit_table(spark, name, base).select("source_file", "output_file", "nb_lignes_output", "statut")
+    spark.sql(f"DROP TABLE {name}")
+    return made
 
 
 # Contract of the raw table; one type is deliberately stricter than the data and
 # one column is absent, so the report shows both kinds of finding.
+RAW_CONTRACT = {"code": "string", "nutriscore_grade": "string", "nutriscore_score": "int", "last_modified_t": "bigint"}
 FOOD_CONTRACT = {"code": "string", "nutriscore_grade": "string", "nutriscore_score": "bigint",
                  "nova_group": "int", "last_modified_t": "bigint", "countries_tags": "array<string>",
                  "created_t": "bigint"}
 
 
 def schema_contract(spark, sf):
-    return IO.schema_report(load_food(spark, sf), FOOD_CONTRACT)
+    return IO.schema_report(spark.read.parquet(food_path(spark, sf)), FOOD_CONTRACT)
+
+
+def schema_drift(spark, sf):
+    """The contract against a file that has drifted: the score as text, one column more."""
+    path = _scratch(spark, "drifted")
+    food = load_food(spark, sf).withColumn("nutriscore_score", F.col("nutriscore_score").cast("string")) \
+        .withColumn("created_t", F.col("last_modified_t"))
+    IO.write_parquet(food, path)
+    return IO.schema_report(spark.read.parquet(path), FOOD_CONTRACT)
+
+
+def date_out_of_range(spark, sf):
+    """Seconds far past the year 9999 give NULL, not a failed job."""
+    d = seconds_to_date(F.col("o_orderkey") * F.lit(10**9))
+    return table(spark, sf, "orders").select("o_orderkey", d.alias("d"), date_key(d).alias("d_key"))
+
+
+def _fan_out_first(fmt: str, options: dict):
+    """fan_out with a first sink that is not Parquet."""
+    def q(spark, sf):
+        ev = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+        base = _scratch(spark, f"fanout-{fmt}")
+        IO.fan_out(ev, [(fmt, f"{base}/{fmt}", options), ("parquet", f"{base}/parquet", None), ("json", f"{base}/json", None)])
+        reads = [spark.read.schema(ev.schema).options(**options).format(fmt).load(f"{base}/{fmt}"), spark.read.parquet(f"{base}/parquet"),
+                 spark.read.schema(ev.schema).json(f"{base}/json")]
+        parts = [r.withColumn("sink", F.lit(n)) for r, n in zip(reads, ("first", "parquet", "json"))]
+        return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return q
+
+
+def gold_dim_product(spark, sf):
+    """dim_product as a finished run leaves it in the gold folder."""
+    out = _scratch(spark, "run-a")
+    W.run_pipeline(load_food(spark, sf), VARIANT_A, out=out, raw_path=food_path(spark, sf), contract=RAW_CONTRACT)
+    return IO.read_layer(spark, *out.rsplit("/", 1), "dim_product")
+
+
+def layer_view(spark, sf):
+    """A layer table read back and shown as a view."""
+    base = _scratch(spark, "layers")
+    IO.write_layer(table(spark, sf, "nation"), base, "silver", "nation")
+    return IO.materialize(IO.read_layer(spark, base, "silver", "nation"), "view", f"nation_{uuid.uuid4().hex[:8]}")
+
+
+def order_nation(spark, sf):
+    """Order -> customer -> nation name."""
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
+    return bridge_lookup(orders, "c_custkey", table(spark, sf, "customer"), "c_nationkey", table(spark, sf, "nation"),
+                         ["n_name"], "n_nationkey")
+
+
+def food_flags(spark, sf):
+    """Array size and IF."""
+    return load_food(spark, sf).select("code", array_size("countries_tags").cast("bigint").alias("nb_countries"),
+                                       if_(F.col("nutriscore_score") > 10, "nutriscore_grade").alias("weak_grade")).filter("code IS NOT NULL")
+
+
+def run_status(spark, sf):
+    """The soft-failure status of a quality report (Q7), with the number of failed checks."""
+    report = dq_report(spark, sf)
+    return report.agg(F.count_if(~F.col("passed")).alias("failed")).withColumn("statut", F.lit(Q.status(report)))
+
+
+def one_per_customer(spark, sf):
+    """One row per key subset."""
+    return dedup(table(spark, sf, "orders").select("o_custkey", F.lit(1).alias("seen")), ["o_custkey"])
+
+
+def stg_nutrition_rows_a(spark, sf):
+    """Variant A's nutrition staging: one row per raw row with a code."""
+    return S.stg_nutrition(load_food(spark, sf), VARIANT_A, collapse=False)
 
 
 LOOKUP_SQL = """
@@ -273,6 +367,21 @@ QUERIES: dict[str, Query] = {
     "stg_countries_b": _stg(S.stg_countries, VARIANT_B),
     "stg_date_a": _stg(S.stg_date, VARIANT_A),
     "stg_date_b": _stg(S.stg_date, VARIANT_B),
+    **{f"stg_{n}_default": _stg(getattr(S, f"stg_{n}"), DEFAULT) for n in ("products", "brands", "categories", "countries", "date")},
+    "dim_product_default": _gold_table("dim_product", DEFAULT),
+    "dim_country_default": _gold_table("dim_country", DEFAULT),
+    "stg_nutrition_rows_a": stg_nutrition_rows_a,
+    "gold_dim_product": gold_dim_product,
+    "layer_view": layer_view,
+    "order_nation": order_nation,
+    "food_flags": food_flags,
+    "run_status": run_status,
+    "one_per_customer": one_per_customer,
+    "audit_catalog": audit_catalog,
+    "schema_drift": schema_drift,
+    "date_out_of_range": date_out_of_range,
+    "fan_out_csv_first": _fan_out_first("csv", {"header": "true", "sep": "|"}),
+    "fan_out_json_first": _fan_out_first("json", {}),
     "stg_nutrition_max": stg_nutrition_max,
     "stg_nutrition_latest": stg_nutrition_latest,
     "dim_product": _gold_table("dim_product", VARIANT_A),
@@ -305,6 +414,7 @@ QUERIES: dict[str, Query] = {
     "kpi_completeness_default": _kpi("kpi_completeness", DEFAULT),
     "dq_report_b": dq_report_b,
     "document_subset": document_subset,
+    "document_top_n": document_top_n,
     "document_subset_basic": document_subset_basic,
     "document_roundtrip": document_roundtrip,
     "star_join_sales": star_join_sales,

@@ -14,11 +14,17 @@ from pyspark.sql import functions as F
 from larder.functions._util import as_col
 
 
+# Days since 1970-01-01 of 0001-01-01 and 9999-12-31.
+FIRST_DAY, LAST_DAY = -719162, 2932896
+
+
 def seconds_to_date(c, zone: str = "utc") -> Column:
-    """Unix seconds -> DATE."""
+    """Unix seconds -> DATE (D1); NULL outside the years 1 to 9999 (a stray microsecond value must
+    not end the job)."""
     c = as_col(c)
     if zone == "utc":
-        return F.date_from_unix_date(F.floor(c / F.lit(86400)).cast("int"))
+        days = F.floor(c / F.lit(86400))
+        return F.when(days.between(FIRST_DAY, LAST_DAY), F.date_from_unix_date(days.try_cast("int")))
     if zone == "session":
         return F.to_date(F.timestamp_seconds(c))
     raise ValueError(f"unknown zone {zone!r}")

@@ -1,8 +1,8 @@
-"""Equi-join operators (J1-J7) with a size check before any broadcast.
+"""Equi-join operators.
 
-A side is broadcast only after counting it up to a bound (``limit(k+1).count()``,
-cheap on a written dimension); above the bound the join stays a shuffle join and
-AQE may still convert or split it at run time.
+No side is forced into a broadcast and none is counted beforehand: the optimiser compares
+the measured bytes of a finished shuffle with ``spark.sql.autoBroadcastJoinThreshold`` (AQE), so a
+small dimension is broadcast and a large one is shuffled, and skewed shuffles are split.
 """
 
 from __future__ import annotations
@@ -11,63 +11,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Broadcast budget per side. Estimated as rows x schema width; Spark's own hard
-# limit is 8 GB, a broadcast here stays far below it.
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def _width(t: T.DataType) -> int:
-    if isinstance(t, (T.ByteType, T.BooleanType)):
-        return 1
-    if isinstance(t, T.ShortType):
-        return 2
-    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(t, (T.StringType, T.BinaryType)):
-        return 24
-    if isinstance(t, T.ArrayType):
-        return 8 + 4 * _width(t.elementType)
-    if isinstance(t, T.MapType):
-        return 8 + 4 * (_width(t.keyType) + _width(t.valueType))
-    if isinstance(t, T.StructType):
-        return sum(_width(f.dataType) for f in t.fields)
-    return 8
-
-
-def row_width(df: DataFrame) -> int:
-    """Estimated bytes per row from the schema (strings and arrays at a nominal size)."""
-    return 16 + _width(df.schema)
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
-                       max_rows: int | None = None, known_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows (derived from ``max_bytes``).
-
-    ``known_rows``: an exact row count already in hand (e.g. observed while the
-    table was written), which saves the counting job.
-    """
-    bound = max_rows if max_rows is not None else max(1, max_bytes // row_width(df))
-    n = known_rows if known_rows is not None else df.limit(bound + 1).count()
-    return F.broadcast(df) if n <= bound else df
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: str | tuple[str, str], cols: Sequence[str],
-           how: str = "left", check_broadcast: bool = True, dim_rows: int | None = None) -> DataFrame:
+           how: str = "left", spread: str | None = None) -> DataFrame:
     """Attach ``cols`` of ``dim`` by a natural key.
 
     ``on`` is a shared column name or ``(left_name, dim_name)``. Only the key and
-    the wanted columns of ``dim`` take part, so name clashes cannot happen and the
-    broadcast stays narrow.
+    the wanted columns of ``dim`` take part, so name clashes cannot happen. ``spread``: a column whose
+    text stands in for a NULL text key (behind a character no key has), so that rows without a key
+    do not meet in one task.
     """
     left_key, dim_key = (on, on) if isinstance(on, str) else on
     tmp = f"_lk_{dim_key}"
     side = dim.select(F.col(dim_key).alias(tmp), *cols)
-    if check_broadcast:
-        side = broadcast_if_small(side, known_rows=dim_rows)
-    joined = df.join(side, F.col(left_key) == F.col(tmp), how)
-    return joined.drop(tmp)
+    key = F.col(left_key)
+    if spread is not None:
+        key = F.coalesce(key, F.concat(F.lit("\x00"), F.col(spread).cast("string")))
+    return df.join(side, key == F.col(tmp), how).drop(tmp)
 
 
 def bridge_lookup(df: DataFrame, key: str, bridge: DataFrame, tag: str, dim: DataFrame,
@@ -78,10 +39,8 @@ def bridge_lookup(df: DataFrame, key: str, bridge: DataFrame, tag: str, dim: Dat
 
 
 def star_join(fact: DataFrame, dims: Sequence[tuple]) -> DataFrame:
-    """Inner joins of a fact to dimensions by surrogate key (J5 J6): rows with a
-    missing key drop out. Dimensions are broadcast when the size check allows.
-    Each entry is ``(dim, key, cols)`` or ``(dim, key, cols, known_rows)``."""
-    out = fact
-    for dim, key, cols, *rows in dims:
-        out = lookup(out, dim, key, cols, how="inner", dim_rows=rows[0] if rows else None)
-    return out
+    """Inner joins of a fact to dimensions ``(dim, key, cols)`` by surrogate key (J5 J6): rows with a
+    missing key drop out."""
+    for dim, key, cols in dims:
+        fact = lookup(fact, dim, key, cols, how="inner")
+    return fact

@@ -31,9 +31,6 @@ from larder.session import ensure_checkpoint_dir
 
 _PART, _POS, _TIE = "_sk_part", "_sk_pos", "_sk_tie"
 
-# Bound for the single-partition numbering of a checked-small table: one task
-# sorts at most this many rows.
-SMALL_KEY_ROWS = 1_000_000
 _LOW_BITS = (1 << 33) - 1
 
 
@@ -46,22 +43,11 @@ def sort_spec(c, descending: bool = False, nulls_last: bool | None = None) -> Co
 
 
 def surrogate_key(df: DataFrame, order: Sequence, name: str, *, unique: bool = True,
-                  partitions: int | None = None, first: bool = True,
-                  small_rows: int | None = None) -> DataFrame:
-    """Add ``name`` = 1..N following ``order`` (a list of column names or sort Columns).
-
-    ``small_rows``: for inputs that are usually small (a dimension of tags), the
-    input is first checkpointed and counted exactly; at or under this bound the
-    numbering is a single-partition ``row_number`` over the checkpoint (fewer
-    jobs), above it the distributed path below runs on the checkpoint.
-    """
+                  partitions: int | None = None, first: bool = True) -> DataFrame:
+    """Add ``name`` = 1..N following ``order`` (a list of column names or sort Columns)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     order = [sort_spec(o) if isinstance(o, str) else o for o in order]
-    if small_rows is not None:
-        df = df.checkpoint(eager=True)
-        if df.limit(small_rows + 1).count() <= small_rows:
-            return small_surrogate_key(df, order, name, first=first)
     cols = df.columns
     if not unique:
         df = df.withColumn(_TIE, F.monotonically_increasing_id())
@@ -87,30 +73,17 @@ def surrogate_key(df: DataFrame, order: Sequence, name: str, *, unique: bool = T
 def small_surrogate_key(df: DataFrame, order: Sequence, name: str, first: bool = True) -> DataFrame:
     """Plain ``row_number`` over a single-partition window.
 
-    Only for tables whose size is bounded: by the domain (a calendar of days) or
-    by an exact count checked beforehand (``surrogate_key(small_rows=...)``).
+    Only for tables whose size the domain bounds (a calendar of days).
     """
     order = [sort_spec(o) if isinstance(o, str) else o for o in order]
     sk = F.row_number().over(Window.orderBy(*order)).cast("bigint").alias(name)
     return df.select(sk, *df.columns) if first else df.select(*df.columns, sk)
 
 
-# Largest n answered by Spark's own top-n (a per-partition top-n, then one task
-# merging n rows per partition). Above it the first n rows are found by ranking,
-# whose cost does not depend on the number of partitions.
-TOP_N_SMALL = 1_000
-
-
 def top_n(df: DataFrame, order: Sequence, n: int) -> DataFrame:
-    """First ``n`` rows by ``order`` (ties broken by the remaining columns).
-
-    Small ``n``: ``orderBy().limit()``. Large ``n`` (e.g. an export cap of 100 000):
-    rank with the distributed surrogate key and keep rank <= n, so no single task
-    ever merges partitions x n rows.
-    """
+    """First ``n`` rows by ``order`` (ties broken by the remaining columns): ranked with the
+    distributed surrogate key, so no task ever merges partitions x n rows."""
     order = [sort_spec(o) if isinstance(o, str) else o for o in order]
     full = [*order, *[F.col(c).asc_nulls_last() for c in df.columns]]
-    if n <= TOP_N_SMALL:
-        return df.orderBy(*full).limit(n)
     ranked = surrogate_key(df, full, "_top_rank", unique=False, first=False)
     return ranked.filter(F.col("_top_rank") <= n).drop("_top_rank")

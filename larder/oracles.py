@@ -1,12 +1,18 @@
-"""DuckDB SQL that states, independently of the Spark code, what each registered
-query must return. Used only for checking: the driver runs each string on the
-same Parquet tables (registered as views) and compares with the Spark result.
+"""DuckDB SQL for what each registered query must return, from the rules alone.
+
+Everything about products comes from three relations per variant: ``clean`` (each raw row with all
+cleaned values side by side), ``product`` (one GROUP BY of it: latest attributes, measures, bridge
+values) and ``place`` (product x country). Dimensions number the distinct values of ``clean``; the
+fact finds its keys as positions in the sorted lists of those values; KPIs group ``place`` by the
+dimensions' own attributes, without surrogate keys. Used only for checking.
 
 ``FOOD`` is the DuckDB twin of ``larder.sources.testdata.food``.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 FOOD = """
 WITH c AS (
   SELECT l_partkey, list_sort(list(DISTINCT 'en:' || lower(replace(n_name, '_', '-')))) AS tags,
@@ -31,11 +37,11 @@ SELECT
   CASE WHEN p_partkey % 19 = 0 THEN NULL ELSE c.tags END AS countries_tags,
   CASE WHEN p_partkey % 31 = 0 THEN NULL ELSE c.t - 86400 * v END AS last_modified_t,
   CASE WHEN p_partkey % 5 = 0 THEN
-    [{'name': 'energy-kcal', '100g': p_retailprice}, {'name': 'fat', '100g': CAST(p_size AS DOUBLE)},
+    [{'name': 'energy-kcal', '100g': p_size * 36.0::DOUBLE}, {'name': 'fat', '100g': CAST(p_size AS DOUBLE)},
      {'name': 'saturated-fat', '100g': p_size / 4.0::DOUBLE}, {'name': 'sugars', '100g': p_size / 5.0::DOUBLE},
      {'name': 'proteins', '100g': p_size / 2.0::DOUBLE}]
   ELSE
-    [{'name': 'energy-kcal', '100g': p_retailprice}, {'name': 'fat', '100g': CAST(p_size AS DOUBLE)},
+    [{'name': 'energy-kcal', '100g': p_size * 36.0::DOUBLE}, {'name': 'fat', '100g': CAST(p_size AS DOUBLE)},
      {'name': 'saturated-fat', '100g': p_size / 4.0::DOUBLE}, {'name': 'sugars', '100g': p_size / 5.0::DOUBLE},
      {'name': 'salt', '100g': p_size / 10.0::DOUBLE + v}, {'name': 'proteins', '100g': p_size / 2.0::DOUBLE},
      {'name': 'fiber', '100g': p_size / 8.0::DOUBLE}] END AS nutriments
@@ -44,282 +50,222 @@ WHERE v = 0 OR p_partkey % 7 = 0
 """
 
 
-def _initcap(x: str) -> str:
-    return f"array_to_string(list_transform(string_split({x}, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ')"
-
-
-def _pretty(x: str) -> str:
-    return _initcap(f"regexp_replace(regexp_replace({x}, '^..:', ''), '-', ' ', 'g')")
-
-
-def _sentence(x: str) -> str:
-    return f"upper(left({x}, 1)) || lower(substr({x}, 2))"
-
 
-def _keyed(arr: str, key_field: str, key: str) -> str:
-    """First struct of ``arr`` whose ``key_field`` equals ``key`` (NULL if none)."""
-    return f"{arr}[list_position(list_transform({arr}, lambda e: e.{key_field}), '{key}')]"
+# Nutrient names in the raw table and the measures' names in the two sources.
+NUTRIENTS = ["energy-kcal", "fat", "saturated-fat", "sugars", "salt", "proteins", "fiber"]
+M_A = ["energy_kcal", "fat_100g", "saturated_fat_100g", "sugar_100g", "salt_100g", "proteins_100g", "fiber_100g"]
+M_B = ["energy_kcal", "fat_g", "saturated_fat_g", "sugars_g", "salt_g", "proteins_g", "fiber_g"]
+# French month names, January first.
+MONTHS = ["Janvier", "Février", "Mars", "Avril", "Mai", "Juin", "Juillet", "Août", "Septembre", "Octobre", "Novembre",
+          "Décembre"]
 
 
 def _nutrient(name: str) -> str:
-    return f"CAST({_keyed('nutriments', 'name', name)}['100g'] AS DOUBLE)"
+    """The value under a nutrient's name: the first such entry of the array."""
+    return f"list_filter(nutriments, lambda e: e.name = '{name}')[1]['100g']"
+
+
+def _upper_first(x: str) -> str:
+    return f"(upper({x}[1]) || lower({x}[2:]))"
+
+
+def _from_tag(x: str) -> str:
+    """'en:some-thing' -> 'Some Thing'."""
+    bare = f"CASE WHEN {x}[3] = ':' THEN {x}[4:] ELSE {x} END"
+    return f"array_to_string(list_transform(string_split({bare}, '-'), lambda w: upper(w[1]) || lower(w[2:])), ' ')"
+
+
+def _date(sec: str) -> str:
+    return f"(DATE '1970-01-01' + CAST(floor({sec} / 86400) AS INTEGER))"
+
+
+def _largest(values: list[str]) -> str:
+    """Aggregate: the row with the largest values, NULL the smallest of all; field i is ['v' || i]."""
+    parts = ", ".join(f"'n{i}': ({v}) IS NOT NULL, 'v{i}': {v}" for i, v in enumerate(values))
+    return f"max({{{parts}}})"
+
+
+@dataclass(frozen=True)
+class Rules:
+    """One configuration's rules as SQL over a raw row."""
+
+    measures: list[str]
+    quantity: str            # the output name of the raw quantity
+    name: str
+    brand_name: str
+    brand_row: str           # which raw rows speak about a brand
+    brand_key: str           # brand_tag | brand_name
+    category_tag: str
+    category_row: str
+    label: str               # the label's column name
+    category_label: str
+    country: str             # a tag x, cleaned
+    country_row: str         # which tags x count
+    country_name: str
+    country_once: bool
+    latest: bool             # measures of the latest row, else the largest of each
+    iso: bool                # weekday from Monday = 1, smart date keys; else Sunday = 1, dense keys
+    date: str
+    date_per_row: bool
+    fact_key: str
+
+
+_ITEM = "trim(split_part({}, ',', 1))"
+_FIRST_CATEGORY = "trim(categories_tags[1])"
+_LABEL_FROM_TEXT = _upper_first(_ITEM.format("categories"))
+_MAIN = "coalesce(list_filter(product_name, lambda e: e.lang = 'main')[1].text, product_name[1].text)"
+A = Rules(M_A, "product_quantity", _MAIN, _upper_first(_ITEM.format("brands")), "brands <> ''", "brand_tag",
+          f"lower({_FIRST_CATEGORY})", "categories_tags IS NOT NULL", "category_label", _LABEL_FROM_TEXT,
+          "trim(x)", "x <> ''", "upper(country_tag[4]) || country_tag[5:]", False, False, True, "date_value", True, "nutrition_sk")
+B = Rules(M_B, "quantity", "product_name[1].text", f"upper({_ITEM.format('brands')})", f"{_ITEM.format('brands')} <> ''",
+          "brand_name", _FIRST_CATEGORY, f"{_FIRST_CATEGORY} <> ''", "category_name", _from_tag(_FIRST_CATEGORY),
+          "lower(trim(x))", "trim(x) <> ''", _from_tag("country_tag"), True, True, False, "full_date", False, "nutrition_fact_sk")
+D = Rules(M_A, "product_quantity", _MAIN, _upper_first(_ITEM.format("brands")), f"{_ITEM.format('brands')} <> ''", "brand_tag",
+          f"lower({_FIRST_CATEGORY})", f"{_FIRST_CATEGORY} <> ''", "category_label", _LABEL_FROM_TEXT,
+          "lower(trim(x))", "trim(x) <> ''", _from_tag("country_tag"), True, True, True, "date_value", False, "nutrition_sk")
+ATTRS = ["product_name", "nutriscore_grade", "nova_group", "environmental_score_grade"]
+
+
+def clean(r: Rules) -> str:
+    measured = ", ".join(f"CAST({_nutrient(n)} AS DOUBLE) AS {m}" for n, m in zip(NUTRIENTS, r.measures))
+    return f"""SELECT code, last_modified_t, {_date('last_modified_t')} AS d, {r.name} AS product_name,
+        if(nutriscore_grade IN ('a', 'b', 'c', 'd', 'e'), nutriscore_grade, NULL) AS nutriscore_grade, nova_group,
+        environmental_score_grade, quantity AS {r.quantity}, coalesce({r.brand_row}, false) AS has_brand,
+        lower(trim(brands_tags[1])) AS brand_tag, {r.brand_name} AS brand_name, coalesce({r.category_row}, false) AS has_category,
+        {r.category_tag} AS category_tag, {r.category_label} AS {r.label},
+        list_transform(list_filter(countries_tags, lambda x: {r.country_row}), lambda x: {r.country}) AS countries,
+        {measured}, nutriscore_score FROM ({FOOD}) food"""
+
+
+def brands(r: Rules) -> str:
+    """Brand rows: as they are (A), the largest of each column (B) or the largest pair (D) per product."""
+    rows = "FROM clean WHERE code IS NOT NULL AND has_brand"
+    if r is A:
+        return f"SELECT code AS product_code, brand_tag, brand_name {rows}"
+    if r is B:
+        return f"SELECT code AS product_code, max(brand_tag) AS brand_tag, max(brand_name) AS brand_name {rows} GROUP BY code"
+    return f"SELECT product_code, b.v0 AS brand_tag, b.v1 AS brand_name FROM (SELECT code AS product_code, {_largest(['brand_tag', 'brand_name'])} AS b {rows} GROUP BY code)"
+
+
+def categories(r: Rules) -> str:
+    rows = "FROM clean WHERE code IS NOT NULL AND has_category"
+    if r is B:
+        return f"SELECT code AS product_code, max(category_tag) AS category_tag, max({r.label}) AS {r.label} {rows} GROUP BY code"
+    return f"SELECT code AS product_code, category_tag, {r.label} {rows}"
+
+
+def countries(r: Rules) -> str:
+    once = "DISTINCT " if r.country_once else ""
+    return f"SELECT {once}code AS product_code, unnest(countries) AS country_tag FROM clean WHERE code IS NOT NULL"
+
+
+def calendar(r: Rules, d: str) -> str:
+    """Attributes of a date, with the columns the rules name."""
+    same = f"""CAST(year({d}) AS INTEGER) AS year, CAST(quarter({d}) AS INTEGER) AS quarter, CAST(month({d}) AS INTEGER) AS month,
+        strftime({d}, '%w') IN ('0', '6') AS is_weekend, {d} AS {r.date}"""
+    if r.iso:
+        return f"""{same}, CAST(strftime({d}, '%u') AS INTEGER) AS day_of_week, CAST(strftime({d}, '%Y%m%d') AS INTEGER) AS date_sk,
+            CAST(year({d}) - year({d}) % 10 AS INTEGER) AS decade"""
+    return f"{same}, CAST(strftime({d}, '%w') AS INTEGER) + 1 AS day_of_week"
+
+
+def dates(r: Rules) -> str:
+    more = f", CAST(day(d) AS INTEGER) AS day, ({MONTHS})[month(d)] AS month_name" if r.iso else ""
+    if r.date_per_row:
+        return f"SELECT code AS product_code, {calendar(r, 'd')}{more} FROM clean WHERE d IS NOT NULL"
+    return f"""SELECT product_code, {calendar(r, 'd')}{more} FROM (
+        SELECT code AS product_code, max(d) AS d FROM clean WHERE code IS NOT NULL AND d IS NOT NULL GROUP BY code)"""
+
+
+def product(r: Rules) -> str:
+    """One row per code: number, latest attributes, measures and the values its fact rows point at."""
+    attrs = [*ATTRS, r.quantity]
+    best = f"{_largest(['last_modified_t', *attrs])} AS latest"
+    figures = [*r.measures, "nutriscore_score"]
+    if r.latest:
+        grouped = f"{_largest(['last_modified_t', *figures])} AS nut"
+        out = ", ".join(f"nut.v{i + 1} AS {m}" for i, m in enumerate(figures)) + ", nut.v0 AS nut_t"
+    else:
+        grouped = ", ".join(f"max({m}) AS {m}" for m in figures) + ", max(last_modified_t) AS nut_t"
+        out = ", ".join([*figures, "nut_t"])
+    pair = _largest(["brand_tag", "brand_name"])
+    brand = {"brand_name": "max(brand_name) FILTER (has_brand)", "brand_tag": "max(brand_tag) FILTER (has_brand)"}[r.brand_key]
+    if r is D:
+        brand = f"({pair} FILTER (has_brand)).v0"
+    return f"""SELECT row_number() OVER (ORDER BY code) AS product_sk, code AS product_code,
+        {", ".join(f"latest.v{i + 1} AS {a}" for i, a in enumerate(attrs))}, {out}, brand, category, last_day FROM (
+        SELECT code, {best}, {grouped}, {brand} AS brand, max(category_tag) FILTER (has_category) AS category, max(d) AS last_day
+        FROM clean WHERE code IS NOT NULL GROUP BY code)"""
 
 
-def _day(sec: str) -> str:
-    return f"CAST(make_timestamp({sec} * 1000000) AS DATE)"
+def dim(key: str, value: str | None, of: str, sk: str, drop: str) -> str:
+    """Distinct non-NULL keys in order, numbered, each with its largest value."""
+    more = f", {value}" if value else ""
+    return f"SELECT CAST(dense_rank() OVER (ORDER BY {key}) AS BIGINT) AS {sk}, {key}{more} FROM {of} WHERE {drop} GROUP BY {key}"
 
 
-NUTRIENTS = [("energy-kcal", "energy_kcal", "energy_kcal"), ("fat", "fat_100g", "fat_g"),
-             ("saturated-fat", "saturated_fat_100g", "saturated_fat_g"), ("sugars", "sugar_100g", "sugars_g"),
-             ("salt", "salt_100g", "salt_g"), ("proteins", "proteins_100g", "proteins_g"),
-             ("fiber", "fiber_100g", "fiber_g")]
-M_A = [n[1] for n in NUTRIENTS]
-M_B = [n[2] for n in NUTRIENTS]
-GRADE = "CASE WHEN nutriscore_grade IN ('a', 'b', 'c', 'd', 'e') THEN nutriscore_grade END"
-NAME_A = f"COALESCE({_keyed('product_name', 'lang', 'main')}.text, list_extract(product_name, 1).text)"
-NAME_B = "list_extract(product_name, 1).text"
-# French month names, January first.
-MONTHS = ("(['Janvier', 'Février', 'Mars', 'Avril', 'Mai', 'Juin', 'Juillet', 'Août', 'Septembre', 'Octobre', "
-          "'Novembre', 'Décembre'])[month(d)]")
-
-CTE = {
-    "food": FOOD,
-    # ---- staging, variant A
-    "stg_products_a": f"""SELECT DISTINCT code AS product_code, {NAME_A} AS product_name, {GRADE} AS nutriscore_grade,
-        nova_group, environmental_score_grade, quantity AS product_quantity FROM food WHERE code IS NOT NULL""",
-    "stg_brands_a": f"""SELECT code AS product_code, lower(trim(list_extract(brands_tags, 1))) AS brand_tag,
-        {_sentence("trim(split_part(brands, ',', 1))")} AS brand_name
-        FROM food WHERE brands IS NOT NULL AND brands != '' AND code IS NOT NULL""",
-    "stg_categories_a": f"""SELECT code AS product_code, lower(trim(list_extract(categories_tags, 1))) AS category_tag,
-        {_sentence("trim(split_part(categories, ',', 1))")} AS category_label
-        FROM food WHERE categories_tags IS NOT NULL AND code IS NOT NULL""",
-    "stg_countries_a": """SELECT product_code, trim(country_tag) AS country_tag FROM (
-        SELECT code AS product_code, unnest(countries_tags) AS country_tag FROM food
-        WHERE code IS NOT NULL AND countries_tags IS NOT NULL) u
-        WHERE country_tag IS NOT NULL AND country_tag != ''""",
-    "stg_date_a": f"""SELECT product_code, d AS date_value, CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_sk,
-        CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
-        CAST(day(d) AS INTEGER) AS day, CAST(isodow(d) AS INTEGER) AS day_of_week,
-        CAST(floor(year(d) / 10) * 10 AS INTEGER) AS decade, {MONTHS} AS month_name,
-        isodow(d) >= 6 AS is_weekend
-        FROM (SELECT code AS product_code, {_day('last_modified_t')} AS d FROM food WHERE last_modified_t IS NOT NULL) b""",
-    "stg_nutrition_rows_a": "SELECT code AS product_code, nutriscore_score, last_modified_t, "
-        + ", ".join(f"{_nutrient(n)} AS {a}" for n, a, _ in NUTRIENTS) + " FROM food WHERE code IS NOT NULL",
-    "stg_nutrition_max": "SELECT product_code, " + ", ".join(f"max({m}) AS {m}" for m in M_A)
-        + ", max(nutriscore_score) AS nutriscore_score, max(last_modified_t) AS last_modified_t"
-        + " FROM stg_nutrition_rows_a GROUP BY product_code",
-    # ---- staging, variant B
-    "stg_products_b": f"""SELECT code AS product_code, {NAME_B} AS product_name, {GRADE} AS nutriscore_grade,
-        nova_group, environmental_score_grade, quantity FROM food WHERE code IS NOT NULL""",
-    "stg_brands_b": """SELECT product_code, max(brand_name) AS brand_name, max(brand_tag) AS brand_tag FROM (
-        SELECT code AS product_code, upper(trim(split_part(brands, ',', 1))) AS brand_name,
-               lower(trim(list_extract(brands_tags, 1))) AS brand_tag FROM food WHERE code IS NOT NULL) r
-        WHERE brand_name IS NOT NULL AND brand_name != '' GROUP BY product_code""",
-    "stg_categories_b": f"""SELECT product_code, max(category_tag) AS category_tag,
-        max({_pretty('category_tag')}) AS category_name FROM (
-        SELECT code AS product_code, trim(list_extract(categories_tags, 1)) AS category_tag FROM food WHERE code IS NOT NULL) r
-        WHERE category_tag IS NOT NULL AND category_tag != '' GROUP BY product_code""",
-    "stg_countries_b": """SELECT DISTINCT product_code, country_tag FROM (
-        SELECT product_code, lower(trim(t)) AS country_tag FROM (
-          SELECT code AS product_code, unnest(countries_tags) AS t FROM food WHERE code IS NOT NULL) u) r
-        WHERE country_tag IS NOT NULL AND country_tag != ''""",
-    "stg_date_b": f"""SELECT product_code, d AS full_date, CAST(year(d) AS INTEGER) AS year,
-        CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
-        CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week, dayofweek(d) IN (0, 6) AS is_weekend
-        FROM (SELECT code AS product_code, max({_day('last_modified_t')}) AS d FROM food
-              WHERE code IS NOT NULL AND last_modified_t IS NOT NULL GROUP BY code) b""",
-    "stg_nutrition_rows_b": "SELECT code AS product_code, nutriscore_score, last_modified_t, "
-        + ", ".join(f"{_nutrient(n)} AS {b}" for n, _, b in NUTRIENTS) + " FROM food WHERE code IS NOT NULL",
-    "stg_nutrition_latest": "SELECT product_code, " + ", ".join(M_B)
-        + f", nutriscore_score, {_day('last_modified_t')} AS last_modified_date FROM ("
-        + "SELECT *, row_number() OVER (PARTITION BY product_code ORDER BY last_modified_t DESC NULLS LAST, "
-        + ", ".join(f"{m} DESC NULLS LAST" for m in M_B)
-        + ", nutriscore_score DESC NULLS LAST) AS rn FROM stg_nutrition_rows_b) k WHERE rn = 1",
-    # ---- dimensions
-    "dim_product_a": f"""SELECT CAST(row_number() OVER (ORDER BY product_code) AS BIGINT) AS product_sk, product_code,
-        product_name, nutriscore_grade, nova_group, environmental_score_grade, product_quantity FROM (
-        SELECT *, row_number() OVER (PARTITION BY product_code ORDER BY last_modified_t DESC NULLS LAST,
-          product_name DESC NULLS LAST, nutriscore_grade DESC NULLS LAST, nova_group DESC NULLS LAST,
-          environmental_score_grade DESC NULLS LAST, product_quantity DESC NULLS LAST) AS rn FROM (
-          SELECT code AS product_code, last_modified_t, {NAME_A} AS product_name, {GRADE} AS nutriscore_grade,
-                 nova_group, environmental_score_grade, quantity AS product_quantity
-          FROM food WHERE code IS NOT NULL) r) k WHERE rn = 1""",
-    "dim_product_b": f"""SELECT CAST(row_number() OVER (ORDER BY product_code) AS BIGINT) AS product_sk, product_code,
-        product_name, nutriscore_grade, nova_group, environmental_score_grade, quantity FROM (
-        SELECT *, row_number() OVER (PARTITION BY product_code ORDER BY last_modified_t DESC NULLS LAST,
-          product_name DESC NULLS LAST, nutriscore_grade DESC NULLS LAST, nova_group DESC NULLS LAST,
-          environmental_score_grade DESC NULLS LAST, quantity DESC NULLS LAST) AS rn FROM (
-          SELECT code AS product_code, last_modified_t, {NAME_B} AS product_name, {GRADE} AS nutriscore_grade,
-                 nova_group, environmental_score_grade, quantity FROM food WHERE code IS NOT NULL) r) k WHERE rn = 1""",
-    "dim_brand_a": """SELECT CAST(row_number() OVER (ORDER BY brand_tag) AS BIGINT) AS brand_sk, brand_tag, brand_name
-        FROM (SELECT brand_tag, max(brand_name) AS brand_name FROM stg_brands_a WHERE brand_tag IS NOT NULL
-              GROUP BY brand_tag) d""",
-    "dim_brand_b": """SELECT CAST(row_number() OVER (ORDER BY brand_name) AS BIGINT) AS brand_sk, brand_name, brand_tag
-        FROM (SELECT brand_name, min(brand_tag) AS brand_tag FROM stg_brands_b
-              WHERE brand_name IS NOT NULL AND brand_name != '' GROUP BY brand_name) d""",
-    "dim_category_a": """SELECT CAST(row_number() OVER (ORDER BY category_tag) AS BIGINT) AS category_sk, category_tag,
-        category_label FROM (SELECT category_tag, max(category_label) AS category_label FROM stg_categories_a
-        WHERE category_tag IS NOT NULL GROUP BY category_tag) d""",
-    "dim_category_b": """SELECT CAST(row_number() OVER (ORDER BY category_tag) AS BIGINT) AS category_sk, category_tag,
-        category_name FROM (SELECT category_tag, max(category_name) AS category_name FROM stg_categories_b
-        WHERE category_tag IS NOT NULL AND category_tag != '' GROUP BY category_tag) d""",
-    "dim_country_a": """SELECT CAST(row_number() OVER (ORDER BY country_tag) AS BIGINT) AS country_sk, country_tag,
-        upper(substr(country_tag, 4, 1)) || substr(country_tag, 5) AS country_name
-        FROM (SELECT DISTINCT country_tag FROM stg_countries_a WHERE country_tag IS NOT NULL) d""",
-    "dim_country_b": f"""SELECT CAST(row_number() OVER (ORDER BY country_tag) AS BIGINT) AS country_sk, country_tag,
-        {_pretty('country_tag')} AS country_name
-        FROM (SELECT DISTINCT country_tag FROM stg_countries_b WHERE country_tag IS NOT NULL AND country_tag != '') d""",
-    "dim_date_a": """SELECT DISTINCT date_sk, date_value, decade, year, quarter, month, day_of_week, is_weekend
-        FROM stg_date_a WHERE date_sk IS NOT NULL""",
-    "dim_date_b": """SELECT CAST(row_number() OVER (ORDER BY full_date) AS BIGINT) AS date_sk, full_date, year, quarter,
-        month, day_of_week, is_weekend FROM (SELECT DISTINCT full_date, year, quarter, month, day_of_week, is_weekend
-        FROM stg_date_b WHERE full_date IS NOT NULL) d""",
-    # ---- facts
-    # one row per product: the category / brand / date values its fact rows point at
-    "bridges_a": """SELECT product_code, max(category_tag) AS category_tag, max(brand_tag) AS brand_tag,
-        max(date_sk) AS date_sk FROM (
-          SELECT product_code, category_tag, NULL AS brand_tag, NULL::INTEGER AS date_sk FROM stg_categories_a
-          UNION ALL SELECT product_code, NULL, brand_tag, NULL FROM stg_brands_a
-          UNION ALL SELECT product_code, NULL, NULL, date_sk FROM stg_date_a) u
-        GROUP BY product_code""",
-    "fact_nutrition_a": "SELECT CAST(row_number() OVER (ORDER BY cr.product_code, cr.country_tag) AS BIGINT) AS nutrition_sk,"
-        " pd.product_sk, kg.category_sk, kb.brand_sk, kc.country_sk, CAST(kd.date_sk AS INTEGER) AS date_sk, "
-        + ", ".join(f"nu.{m}" for m in M_A) + ", nu.nutriscore_score"
-        + """ FROM stg_countries_a cr
-        LEFT JOIN bridges_a br USING (product_code)
-        LEFT JOIN stg_nutrition_max nu USING (product_code)
-        LEFT JOIN dim_product_a pd USING (product_code)
-        LEFT JOIN dim_country_a kc ON kc.country_tag = cr.country_tag
-        LEFT JOIN dim_category_a kg ON kg.category_tag = br.category_tag
-        LEFT JOIN dim_brand_a kb ON kb.brand_tag = br.brand_tag
-        LEFT JOIN dim_date_a kd ON kd.date_sk = br.date_sk""",
-    "fact_rows_b": "SELECT DISTINCT pd.product_sk, kg.category_sk, kb.brand_sk, kc.country_sk, kd.date_sk, "
-        + ", ".join(f"nu.{m}" for m in M_B) + ", nu.nutriscore_score"
-        + """ FROM stg_nutrition_latest nu
-        JOIN stg_countries_b cr USING (product_code)
-        LEFT JOIN dim_product_b pd USING (product_code)
-        LEFT JOIN stg_categories_b sc USING (product_code)
-        LEFT JOIN stg_brands_b sb USING (product_code)
-        LEFT JOIN dim_category_b kg ON kg.category_tag = sc.category_tag
-        LEFT JOIN dim_brand_b kb ON kb.brand_name = sb.brand_name
-        LEFT JOIN dim_country_b kc ON kc.country_tag = cr.country_tag
-        LEFT JOIN dim_date_b kd ON kd.full_date = nu.last_modified_date""",
-    "fact_nutrition_b": """SELECT CAST(row_number() OVER (ORDER BY product_sk NULLS FIRST, category_sk NULLS FIRST,
-        brand_sk NULLS FIRST, country_sk NULLS FIRST, date_sk NULLS FIRST) AS BIGINT) AS nutrition_fact_sk, *
-        FROM fact_rows_b""",
-}
+def dims(r: Rules) -> dict[str, str]:
+    other = "max(brand_name) AS brand_name" if r.brand_key == "brand_tag" else "min(brand_tag) AS brand_tag"
+    day = f"SELECT DISTINCT d AS x FROM clean WHERE d IS NOT NULL{'' if r.date_per_row else ' AND code IS NOT NULL'}"
+    if not r.date_per_row:
+        day = "SELECT DISTINCT last_day AS x FROM product WHERE last_day IS NOT NULL"
+    number = "" if r.iso else f"CAST(dense_rank() OVER (ORDER BY x) AS BIGINT) AS date_sk, "
+    kept = [r.date, "date_sk", "year", "quarter", "month", "day_of_week", "is_weekend"] + (["decade"] if r.iso else [])
+    return {
+        "dim_brand": dim(r.brand_key, other, "brands", "brand_sk", f"{r.brand_key} IS NOT NULL"),
+        "dim_category": dim("category_tag", f"max({r.label}) AS {r.label}", "categories", "category_sk", "category_tag IS NOT NULL"),
+        "dim_country": dim("country_tag", f"any_value({r.country_name}) AS country_name", "countries", "country_sk", "country_tag <> ''"
+                           if r.country_once else "country_tag IS NOT NULL"),
+        "dim_date": f"SELECT {', '.join(kept)} FROM (SELECT {number}{calendar(r, 'x')} FROM ({day}))",
+        "dim_product": f"SELECT CAST(product_sk AS BIGINT) AS product_sk, product_code, {', '.join([*ATTRS, r.quantity])} FROM product"}
 
-CTE.update({
-    # ---- the recommended DEFAULT configuration
-    "stg_brands_d": f"""SELECT product_code, max({{'t': brand_tag, 'n': brand_name}}).t AS brand_tag,
-        max({{'t': brand_tag, 'n': brand_name}}).n AS brand_name FROM (
-        SELECT code AS product_code, lower(trim(list_extract(brands_tags, 1))) AS brand_tag,
-               {_sentence("trim(split_part(brands, ',', 1))")} AS brand_name FROM food WHERE code IS NOT NULL) r
-        WHERE brand_name IS NOT NULL AND brand_name != '' GROUP BY product_code""",
-    "stg_categories_d": f"""SELECT product_code, category_tag, category_label FROM (
-        SELECT code AS product_code, lower(trim(list_extract(categories_tags, 1))) AS category_tag,
-               {_sentence("trim(split_part(categories, ',', 1))")} AS category_label FROM food WHERE code IS NOT NULL) r
-        WHERE category_tag IS NOT NULL AND category_tag != ''""",
-    "stg_date_d": f"""SELECT product_code, d AS date_value, CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_sk,
-        CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
-        CAST(isodow(d) AS INTEGER) AS day_of_week, CAST(floor(year(d) / 10) * 10 AS INTEGER) AS decade,
-        isodow(d) >= 6 AS is_weekend
-        FROM (SELECT code AS product_code, max({_day('last_modified_t')}) AS d FROM food
-              WHERE code IS NOT NULL AND last_modified_t IS NOT NULL GROUP BY code) b""",
-    "nutrition_d": "SELECT product_code, " + ", ".join(M_A) + ", nutriscore_score FROM ("
-        + "SELECT *, row_number() OVER (PARTITION BY product_code ORDER BY last_modified_t DESC NULLS LAST, "
-        + ", ".join(f"{m} DESC NULLS LAST" for m in M_A)
-        + ", nutriscore_score DESC NULLS LAST) AS rn FROM stg_nutrition_rows_a) k WHERE rn = 1",
-    "dim_brand_d": """SELECT CAST(row_number() OVER (ORDER BY brand_tag) AS BIGINT) AS brand_sk, brand_tag, brand_name
-        FROM (SELECT brand_tag, max(brand_name) AS brand_name FROM stg_brands_d WHERE brand_tag IS NOT NULL
-              GROUP BY brand_tag) d""",
-    "dim_category_d": """SELECT CAST(row_number() OVER (ORDER BY category_tag) AS BIGINT) AS category_sk, category_tag,
-        category_label FROM (SELECT category_tag, max(category_label) AS category_label FROM stg_categories_d
-        GROUP BY category_tag) d""",
-    "dim_date_d": """SELECT DISTINCT date_sk, date_value, decade, year, quarter, month, day_of_week, is_weekend
-        FROM stg_date_d""",
-    "fact_nutrition_d": "SELECT CAST(row_number() OVER (ORDER BY cr.product_code, cr.country_tag) AS BIGINT) AS nutrition_sk,"
-        " pd.product_sk, kg.category_sk, kb.brand_sk, kc.country_sk, dt.date_sk, "
-        + ", ".join(f"nu.{m}" for m in M_A) + ", nu.nutriscore_score"
-        + """ FROM stg_countries_b cr
-        LEFT JOIN nutrition_d nu USING (product_code)
-        LEFT JOIN dim_product_a pd USING (product_code)
-        LEFT JOIN (SELECT product_code, max(category_tag) AS category_tag FROM stg_categories_d GROUP BY product_code) sc
-          USING (product_code)
-        LEFT JOIN stg_brands_d sb USING (product_code)
-        LEFT JOIN stg_date_d dt USING (product_code)
-        LEFT JOIN dim_country_b kc ON kc.country_tag = cr.country_tag
-        LEFT JOIN dim_category_d kg ON kg.category_tag = sc.category_tag
-        LEFT JOIN dim_brand_d kb ON kb.brand_tag = sb.brand_tag""",
-})
-
-
-# Which CTEs each one reads (besides the views), so a query includes only what it needs.
-DEPS = {
-    "stg_products_a": ["food"], "stg_brands_a": ["food"], "stg_categories_a": ["food"],
-    "stg_countries_a": ["food"], "stg_date_a": ["food"], "stg_nutrition_rows_a": ["food"],
-    "stg_nutrition_max": ["stg_nutrition_rows_a"],
-    "stg_products_b": ["food"], "stg_brands_b": ["food"], "stg_categories_b": ["food"],
-    "stg_countries_b": ["food"], "stg_date_b": ["food"], "stg_nutrition_rows_b": ["food"],
-    "stg_nutrition_latest": ["stg_nutrition_rows_b"],
-    "dim_product_a": ["food"], "dim_product_b": ["food"],
-    "dim_brand_a": ["stg_brands_a"], "dim_brand_b": ["stg_brands_b"],
-    "dim_category_a": ["stg_categories_a"], "dim_category_b": ["stg_categories_b"],
-    "dim_country_a": ["stg_countries_a"], "dim_country_b": ["stg_countries_b"],
-    "dim_date_a": ["stg_date_a"], "dim_date_b": ["stg_date_b"],
-    "bridges_a": ["stg_categories_a", "stg_brands_a", "stg_date_a"],
-    "fact_nutrition_a": ["stg_countries_a", "bridges_a", "stg_nutrition_max", "dim_product_a", "dim_country_a",
-                         "dim_category_a", "dim_brand_a", "dim_date_a"],
-    "fact_rows_b": ["stg_nutrition_latest", "stg_countries_b", "dim_product_b", "stg_categories_b",
-                    "dim_category_b", "stg_brands_b", "dim_brand_b", "dim_country_b", "dim_date_b"],
-    "fact_nutrition_b": ["fact_rows_b"],
-    "stg_brands_d": ["food"], "stg_categories_d": ["food"], "stg_date_d": ["food"],
-    "nutrition_d": ["stg_nutrition_rows_a"], "dim_brand_d": ["stg_brands_d"],
-    "dim_category_d": ["stg_categories_d"], "dim_date_d": ["stg_date_d"],
-    "fact_nutrition_d": ["stg_countries_b", "nutrition_d", "dim_product_a", "dim_country_b", "stg_categories_d",
-                         "dim_category_d", "stg_brands_d", "dim_brand_d", "stg_date_d"],
-}
 
+def _position(table: str, key: str, value: str) -> str:
+    return f"CAST(nullif(list_position((SELECT list({key} ORDER BY {key}) FROM {table}), {value}), 0) AS BIGINT)"
 
-def _closure(names: list[str]) -> list[str]:
-    out: list[str] = []
 
-    def visit(n: str) -> None:
-        for d in DEPS.get(n, []):
-            visit(d)
-        if n not in out:
-            out.append(n)
+def fact(r: Rules) -> str:
+    day = "CAST(strftime(last_day, '%Y%m%d') AS INTEGER)" if r.iso else _position("dim_date", r.date, "last_day")
+    return f"""SELECT row_number() OVER (ORDER BY product_sk, country_tag) AS {r.fact_key}, product_sk,
+        {_position('dim_category', 'category_tag', 'category')} AS category_sk, {_position('dim_brand', r.brand_key, 'brand')} AS brand_sk,
+        {_position('dim_country', 'country_tag', 'country_tag')} AS country_sk, {day} AS date_sk,
+        {', '.join([*r.measures, 'nutriscore_score'])} FROM place"""
 
-    for n in names:
-        visit(n)
-    return out
 
+def relations(r: Rules) -> dict[str, str]:
+    return {"clean": clean(r), "product": product(r), "brands": brands(r), "categories": categories(r), "countries": countries(r),
+            "dates": dates(r), "place": "SELECT * FROM product JOIN countries USING (product_code)", **dims(r), "fact_nutrition": fact(r)}
 
-def with_ctes(needs: list[str], body: str) -> str:
-    ctes = ",\n".join(f"{n} AS ({CTE[n]})" for n in _closure(needs))
-    return f"WITH {ctes}\n{body}"
 
+def over(r: Rules, body: str) -> str:
+    """``body`` over the relations of a variant (DuckDB computes those it uses)."""
+    return "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in relations(r).items()) + "\n" + body
 
-def model(name: str) -> str:
-    """SELECT * from one of the CTE models."""
-    return with_ctes([name], f"SELECT * FROM {name}")
 
+def all_of(r: Rules, name: str, cols: str = "*") -> str:
+    return over(r, f"SELECT {cols} FROM {name}")
 
-# ---- one oracle per registered query ----------------------------------------------------------
 
-def _json_food_cols() -> str:
-    return ("code, to_json(product_name) AS product_name, nutriscore_grade, nutriscore_score, nova_group, "
-            "environmental_score_grade, quantity, brands, to_json(brands_tags) AS brands_tags, categories, "
-            "to_json(categories_tags) AS categories_tags, to_json(countries_tags) AS countries_tags, "
-            "last_modified_t, to_json(nutriments) AS nutriments")
+def products(r: Rules) -> str:
+    once = "" if r is B else "DISTINCT "
+    return over(r, f"SELECT {once}code AS product_code, {', '.join([*ATTRS, r.quantity])} FROM clean WHERE code IS NOT NULL")
 
 
-DOCUMENTS = with_ctes(["food"], "SELECT code, to_json(product_name) AS product_name, brands, nutriscore_grade, "
-    "nutriscore_score, nova_group, environmental_score_grade, to_json(categories_tags) AS categories_tags, "
-    "to_json(countries_tags) AS countries_tags, " + ", ".join(M_B) + " FROM (SELECT *, "
-    + ", ".join(f"{_nutrient(n)} AS {b}" for n, _, b in NUTRIENTS)
-    + " FROM food WHERE nutriscore_grade IS NOT NULL) d WHERE energy_kcal <= 900 "
-    "ORDER BY code NULLS LAST, brands NULLS LAST, " + ", ".join(f"{m} NULLS LAST" for m in M_B) + " LIMIT 100000")
+def kpis(r: Rules) -> dict[str, str]:
+    salt = r.measures[4]
+    labelled = f"place JOIN dim_category ON category = category_tag"
+    year = "CAST(year(last_day) AS INTEGER) AS year, CAST(month(last_day) AS INTEGER) AS month"
+    share = "round(100 * CAST(count(*) FILTER (nutriscore_grade = 'a') AS DOUBLE) / nullif(count(nutriscore_grade), 0), 2) AS pct_produits_nutriscore_a"
+    return {
+        "kpi_active_products": over(r, "SELECT count(DISTINCT product_code) AS nb_produits_actifs FROM place"),
+        "kpi_mean_score": over(r, f"""SELECT {r.label}, b.brand_name, c.country_name, {year}, round(avg(nutriscore_score), 2) AS nutriscore_moyen,
+            count(DISTINCT product_code) AS nb_produits FROM {labelled} JOIN dim_brand b ON brand = b.{r.brand_key}
+            JOIN dim_country c USING (country_tag) WHERE nutriscore_score IS NOT NULL AND last_day IS NOT NULL GROUP BY ALL"""),
+        "kpi_pct_grade_a": over(r, f"SELECT {share} FROM place"),
+        "kpi_pct_grade_a_products": over(r, f"SELECT {share} FROM product WHERE product_code IN (SELECT product_code FROM countries)"),
+        "kpi_mean_salt": over(r, f"SELECT {r.label}, round(avg({salt}), 4) AS sel_moyen_g FROM {labelled} WHERE {salt} IS NOT NULL GROUP BY ALL"),
+        "kpi_completeness": over(r, """SELECT round(100 * CAST(count(nutriscore_score) AS DOUBLE) / nullif(count(*), 0), 2)
+            AS taux_completude_nutriscore FROM place""")}
 
 
 def _check(table: str, kind: str, col: str, *, label: str | None = None, values=(), lo=None, hi=None,
@@ -346,183 +292,122 @@ def _check(table: str, kind: str, col: str, *, label: str | None = None, values=
     return head + f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS violations FROM {table}"
 
 
-def _dq_report_b() -> str:
-    u = {"mode": "rows"}
-    checks = [
-        ("dim_product_b", "unique", "product_sk", u), ("dim_product_b", "not_null", "product_sk", {}),
-        ("dim_product_b", "not_null", "product_code", {}),
-        ("dim_product_b", "accepted_values", "nutriscore_grade",
-         {"values": ("a", "b", "c", "d", "e"), "where": "nutriscore_grade IS NOT NULL"}),
-        ("dim_category_b", "unique", "category_sk", u), ("dim_category_b", "not_null", "category_sk", {}),
-        ("dim_category_b", "not_null", "category_tag", {}),
-        ("dim_brand_b", "unique", "brand_sk", u), ("dim_brand_b", "not_null", "brand_sk", {}),
-        ("dim_brand_b", "not_null", "brand_tag", {}),
-        ("dim_country_b", "unique", "country_sk", u), ("dim_country_b", "not_null", "country_sk", {}),
-        ("dim_country_b", "not_null", "country_tag", {}),
-        ("dim_date_b", "unique", "date_sk", u), ("dim_date_b", "not_null", "date_sk", {}),
-        ("dim_date_b", "not_null", "full_date", {}),
-        ("fact_nutrition_b", "unique", "nutrition_fact_sk", u),
-        ("fact_nutrition_b", "not_null", "nutrition_fact_sk", {}),
-        *[("fact_nutrition_b", "not_null", c, {}) for c in
-          ("product_sk", "category_sk", "brand_sk", "country_sk", "date_sk")],
-        ("fact_nutrition_b", "at_least", "energy_kcal", {"lo": 0}),
-        ("fact_nutrition_b", "at_least", "salt_g", {"lo": 0}),
-        ("fact_nutrition_b", "in_range", "nutriscore_score", {"lo": -15, "hi": 40}),
-    ]
-    parts = [_check(t, k, c, **kw) for t, k, c, kw in checks]
-    body = ("SELECT substr(table_name, 1, length(table_name) - 2) AS table_name, check_name, column_name, "
-            "violations, violations = 0 AS passed FROM (" + "\nUNION ALL ".join(parts) + ") r")
-    return with_ctes(["dim_product_b", "dim_category_b", "dim_brand_b", "dim_country_b", "dim_date_b",
-                      "fact_nutrition_b"], body)
-
-
-def _dq_report() -> str:
-    checks = [
-        ("dim_product_a", "unique", "product_sk", {}), ("dim_product_a", "not_null", "product_sk", {}),
-        ("dim_product_a", "not_null", "product_code", {}),
-        ("dim_product_a", "accepted_values", "nutriscore_grade",
-         {"values": ("a", "b", "c", "d", "e"), "where": "nutriscore_grade IS NOT NULL"}),
-        ("dim_category_a", "unique", "category_sk", {}), ("dim_category_a", "not_null", "category_sk", {}),
-        ("dim_category_a", "not_null", "category_tag", {}),
-        ("dim_brand_a", "unique", "brand_sk", {}), ("dim_brand_a", "not_null", "brand_sk", {}),
-        ("dim_brand_a", "not_null", "brand_tag", {}),
-        ("dim_country_a", "unique", "country_sk", {}), ("dim_country_a", "not_null", "country_sk", {}),
-        ("dim_country_a", "not_null", "country_tag", {}),
-        ("dim_date_a", "unique", "date_sk", {}), ("dim_date_a", "not_null", "date_sk", {}),
-        ("dim_date_a", "not_null", "date_value", {}),
-        ("fact_nutrition_a", "unique", "nutrition_sk", {}), ("fact_nutrition_a", "not_null", "nutrition_sk", {}),
-        *[("fact_nutrition_a", "not_null", c, {}) for c in
-          ("product_sk", "category_sk", "brand_sk", "country_sk", "date_sk")],
-        ("fact_nutrition_a", "at_least", "energy_kcal", {"lo": 0}),
-        ("fact_nutrition_a", "at_least", "salt_100g", {"lo": 0}),
-        ("fact_nutrition_a", "in_range", "nutriscore_score", {"lo": -15, "hi": 40}),
-        ("lineitem", "unique", "l_orderkey,l_linenumber", {}),
-        ("lineitem", "unique", "l_orderkey,l_linenumber", {"mode": "rows", "label": "unique_rows"}),
-        ("lineitem", "not_null", "l_shipdate", {}), ("lineitem", "at_least", "l_quantity", {"lo": 0}),
-        ("lineitem", "in_range", "l_discount", {"lo": 0.0, "hi": 0.1}),
-    ]
+
+def quality(r: Rules, mode: str, more: list[tuple] = ()) -> str:
+    """The checks on the gold tables, each as one count of violations."""
+    keys = ["product_sk", "category_sk", "brand_sk", "country_sk", "date_sk"]
+    natural = {"product": "product_code", "category": "category_tag", "brand": "brand_tag", "country": "country_tag", "date": r.date}
+    checks = []
+    for name, col in natural.items():
+        sk = f"{name}_sk"
+        checks += [(f"dim_{name}", "unique", sk, {"mode": mode}), (f"dim_{name}", "not_null", sk, {}), (f"dim_{name}", "not_null", col, {})]
+    checks += [("dim_product", "accepted_values", "nutriscore_grade", {"values": tuple("abcde"), "where": "nutriscore_grade IS NOT NULL"}),
+               ("fact_nutrition", "unique", r.fact_key, {"mode": mode}), ("fact_nutrition", "unique", "product_sk,country_sk", {"mode": mode}),
+               *[("fact_nutrition", "not_null", c, {}) for c in [r.fact_key, *keys]],
+               ("fact_nutrition", "at_least", "energy_kcal", {"lo": 0}), ("fact_nutrition", "at_least", r.measures[4], {"lo": 0}),
+               ("fact_nutrition", "in_range", "nutriscore_score", {"lo": -15, "hi": 40}), *more]
     parts = [_check(t, k, c, **kw) for t, k, c, kw in checks]
-    body = ("SELECT replace(table_name, '_a', '') AS table_name, check_name, column_name, violations, "
-            "violations = 0 AS passed FROM (" + "\nUNION ALL ".join(parts) + ") r")
-    # gold tables are named without the variant suffix in the report
-    body = body.replace("replace(table_name, '_a', '')",
-                        "CASE WHEN table_name LIKE '%\\_a' ESCAPE '\\' THEN substr(table_name, 1, length(table_name) - 2) "
-                        "ELSE table_name END")
-    return with_ctes(["dim_product_a", "dim_category_a", "dim_brand_a", "dim_country_a", "dim_date_a",
-                      "fact_nutrition_a"], body)
+    return over(r, "SELECT *, violations = 0 AS passed FROM (" + "\nUNION ALL ".join(parts) + ")")
 
 
+LINEITEM_CHECKS = [
+    ("lineitem", "unique", "l_orderkey,l_linenumber", {}), ("lineitem", "unique", "l_orderkey,l_linenumber", {"mode": "rows", "label": "unique_rows"}),
+    ("lineitem", "not_null", "l_shipdate", {}), ("lineitem", "at_least", "l_quantity", {"lo": 0}),
+    ("lineitem", "in_range", "l_discount", {"lo": 0.0, "hi": 0.1})]
+DQ_A, DQ_B = quality(A, "values", LINEITEM_CHECKS), quality(B, "rows")
+
+_JSON = ["product_name", "brands_tags", "categories_tags", "countries_tags", "nutriments"]
+
+
+def _food(cols: str, rest: str = "") -> str:
+    return f"SELECT {', '.join(f'to_json({c}) AS {c}' if c in _JSON else c for c in cols.split())} FROM ({FOOD}) food {rest}"
+
+
+DOC_COLS = "code product_name brands nutriscore_grade nutriscore_score nova_group environmental_score_grade categories_tags countries_tags"
+_MEASURED = ", ".join(f"CAST({_nutrient(n)} AS DOUBLE) AS {m}" for n, m in zip(NUTRIENTS, M_B))
+DOCUMENTS = f"""SELECT {', '.join(f'to_json({c}) AS {c}' if c in _JSON else c for c in DOC_COLS.split())}, {', '.join(M_B)}
+    FROM (SELECT *, {_MEASURED} FROM ({FOOD}) food WHERE nutriscore_grade IS NOT NULL) WHERE energy_kcal <= 900"""
+_ORDER = ", ".join(f"{c} NULLS LAST" for c in ["code", *[c for c in DOC_COLS.split() if c != "code"], *M_B])
+
+
+def contract(actual: dict[str, str]) -> str:
+    """The contract's columns against the types a file has; NULLs counted where the column exists."""
+    wanted = {"code": "string", "nutriscore_grade": "string", "nutriscore_score": "bigint", "nova_group": "int",
+              "last_modified_t": "bigint", "countries_tags": "array<string>", "created_t": "bigint"}
+    rows = []
+    for c, t in wanted.items():
+        has = actual.get(c)
+        nulls = f"(SELECT count(*) - count({'last_modified_t' if c == 'created_t' else c}) FROM food)" if has else "NULL"
+        rows.append(f"('{c}', '{t}', {repr(has) if has else 'NULL'}, {has == t}, {nulls})")
+    return f"WITH food AS ({FOOD}) SELECT * FROM (VALUES {', '.join(rows)}) v(column_name, expected_type, actual_type, type_ok, null_rows)"
+
+
+_TYPES = {"code": "string", "nutriscore_grade": "string", "nutriscore_score": "int", "nova_group": "int", "last_modified_t": "bigint",
+          "countries_tags": "array<string>"}
+_EVENT = "event_id, user_id, event_type, value"
+_SINKS = " UNION ALL ".join(f"SELECT {_EVENT}, '{s}' AS sink FROM events" for s in ("first", "parquet", "json"))
 LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                  "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
-FACT_A = ["fact_nutrition_a", "dim_category_a", "dim_brand_a", "dim_country_a", "dim_date_a", "dim_product_a"]
+
+def _nutrition(r: Rules) -> str:
+    last = f", {_date('nut_t')} AS last_modified_date" if r.latest else ", nut_t AS last_modified_t"
+    return over(r, f"SELECT product_code, {', '.join([*r.measures, 'nutriscore_score'])}{last} FROM product")
+
+
+def _variant(r: Rules, tail: str) -> dict[str, str]:
+    return {**{f"stg_{n}_{tail}": all_of(r, n) for n in ("brands", "categories", "countries")}, f"stg_products_{tail}": products(r),
+            f"stg_date_{tail}": all_of(r, "dates"),
+            **{f"dim_{n}_{tail}": all_of(r, f"dim_{n}") for n in ("product", "brand", "category", "country", "date")},
+            f"fact_nutrition_{tail}": all_of(r, "fact_nutrition")}
+
 
 ORACLES: dict[str, str] = {
+    **_variant(A, "a"), **_variant(B, "b"), **_variant(D, "default"),
+    "dim_product": all_of(A, "dim_product"), "gold_dim_product": all_of(A, "dim_product"),
+    **kpis(A), **{f"{k}_default": q for k, q in kpis(D).items()},
+    "stg_nutrition_max": _nutrition(A), "stg_nutrition_latest": _nutrition(B),
+    "stg_nutrition_rows_a": over(A, f"SELECT code AS product_code, nutriscore_score, last_modified_t, {', '.join(M_A)} FROM clean WHERE code IS NOT NULL"),
+    "dq_report": DQ_A, "dq_report_b": DQ_B,
+    "run_status": f"SELECT count(*) FILTER (NOT passed) AS failed, if(bool_and(passed), 'SUCCESS', 'FAILED') AS statut FROM ({DQ_A})",
+    "document_subset": DOCUMENTS, "document_roundtrip": DOCUMENTS, "document_top_n": f"{DOCUMENTS} ORDER BY {_ORDER} LIMIT 100",
+    "document_subset_basic": _food(DOC_COLS, "WHERE nutriscore_grade IS NOT NULL"),
+    "food_flags": f"""SELECT code, len(countries_tags) AS nb_countries, if(nutriscore_score > 10, nutriscore_grade, NULL) AS weak_grade
+        FROM ({FOOD}) food WHERE code IS NOT NULL""",
+    "schema_contract": contract(_TYPES), "schema_drift": contract({**_TYPES, "nutriscore_score": "string", "created_t": "bigint"}),
+    "sql_text_lookup": f"SELECT code AS product_code, CAST({_nutrient('salt')} AS DOUBLE) AS nutrient_100g FROM ({FOOD}) food WHERE code IS NOT NULL",
+    "land_raw": _food("code product_name nutriscore_grade nutriscore_score nova_group environmental_score_grade quantity brands brands_tags "
+                      "categories categories_tags countries_tags last_modified_t nutriments"),
+    "audit_append": f"""SELECT true AS run_id_ok, true AS run_date_ok, 'food' AS source_file, 'food.parquet' AS output_file,
+        count(*) AS nb_lignes_output, 'SUCCESS' AS statut FROM ({FOOD}) food""",
+    "audit_catalog": "SELECT 'part' AS source_file, 'part.parquet' AS output_file, count(*) AS nb_lignes_output, 'SUCCESS' AS statut FROM part",
     "raw_scan_typed": """SELECT CAST(l_orderkey AS VARCHAR) AS order_key, CAST(l_linenumber AS BIGINT) AS line_number,
         CAST(l_quantity AS DOUBLE) AS quantity, CAST(l_shipdate AS DATE) AS ship_date, l_returnflag AS return_flag,
         TRY_CAST(l_returnflag AS INTEGER) AS return_flag_code FROM lineitem""",
     "read_paths_source": """SELECT *, 'orders.parquet' AS source_file FROM orders
         UNION ALL BY NAME SELECT *, 'lineitem.parquet' AS source_file FROM lineitem""",
-    **{n: model(n) for n in ["stg_products_a", "stg_products_b", "stg_brands_a", "stg_brands_b",
-                             "stg_categories_a", "stg_categories_b", "stg_countries_a", "stg_countries_b",
-                             "stg_date_a", "stg_date_b", "stg_nutrition_max", "stg_nutrition_latest",
-                             "dim_product_b", "dim_brand_a", "dim_brand_b", "dim_category_a", "dim_category_b",
-                             "dim_country_a", "dim_country_b", "dim_date_a", "dim_date_b",
-                             "fact_nutrition_a", "fact_nutrition_b"]},
-    "dim_product": model("dim_product_a"),
-    "kpi_active_products": with_ctes(["fact_nutrition_a"],
-        "SELECT CAST(count(DISTINCT product_sk) AS BIGINT) AS nb_produits_actifs FROM fact_nutrition_a"),
-    "kpi_mean_score": with_ctes(FACT_A, """SELECT kg.category_label, kb.brand_name, kc.country_name, kd.year, kd.month,
-        round(avg(f.nutriscore_score), 2) AS nutriscore_moyen, CAST(count(DISTINCT f.product_sk) AS BIGINT) AS nb_produits
-        FROM fact_nutrition_a f
-        JOIN dim_category_a kg USING (category_sk)
-        JOIN dim_brand_a kb USING (brand_sk)
-        JOIN dim_country_a kc USING (country_sk)
-        JOIN dim_date_a kd USING (date_sk)
-        WHERE f.nutriscore_score IS NOT NULL
-        GROUP BY ALL"""),
-    "kpi_pct_grade_a": with_ctes(FACT_A, """SELECT round(100.0::DOUBLE * count(*) FILTER (WHERE g.nutriscore_grade = 'a')
-        / nullif(count(g.nutriscore_grade), 0), 2) AS pct_produits_nutriscore_a
-        FROM fact_nutrition_a f JOIN dim_product_a g USING (product_sk)"""),
-    "kpi_pct_grade_a_products": with_ctes(FACT_A, """SELECT round(100.0::DOUBLE * count(*) FILTER (WHERE g.nutriscore_grade = 'a')
-        / nullif(count(g.nutriscore_grade), 0), 2) AS pct_produits_nutriscore_a
-        FROM (SELECT DISTINCT product_sk FROM fact_nutrition_a) f JOIN dim_product_a g USING (product_sk)"""),
-    "kpi_mean_salt": with_ctes(FACT_A, """SELECT kg.category_label, round(avg(f.salt_100g), 4) AS sel_moyen_g
-        FROM fact_nutrition_a f JOIN dim_category_a kg USING (category_sk)
-        WHERE f.salt_100g IS NOT NULL GROUP BY ALL"""),
-    "kpi_completeness": with_ctes(["fact_nutrition_a"], """SELECT round(100.0::DOUBLE * count(nutriscore_score)
-        / nullif(count(*), 0), 2) AS taux_completude_nutriscore FROM fact_nutrition_a"""),
-    "dq_report": _dq_report(),
-    "dq_report_b": _dq_report_b(),
-    "document_subset_basic": with_ctes(["food"], "SELECT code, to_json(product_name) AS product_name, brands, "
-        "nutriscore_grade, nutriscore_score, nova_group, environmental_score_grade, "
-        "to_json(categories_tags) AS categories_tags, to_json(countries_tags) AS countries_tags "
-        "FROM food WHERE nutriscore_grade IS NOT NULL ORDER BY code NULLS LAST, brands NULLS LAST LIMIT 100000"),
-    "dim_brand_default": model("dim_brand_d"),
-    "dim_category_default": model("dim_category_d"),
-    "dim_date_default": model("dim_date_d"),
-    "fact_nutrition_default": model("fact_nutrition_d"),
-    "kpi_active_products_default": with_ctes(["fact_nutrition_d"],
-        "SELECT CAST(count(DISTINCT product_sk) AS BIGINT) AS nb_produits_actifs FROM fact_nutrition_d"),
-    "kpi_pct_grade_a_default": with_ctes(["fact_nutrition_d", "dim_product_a"], """SELECT
-        round(100.0::DOUBLE * count(*) FILTER (WHERE g.nutriscore_grade = 'a') / nullif(count(g.nutriscore_grade), 0), 2)
-        AS pct_produits_nutriscore_a FROM fact_nutrition_d f JOIN dim_product_a g USING (product_sk)"""),
-    "kpi_mean_salt_default": with_ctes(["fact_nutrition_d", "dim_category_d"], """SELECT kg.category_label,
-        round(avg(f.salt_100g), 4) AS sel_moyen_g FROM fact_nutrition_d f JOIN dim_category_d kg USING (category_sk)
-        WHERE f.salt_100g IS NOT NULL GROUP BY ALL"""),
-    "kpi_completeness_default": with_ctes(["fact_nutrition_d"], """SELECT round(100.0::DOUBLE * count(nutriscore_score)
-        / nullif(count(*), 0), 2) AS taux_completude_nutriscore FROM fact_nutrition_d"""),
-    "kpi_mean_score_default": with_ctes(["fact_nutrition_d", "dim_category_d", "dim_brand_d", "dim_country_b",
-                                         "dim_date_d"], """SELECT kg.category_label, kb.brand_name, kc.country_name,
-        kd.year, kd.month, round(avg(f.nutriscore_score), 2) AS nutriscore_moyen,
-        CAST(count(DISTINCT f.product_sk) AS BIGINT) AS nb_produits
-        FROM fact_nutrition_d f
-        JOIN dim_category_d kg USING (category_sk)
-        JOIN dim_brand_d kb USING (brand_sk)
-        JOIN dim_country_b kc USING (country_sk)
-        JOIN dim_date_d kd USING (date_sk)
-        WHERE f.nutriscore_score IS NOT NULL
-        GROUP BY ALL"""),
-    "document_subset": DOCUMENTS,
-    "document_roundtrip": DOCUMENTS,
+    "date_out_of_range": """SELECT o_orderkey, d, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS d_key FROM (
+        SELECT o_orderkey, CASE WHEN o_orderkey <= 253 THEN DATE '1970-01-01' + CAST(o_orderkey * 1000000000 // 86400 AS INTEGER) END AS d FROM orders)""",
+    "layer_view": "SELECT * FROM nation",
+    "order_nation": """SELECT o_orderkey, o_custkey AS c_custkey, c_nationkey, n_name FROM orders
+        LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey""",
+    "one_per_customer": "SELECT DISTINCT o_custkey, 1 AS seen FROM orders",
     "star_join_sales": """SELECT r_name, n_name, CAST(year(o_orderdate) AS INTEGER) AS order_year,
         round(avg(l_extendedprice * (1 - l_discount)), 2) AS avg_revenue,
-        CAST(count(DISTINCT o_custkey) AS BIGINT) AS nb_customers, CAST(count(*) AS BIGINT) AS nb_lines
+        count(DISTINCT o_custkey) AS nb_customers, count(*) AS nb_lines
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
         JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
         GROUP BY r_name, n_name, year(o_orderdate)""",
-    "latest_event_per_user": """SELECT user_id, event_id, ts, event_type, value, props FROM (
-        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST,
-          ts DESC NULLS LAST, event_type DESC NULLS LAST, value DESC NULLS LAST, props DESC NULLS LAST) AS rn
-        FROM events) e WHERE rn = 1""",
-    "pct_errors": """SELECT CAST(ts AS DATE) AS event_date, CAST(count(*) AS BIGINT) AS nb_events,
-        round(100.0::DOUBLE * count(CASE WHEN event_type = 'error' THEN 1 END) / nullif(count(event_type), 0), 2)
-          AS pct_errors FROM events GROUP BY CAST(ts AS DATE)""",
-    "completeness_labels": """SELECT d.lang, CAST(count(*) AS BIGINT) AS nb_documents,
-        round(100.0::DOUBLE * count(l.quality) / nullif(count(*), 0), 2) AS pct_labelled
-        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY d.lang""",
-    "surrogate_key_scalable": "SELECT CAST(row_number() OVER (ORDER BY "
-        + ", ".join(f"{c} NULLS FIRST" for c in LINEITEM_COLS) + ") AS BIGINT) AS line_sk, * FROM lineitem",
-    "parquet_roundtrip": "SELECT * FROM part",
+    "latest_event_per_user": f"""SELECT user_id, e.v1 AS event_id, e.v0 AS ts, e.v3 AS event_type, e.v4 AS value, e.v5 AS props FROM (
+        SELECT user_id, {_largest(["ts", "event_id", "ts", "event_type", "value", "props"])} AS e FROM events GROUP BY user_id)""",
+    "pct_errors": """SELECT CAST(ts AS DATE) AS event_date, count(*) AS nb_events,
+        round(100.0::DOUBLE * count(*) FILTER (event_type = 'error') / nullif(count(event_type), 0), 2) AS pct_errors
+        FROM events GROUP BY 1""",
+    "completeness_labels": """SELECT lang, count(*) AS nb_documents, round(100.0::DOUBLE * count(quality) / nullif(count(*), 0), 2) AS pct_labelled
+        FROM documents LEFT JOIN labels USING (doc_id) GROUP BY lang""",
+    "surrogate_key_scalable": "SELECT row_number() OVER (ORDER BY "
+        + ", ".join(f"{c} NULLS FIRST" for c in LINEITEM_COLS) + ") AS line_sk, * FROM lineitem",
+    "parquet_roundtrip": "SELECT * FROM part", "external_table": "SELECT * FROM part",
     "fan_out": "SELECT *, 'parquet' AS sink FROM events UNION ALL SELECT *, 'json' AS sink FROM events",
-    "land_raw": with_ctes(["food"], f"SELECT {_json_food_cols()} FROM food"),
-    "audit_append": with_ctes(["food"], """SELECT 'food' AS source_file, 'food.parquet' AS output_file,
-        CAST(count(*) AS BIGINT) AS nb_lignes_output, 'SUCCESS' AS statut FROM food"""),
-    "external_table": "SELECT * FROM part",
-    "schema_contract": with_ctes(["food"], """
-        SELECT 'code' AS column_name, 'string' AS expected_type, 'string' AS actual_type, TRUE AS type_ok,
-               CAST(count(*) FILTER (WHERE code IS NULL) AS BIGINT) AS null_rows FROM food
-        UNION ALL SELECT 'nutriscore_grade', 'string', 'string', TRUE,
-               CAST(count(*) FILTER (WHERE nutriscore_grade IS NULL) AS BIGINT) FROM food
-        UNION ALL SELECT 'nutriscore_score', 'bigint', 'int', FALSE,
-               CAST(count(*) FILTER (WHERE nutriscore_score IS NULL) AS BIGINT) FROM food
-        UNION ALL SELECT 'nova_group', 'int', 'int', TRUE,
-               CAST(count(*) FILTER (WHERE nova_group IS NULL) AS BIGINT) FROM food
-        UNION ALL SELECT 'last_modified_t', 'bigint', 'bigint', TRUE,
-               CAST(count(*) FILTER (WHERE last_modified_t IS NULL) AS BIGINT) FROM food
-        UNION ALL SELECT 'countries_tags', 'array<string>', 'array<string>', TRUE,
-               CAST(count(*) FILTER (WHERE countries_tags IS NULL) AS BIGINT) FROM food
-        UNION ALL SELECT 'created_t', 'bigint', NULL, FALSE, NULL"""),
-    "sql_text_lookup": with_ctes(["food"], f"""SELECT code AS product_code, {_nutrient('salt')} AS nutrient_100g
-        FROM food WHERE code IS NOT NULL"""),
+    "fan_out_csv_first": _SINKS, "fan_out_json_first": _SINKS,
 }

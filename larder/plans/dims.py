@@ -18,7 +18,7 @@ from larder.functions import dates as D
 from larder.functions.nested import measure_names, nutrient_columns
 from larder.functions.text import nonempty, prettify_tag, tag_name_offset
 from larder.operators.dedup import collapse_max, first_nonnull, max_row
-from larder.operators.keys import SMALL_KEY_ROWS, small_surrogate_key, surrogate_key
+from larder.operators.keys import small_surrogate_key, surrogate_key
 from larder.plans import staging as S
 
 def _code():
@@ -83,11 +83,11 @@ def dim_brand(food: DataFrame, v: Variant) -> DataFrame:
     stg = S.stg_brands(food, v)
     if v.brand_key == "tag":
         d = collapse_max(stg.filter(F.col("brand_tag").isNotNull()), "brand_tag", ["brand_name"])
-        return surrogate_key(d, ["brand_tag"], "brand_sk", small_rows=SMALL_KEY_ROWS).select(
+        return surrogate_key(d, ["brand_tag"], "brand_sk").select(
             "brand_sk", "brand_tag", "brand_name")
     # keyed by name; the smallest tag stands in for "first non-NULL tag" so the result is stable
     d = first_nonnull(stg.filter(nonempty("brand_name")), "brand_name", "brand_tag")
-    return surrogate_key(d, ["brand_name"], "brand_sk", small_rows=SMALL_KEY_ROWS).select(
+    return surrogate_key(d, ["brand_name"], "brand_sk").select(
         "brand_sk", "brand_name", "brand_tag")
 
 
@@ -98,7 +98,7 @@ def dim_category(food: DataFrame, v: Variant) -> DataFrame:
     stg = S.stg_categories(food, v)
     keep = nonempty("category_tag") if v.category_drop_empty else F.col("category_tag").isNotNull()
     d = collapse_max(stg.filter(keep), "category_tag", [label])
-    return surrogate_key(d, ["category_tag"], "category_sk", small_rows=SMALL_KEY_ROWS).select(
+    return surrogate_key(d, ["category_tag"], "category_sk").select(
         "category_sk", "category_tag", label)
 
 
@@ -114,7 +114,7 @@ def dim_country(food: DataFrame, v: Variant, countries: DataFrame | None = None)
     keep = F.col("country_tag").isNotNull() if v.country_filter == "raw" else nonempty("country_tag")
     d = stg.select("country_tag").filter(keep).distinct()
     d = d.select("country_tag", country_name_expr(v, F.col("country_tag")).alias("country_name"))
-    return surrogate_key(d, ["country_tag"], "country_sk", small_rows=SMALL_KEY_ROWS).select(
+    return surrogate_key(d, ["country_tag"], "country_sk").select(
         "country_sk", "country_tag", "country_name")
 
 

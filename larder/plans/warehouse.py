@@ -8,6 +8,7 @@ count cheap Parquet scans.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -20,7 +21,7 @@ from larder.plans import kpis as K
 from larder.plans import staging as S
 from larder.plans.fact import FKS, fact_nutrition
 from larder.sources.audit import log_run
-from larder.sources.io import write_parquet
+from larder.sources.io import check_contract, write_parquet
 from larder.session import work_dir
 
 
@@ -43,7 +44,7 @@ def silver_tables(food: DataFrame, v: Variant) -> dict[str, DataFrame]:
     """The six staging models (T1-T6) as one would store them in a silver layer."""
     return {"stg_products": S.stg_products(food, v), "stg_brands": S.stg_brands(food, v),
             "stg_categories": S.stg_categories(food, v), "stg_countries": S.stg_countries(food, v),
-            "stg_date": S.stg_date(food, v), "stg_nutrition": S.stg_nutrition(food, v)}
+            "stg_date": S.stg_date(food, v), "stg_nutrition": S.stg_nutrition(food, v, collapse=v.nutrition == "latest")}
 
 
 def build_gold(food: DataFrame, v: Variant, out: str, parallel: int = 5, silver: str | None = None) -> Gold:
@@ -58,8 +59,10 @@ def build_gold(food: DataFrame, v: Variant, out: str, parallel: int = 5, silver:
     spark = food.sparkSession
     rows: dict[str, int] = {}
     t: dict[str, DataFrame] = {}
-    # Country rows feed both dim_country and the fact: written once, read twice.
-    countries_path = f"{silver}/stg_countries" if silver else f"{out}/_stg_countries"
+    # Intermediate tables stay out of the gold folder. Country rows feed both dim_country and the
+    # fact: written once, read twice.
+    aside = work_dir(spark, "gold-aside", uuid.uuid4().hex[:12])
+    countries_path = f"{silver}/stg_countries" if silver else f"{aside}/stg_countries"
     builders = {
         "dim_product_wide": lambda: DM.dim_product_wide(food, v),
         "dim_brand": lambda: DM.dim_brand(food, v),
@@ -74,6 +77,8 @@ def build_gold(food: DataFrame, v: Variant, out: str, parallel: int = 5, silver:
     def path_of(name: str) -> str:
         if name == "stg_countries":
             return countries_path
+        if name == "dim_product_wide":
+            return f"{aside}/{name}"
         return f"{silver if name.startswith('stg_') else out}/{name}"
 
     def build(name: str) -> tuple[str, DataFrame]:
@@ -90,12 +95,10 @@ def build_gold(food: DataFrame, v: Variant, out: str, parallel: int = 5, silver:
                                 "dim_country")
     wide = t.pop("dim_product_wide")
     t["product_wide"] = wide
-    t["dim_product"] = wide.select(*DM.dim_product_columns(v))
-    rows["dim_product"] = rows["dim_product_wide"]
+    t["dim_product"] = _persist(spark, wide.select(*DM.dim_product_columns(v)), f"{out}/dim_product", rows, "dim_product")
     dims = {"product_wide": wide, "brand": t["dim_brand"], "category": t["dim_category"],
             "country": t["dim_country"], "date": t["dim_date"]}
-    dim_rows = {k: rows[f"dim_{k}"] for k in ("brand", "category", "country", "date")}
-    t["fact_nutrition"] = _persist(spark, fact_nutrition(food, v, dims, dim_rows, countries=countries),
+    t["fact_nutrition"] = _persist(spark, fact_nutrition(food, v, dims, countries=countries),
                                    f"{out}/fact_nutrition", rows, "fact_nutrition")
     return Gold(v, t, rows)
 
@@ -104,14 +107,12 @@ def kpis(g: Gold) -> dict[str, DataFrame]:
     v, t = g.variant, g.tables
     label = S.category_label_col(v)
     salt = "salt_100g" if v.measure_names == "100g" else "salt_g"
-    rows = {k: g.rows.get(k) for k in ("dim_category", "dim_brand", "dim_country", "dim_date")}
     return {
         "kpi_active_products": K.active_products(t["fact_nutrition"]),
         "kpi_mean_score": K.mean_score(t["fact_nutrition"], t["dim_category"], t["dim_brand"],
-                                       t["dim_country"], t["dim_date"], label_col=label, rows=rows),
+                                       t["dim_country"], t["dim_date"], label_col=label),
         "kpi_pct_grade_a": K.pct_grade_a(t["fact_nutrition"], t["dim_product"]),
-        "kpi_mean_salt": K.mean_salt(t["fact_nutrition"], t["dim_category"], label_col=label, salt_col=salt,
-                                     dim_rows=rows["dim_category"]),
+        "kpi_mean_salt": K.mean_salt(t["fact_nutrition"], t["dim_category"], label_col=label, salt_col=salt),
         "kpi_completeness": K.completeness(t["fact_nutrition"]),
     }
 
@@ -134,7 +135,7 @@ def quality_suite(v: Variant, unique_mode: str = "values") -> dict[str, list[Q.C
         "dim_brand": [unique("brand_sk"), Q.not_null("brand_sk"), Q.not_null("brand_tag")],
         "dim_country": [unique("country_sk"), Q.not_null("country_sk"), Q.not_null("country_tag")],
         "dim_date": [unique("date_sk"), Q.not_null("date_sk"), Q.not_null(date_col)],
-        "fact_nutrition": [unique(v.fact_sk), Q.not_null(v.fact_sk), *[Q.not_null(c) for c in FKS],
+        "fact_nutrition": [unique(v.fact_sk), unique("product_sk,country_sk"), Q.not_null(v.fact_sk), *[Q.not_null(c) for c in FKS],
                            Q.at_least("energy_kcal", 0),
                            Q.at_least("salt_100g" if v.measure_names == "100g" else "salt_g", 0),
                            Q.in_range("nutriscore_score", -15, 40)],
@@ -146,13 +147,19 @@ def quality_report(g: Gold, unique_mode: str = "values") -> DataFrame:
 
 
 def run_pipeline(raw: DataFrame, v: Variant, out: str | None = None, audit_path: str | None = None,
-                 source_file: str = "food", parallel: int = 6, silver: str | None = None) -> dict[str, DataFrame]:
+                 source_file: str = "food", parallel: int = 6, silver: str | None = None,
+                 raw_path: str | None = None, contract: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """Whole run. Returns gold tables, KPI tables and the quality report (all written
-    under ``out``); appends one audit row whose status is FAILED when a check fails
+    under ``out``, dim_product among them); ``contract`` is held against the schema in the files at
+    ``raw_path`` first; appends one audit row whose status is FAILED when a check fails
     (a soft failure: the run still completes). The KPI tables and the report are
     independent and are written concurrently."""
     spark = raw.sparkSession
-    out = out or work_dir(spark, "gold", v.name)
+    if raw_path and contract:
+        broken = check_contract(spark, raw_path, contract)
+        if broken:
+            raise ValueError(f"{raw_path} breaks its schema contract: {broken}")
+    out = out or work_dir(spark, "gold", v.name, uuid.uuid4().hex[:12])
     g = build_gold(raw, v, out, parallel=parallel, silver=silver)
     result = {k: v_ for k, v_ in g.tables.items() if k != "product_wide"}
     finals = {**kpis(g), "quality_report": quality_report(g)}
@@ -178,8 +185,9 @@ _GOLD: dict[tuple, Gold] = {}
 
 
 def gold_for(food: DataFrame, v: Variant, key: str) -> Gold:
+    """The gold tables of the raw table landed at ``key`` (a new landing has a new path)."""
     spark = food.sparkSession
     k = (spark.sparkContext.applicationId, key, v)
     if k not in _GOLD:
-        _GOLD[k] = build_gold(food, v, work_dir(spark, "gold", key, v.name))
+        _GOLD[k] = build_gold(food, v, work_dir(spark, "gold", uuid.uuid4().hex[:12], v.name))
     return _GOLD[k]

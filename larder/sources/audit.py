@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
+from larder.functions.dates import run_id
+
 # nb_lignes_output is a bigint: an int would overflow on a large dump.
+# The audit table's column names.
 AUDIT_SCHEMA = StructType([
     StructField("run_id", StringType()),
     StructField("run_date", TimestampType()),
@@ -22,9 +25,12 @@ AUDIT_SCHEMA = StructType([
 def log_run(spark: SparkSession, path: str, source_file: str, output_file: str, rows: int,
             status: str = "SUCCESS", prefix: str = "PL", when: _dt.datetime | None = None) -> DataFrame:
     """Append one run row to the audit table at ``path`` (created by the first append)."""
-    when = when or _dt.datetime.now().replace(microsecond=0)
-    row = [(f"{prefix}_{when.strftime('%Y%m%d_%H%M%S')}", when, source_file, output_file, int(rows), status)]
-    df = spark.createDataFrame(row, AUDIT_SCHEMA)
+    # One clock for both columns: Spark's, in the session's zone, unless a time is given.
+    now = F.date_trunc("SECOND", F.current_timestamp() if when is None else F.lit(when))
+    df = spark.range(1).select(
+        run_id(prefix, now).alias("run_id"), now.alias("run_date"), F.lit(source_file).alias("source_file"),
+        F.lit(output_file).alias("output_file"), F.lit(int(rows)).cast("bigint").alias("nb_lignes_output"),
+        F.lit(status).alias("statut"))
     df.coalesce(1).write.mode("append").parquet(path)
     return df
 

@@ -19,12 +19,11 @@ DOCUMENT_COLUMNS = ["code", "product_name", "brands", "nutriscore_grade", "nutri
                     "environmental_score_grade", "categories_tags", "countries_tags"]
 
 
-def document_subset(food: DataFrame, n: int | None = 100_000, max_energy: float | None = 900,
+def document_subset(food: DataFrame, n: int | None = None, max_energy: float | None = None,
                     nutrients: bool = True) -> DataFrame:
-    """Graded products with chosen columns and the seven nutrients, energy <= cap, first ``n`` by code.
+    """Graded products with chosen columns and the seven nutrients, energy <= ``max_energy`` if given.
 
-    ``n`` is the export size the source caps the document store at (a top-n by
-    code here, so the choice is stable); ``n=None`` exports every match.
+    Every match is exported; an explicit ``n`` keeps the first ``n`` by code.
     """
     df = food.filter(F.col("nutriscore_grade").isNotNull())
     cols = [F.col(c) for c in DOCUMENT_COLUMNS]

@@ -7,12 +7,15 @@ itself, so no second pass over the lineage is needed to count what was written.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from larder.session import work_dir
+
 # The raw columns the pipeline reads. Passing this narrow schema to the reader
 # prunes the nested ``nutriments`` / ``product_name`` structs to the fields used,
 # which Spark does not do by itself for array-of-struct columns.
@@ -121,18 +124,22 @@ def _write(df: DataFrame, fmt: str, path: str, options: dict | None = None, mode
 def fan_out(df: DataFrame, sinks: Sequence[tuple[str, str, dict | None]]) -> int:
     """Write the same rows to several sinks (S7): ``[(format, path, options), ...]``.
 
-    The input is computed once, into the first sink; the other sinks are copied
-    from that written table (no cache to lose with an executor, no recomputation).
-    Returns the row count of the first write.
+    The input is computed once. A Parquet sink, wherever it stands in the list, serves the others as
+    their source; without one a Parquet staging table in the shared work folder does. A sink whose
+    format or options lose something (CSV without a header, say) so never feeds another.
+    Returns the number of rows.
     """
     if not sinks:
         raise ValueError("no sinks")
-    fmt0, path0, opt0 = sinks[0]
+    spark = df.sparkSession
+    exact = next((k for k, s in enumerate(sinks) if s[0] == "parquet"), None)
     observed, obs = _observed(df)
-    _write(observed, fmt0, path0, opt0)
-    first = df.sparkSession.read.schema(df.schema).format(fmt0).load(path0)
-    for fmt, path, opt in sinks[1:]:
-        _write(first, fmt, path, opt)
+    path = sinks[exact][1] if exact is not None else work_dir(spark, "fan-out", uuid.uuid4().hex[:12])
+    _write(observed, "parquet", path, sinks[exact][2] if exact is not None else None)
+    source = spark.read.schema(df.schema).parquet(path)
+    for k, (fmt, to, opt) in enumerate(sinks):
+        if k != exact:
+            _write(source, fmt, to, opt)
     return int(obs.get["rows"])
 
 
@@ -181,7 +188,8 @@ def run_sql(spark: SparkSession, text: str, views: dict[str, DataFrame] | None =
 def create_external(spark: SparkSession, name: str, path: str, columns_ddl: str | None = None) -> DataFrame:
     """``CREATE TABLE IF NOT EXISTS ... USING parquet LOCATION`` over a Parquet folder."""
     cols = f"({columns_ddl}) " if columns_ddl else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {cols}USING parquet LOCATION '{path}'")
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {cols}USING parquet LOCATION '{place}'")
     return spark.table(name)
 
 
@@ -191,6 +199,13 @@ def schema_diff(df: DataFrame, contract: dict[str, str]) -> list[tuple[str, str,
     return [(c, t, actual.get(c), actual.get(c) == t) for c, t in contract.items()]
 
 
+def check_contract(spark: SparkSession, path: str, contract: dict[str, str]) -> list[tuple[str, str, str | None]]:
+    """Columns of a Parquet table whose own schema (the file footers', no schema imposed) breaks the
+    contract: (column, expected, actual or None)."""
+    own = spark.read.parquet(path)
+    return [(c, t, a) for c, t, a, ok in schema_diff(own, contract) if not ok]
+
+
 def schema_report(df: DataFrame, contract: dict[str, str]) -> DataFrame:
     """Contract check as a DataFrame: per contract column, the actual type, whether it
     matches, and how many rows are NULL in it (one aggregation pass over the table)."""

@@ -14,11 +14,12 @@ Its DuckDB twin (``larder.oracles.FOOD_DUCKDB``) defines the same table for the
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.functions.dates import ntz_to_seconds
-from larder.operators.joins import broadcast_if_small
 
 # Part type -> nutrition grade; any other type is 'unknown'.
 GRADE_OF_TYPE = [("ECONOMY", "a"), ("SMALL", "b"), ("MEDIUM", "c"), ("STANDARD", "d"), ("LARGE", "e")]
@@ -40,9 +41,9 @@ def part_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("tag"))
     supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     lineitem = _table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_shipdate")
-    per_nation = (lineitem.join(broadcast_if_small(supplier), lineitem.l_suppkey == supplier.s_suppkey)
+    per_nation = (lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey)
                   .groupBy("l_partkey", "s_nationkey").agg(F.max("l_shipdate").alias("_ship")))
-    tagged = per_nation.join(broadcast_if_small(nation), per_nation.s_nationkey == nation.n_nationkey)
+    tagged = per_nation.join(nation, per_nation.s_nationkey == nation.n_nationkey)
     return (tagged.groupBy("l_partkey")
             .agg(F.sort_array(F.collect_list("tag")).alias("tags"), F.max("_ship").alias("_ship"))
             .select("l_partkey", "tags", ntz_to_seconds("_ship").alias("t")))
@@ -64,7 +65,7 @@ def food(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.struct(F.lit(name).alias("name"), value.cast("double").alias("100g"))
 
     v = F.col("v")
-    base = [nutrient("energy-kcal", F.col("p_retailprice")), nutrient("fat", size.cast("double")),
+    base = [nutrient("energy-kcal", size * F.lit(36.0)), nutrient("fat", size.cast("double")),
             nutrient("saturated-fat", size / F.lit(4.0)), nutrient("sugars", size / F.lit(5.0))]
     full = base + [nutrient("salt", size / F.lit(10.0) + v), nutrient("proteins", size / F.lit(2.0)),
                    nutrient("fiber", size / F.lit(8.0))]
@@ -102,17 +103,30 @@ def food(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LANDED: dict[tuple, str] = {}
 
 
-def load_food(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``food`` table for ``sf_dir``: built once per session, landed as Parquet in
-    the shared work folder (as the raw dump is landed before staging), then read
-    back with the narrow raw schema."""
+def _changed(spark: SparkSession, path: str) -> int:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).getModificationTime()
+
+
+def food_path(spark: SparkSession, sf_dir: str) -> str:
+    """Where the raw table of ``sf_dir`` is landed; landed anew if a source table has changed."""
     from larder.session import work_dir
-    from larder.sources.io import RAW_FOOD_SCHEMA, write_parquet
+    from larder.sources.io import write_parquet
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    base = sf_dir.rstrip("/")
+    stamp = tuple(_changed(spark, f"{base}/{t}.parquet") for t in ("part", "lineitem", "supplier", "nation"))
+    key = (spark.sparkContext.applicationId, base, stamp)
     if key not in _LANDED:
-        tag = "".join(ch if ch.isalnum() else "_" for ch in key[1])[-60:]
-        path = work_dir(spark, "raw", tag, "food.parquet")
+        path = work_dir(spark, "raw", uuid.uuid4().hex[:12], "food.parquet")
         write_parquet(food(spark, sf_dir), path)
         _LANDED[key] = path
-    return spark.read.schema(RAW_FOOD_SCHEMA).parquet(_LANDED[key])
+    return _LANDED[key]
+
+
+def load_food(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``food`` table for ``sf_dir``: built once per session, landed as Parquet in
+    the shared work folder (as the raw dump is landed before staging), then read
+    back with the narrow raw schema."""
+    from larder.sources.io import RAW_FOOD_SCHEMA
+
+    return spark.read.schema(RAW_FOOD_SCHEMA).parquet(food_path(spark, sf_dir))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from larder.operators import keys as K
 from larder.operators import quality as Q
 from larder.operators.dedup import collapse_max, first_nonnull, latest_per_key
-from larder.operators.joins import broadcast_if_small, lookup
+from larder.operators.joins import lookup
 from larder.operators.metrics import pct_nonnull, pct_where
 
 
@@ -55,24 +55,18 @@ def test_surrogate_key_with_ties_and_hot_key(spark):
     assert got.select("k", "sk").exceptAll(exp.select("k", "sk")).filter("k != 'hot'").count() == 0
 
 
-def test_top_n_both_paths(spark, monkeypatch):
+def test_top_n(spark):
     df = spark.createDataFrame([(i % 50, i) for i in range(1000)], "a int, b int")
-    small = {tuple(r) for r in K.top_n(df, ["a"], 30).collect()}
-    monkeypatch.setattr(K, "TOP_N_SMALL", 1)
-    ranked = {tuple(r) for r in K.top_n(df, ["a"], 30).collect()}
     exp = {(a, b) for a, b in sorted([(i % 50, i) for i in range(1000)])[:30]}
-    assert small == ranked == exp
+    assert {tuple(r) for r in K.top_n(df, ["a"], 30).collect()} == exp
 
 
-def test_broadcast_only_under_bound(spark):
-    small = spark.range(10)
-    assert "broadcast" in small.hint("broadcast")._jdf.queryExecution().logical().toString().lower()
-    big = spark.range(100)
-    left = spark.range(5).withColumnRenamed("id", "k")
-    plan_small = left.join(broadcast_if_small(small, max_rows=50), left.k == small.id)
-    plan_big = left.join(broadcast_if_small(big, max_rows=50), left.k == big.id)
-    assert "broadcast" in plan_small._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in plan_big._jdf.queryExecution().logical().toString().lower()
+def test_lookup_spreads_null_keys(spark):
+    f = spark.createDataFrame([(1, "x"), (2, None), (3, None)], "id int, tag string")
+    d = spark.createDataFrame([("x", 10)], "t string, sk int")
+    plan = lookup(f, d, ("tag", "t"), ["sk"], spread="id")
+    assert sorted((r.id, r.tag, r.sk) for r in plan.collect()) == [(1, "x", 10), (2, None, None), (3, None, None)]
+    assert "broadcast" not in plan._jdf.queryExecution().logical().toString().lower()
 
 
 def test_lookup_keeps_left_rows(spark):
@@ -103,16 +97,6 @@ def test_quality_checks(spark):
     assert Q.status(ok) == "SUCCESS"
 
 
-def test_surrogate_key_small_path_equals_range_path(spark):
-    rows = [(f"t{i % 97:03d}", i) for i in range(500)]
-    df = spark.createDataFrame(rows, "k string, i int")
-    order = ["k", F.col("i").desc()]
-    a = K.surrogate_key(df, order, "sk", partitions=4)
-    b = K.surrogate_key(df, order, "sk", small_rows=1000)
-    c = K.surrogate_key(df, order, "sk", small_rows=10, partitions=4)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(c).count() == 0 and a.count() == 500
-
-
 def test_surrogate_key_adaptive_partitions(spark):
     rnd = random.Random(7)
     rows = [(rnd.randrange(10_000), rnd.choice("xyz")) for _ in range(5000)]
