@@ -38,22 +38,32 @@ def test_latest_row_is_not_a_window(spark):
     assert "Window" not in p and "partial_max" in p
 
 
-def test_fact_input_needs_no_single_partition(spark, tmpdir_session, monkeypatch):
+def test_fact_has_no_range_sort_and_no_global_window(spark, tmpdir_session):
     from larder.plans import fact as FT
     food = load_food(spark, SF)
     g = W.build_gold(food, VARIANT_A, f"{tmpdir_session}/plan-gold")
-    seen = {}
-
-    def capture(df, order, name, **kw):
-        seen["df"] = df
-        return df.withColumn(name, df[df.columns[0]])
-
-    monkeypatch.setattr(FT, "surrogate_key", capture)
     dims = {"product_wide": g["product_wide"], "brand": g["dim_brand"], "category": g["dim_category"],
             "country": g["dim_country"], "date": g["dim_date"]}
-    FT.fact_nutrition(food, VARIANT_A, dims)
-    p = plan(seen["df"])
-    assert "SinglePartition" not in p and "Window" not in p
-    # the K2 star join broadcasts its four small dimensions after the size check
+    p = plan(FT.fact_nutrition(food, VARIANT_A, dims))
+    assert "rangepartitioning" not in p.lower()
+    # the only single-partition step is the running sum over one row per bucket of products
+    assert p.count("Arguments: SinglePartition") <= 1
+    assert FT.fact_nutrition(food, VARIANT_A, dims).count() == g["fact_nutrition"].count()
+
+
+def test_fact_keys_across_buckets(spark, tmpdir_session, monkeypatch):
+    from larder.plans import fact as FT
+    monkeypatch.setattr(FT, "BUCKET", 7)
+    g = W.build_gold(load_food(spark, SF), VARIANT_B, f"{tmpdir_session}/bucket-gold")
+    rows = g["fact_nutrition"].select("nutrition_fact_sk", "product_sk", "country_sk").collect()
+    assert sorted(r.nutrition_fact_sk for r in rows) == list(range(1, len(rows) + 1))
+    assert [r.nutrition_fact_sk for r in sorted(rows, key=lambda r: (r.product_sk, r.country_sk))] == list(range(1, len(rows) + 1))
+    assert g["fact_nutrition"].columns[:10] == ["nutrition_fact_sk", "product_sk", "category_sk", "brand_sk", "country_sk",
+                                                 "date_sk", "energy_kcal", "fat_g", "salt_g", "nutriscore_score"]
+
+
+def test_small_dimensions_are_broadcast_by_the_optimiser(spark, tmpdir_session):
+    g = W.build_gold(load_food(spark, SF), VARIANT_A, f"{tmpdir_session}/kpi-gold")
+    # their written size decides, no hint does
     k2 = plan(W.kpis(g)["kpi_mean_score"])
     assert k2.count("BroadcastHashJoin") >= 4

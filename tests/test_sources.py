@@ -11,7 +11,7 @@ from larder.plans import warehouse as W
 from larder.sources import audit as AU
 from larder.sources import documents as DOC
 from larder.sources import io as IO
-from larder.sources.testdata import load_food
+from larder.sources.testdata import food_path, load_food
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
@@ -56,10 +56,10 @@ def test_fan_out_and_landing(spark, tmpdir_session):
 
 def test_documents_export(spark, tmpdir_session):
     food = load_food(spark, SF)
-    docs = DOC.document_subset(food, n=50)
+    docs = DOC.document_subset(food, n=50, max_energy=900)
     n = DOC.export_documents(docs, f"{tmpdir_session}/docs", records_per_file=20)
     back = DOC.read_documents(spark, f"{tmpdir_session}/docs", docs.schema)
-    assert n == min(50, DOC.document_subset(food, n=None).count())
+    assert n == min(50, DOC.document_subset(food, max_energy=900).count())
     assert back.exceptAll(docs).count() == 0
     assert back.filter(F.col("energy_kcal") > 900).count() == 0
 
@@ -89,7 +89,10 @@ def test_run_pipeline_writes_everything_and_audits(spark, tmpdir_session, v):
     res = W.run_pipeline(food, v, out=out, audit_path=f"{out}/pipeline_logs")
     for name in ["dim_product", "dim_brand", "dim_category", "dim_country", "dim_date", "fact_nutrition",
                  "kpi_mean_score", "quality_report"]:
-        assert name in res
+        assert name in res and spark.read.parquet(f"{out}/{name}").count() == res[name].count()
+    assert sorted(x for x in os.listdir(out) if not x.startswith(".")) == sorted([*res, "pipeline_logs"])
+    with pytest.raises(ValueError, match="contract"):
+        W.run_pipeline(food, v, raw_path=food_path(spark, SF), contract={"code": "bigint"})
     report = {(r.table_name, r.check_name, r.column_name): r.violations for r in res["quality_report"].collect()}
     fact = res["fact_nutrition"]
     assert report[("fact_nutrition", "not_null", "category_sk")] == fact.filter("category_sk IS NULL").count()
