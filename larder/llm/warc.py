@@ -113,6 +113,8 @@ def original_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def export_warc(spark: SparkSession, path: str, out: str, compression: str = "none") -> None:
-    """Plain .warc part files: the original records one after another."""
-    original_records(spark, path).select(F.decode("record", "UTF-8").alias("value")).write.option("lineSep", "").option(
-        "compression", compression).text(out)
+    """Plain .warc part files: the original records one after another. The writer's line end stands for
+    the last of a record's closing line ends."""
+    record = F.decode("record", "UTF-8")
+    value = F.substring(record, F.lit(1), F.length(record) - len(CRLF)).alias("value")
+    original_records(spark, path).select(value).write.option("lineSep", CRLF).option("compression", compression).text(out)
