@@ -64,9 +64,11 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", uri_col:
                               "response").otherwise("revisit"))
     typed.select("id", "sha256", _header().alias("header")).write.parquet(f"{path}/headers")
     # The chosen record's payload is the stored one; repeated rows of it meet in the aggregation.
-    stored = rows.select("id", F.sha2("payload", 256).alias("sha256"), "payload").join(
-        chosen.select("sha256", F.col("response_id").alias("_id")), "sha256")
-    stored = stored.filter(F.col("id").eqNullSafe(F.col("_id"))).select("sha256", "payload").dropDuplicates(["sha256"])
+    # Grouped by the join's own keys, so the payloads are shuffled once. (A null id is the text "none".)
+    named = F.coalesce(F.col("id").cast("string"), F.lit("none")).alias("_id")
+    wanted = chosen.select("sha256", F.coalesce(F.col("response_id").cast("string"), F.lit("none")).alias("_id"))
+    stored = rows.select(F.sha2("payload", 256).alias("sha256"), named, "payload").join(wanted, ["sha256", "_id"])
+    stored = stored.dropDuplicates(["sha256", "_id"]).select("sha256", "payload")
     stored.write.parquet(f"{path}/payloads")
 
 
