@@ -31,16 +31,17 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from larder.llm.bpe import Memo
-from larder.llm.common import remove, scratch
+from larder.llm.common import chunks, remove, scratch
 
 VOCABULARY, END_ID = "byte_bpe_50k.json", 2
-MAX_BITS, MARK, BLOCK_IDS, TEXTS_AT_ONCE = 20, 128, 1 << 18, 256
+MAX_BITS, MARK, BLOCK_IDS, TEXTS_AT_ONCE, JOINED = 20, 128, 1 << 18, 256, 512
 MAGIC = b"LHUF0001"
 
 # ---- tokenising -------------------------------------------------------------------------------
@@ -63,31 +64,76 @@ class UnitEncoder:
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.n_ids = self.library.get_vocab_size(with_added_tokens=True)
+        self.joins = self.library.normalizer is None and not any(" " in s for s in self.special)
+        self.n_bytes = np.zeros(self.n_ids, np.int64)  # a character of a token stands for a byte
+        for token, i in self.library.get_vocab(with_added_tokens=True).items():
+            self.n_bytes[i] = len(token)
         self.memo = Memo()
 
     def _whole(self, text: str) -> bool:
         return _MIXED.search(text) is not None or any(s in text for s in self.special)
 
-    def _units(self, text: str) -> list[str]:
-        if not text:
-            return []
-        if self._whole(text):
-            return [text]
-        first, *rest = text.split(" ")
-        units = [" " + x for x in rest]
-        return [first, *units] if first else units
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids and offsets, as ``bpe.Encoder.encode`` gives them."""
-        units = [self._units(t or "") for t in texts]
-        ids, to = self.memo.look_up(list(chain.from_iterable(units)), self._encode_units)
-        return ids, np.concatenate([[0], to])[np.cumsum([0, *map(len, units)], dtype=np.int64)]
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids and offsets, as ``bpe.Encoder.encode`` gives them. The texts are cut and their
+        units numbered by Arrow; only the distinct units of the batch become Python strings."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        whole = np.array([self._whole(t) for t in texts.to_pylist()], bool)
+        cut = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
+        first = cut.offsets.to_numpy()
+        units = cut.flatten().dictionary_encode()
+        # A text's first unit has no space before it: key 2 * unit, the others' 2 * unit + 1.
+        key = units.indices.to_numpy().astype(np.int64) * 2 + 1
+        key[first[:-1]] -= 1
+        there = np.zeros(2 * len(units.dictionary), bool)
+        there[key] = True
+        keys = np.flatnonzero(there)
+        words = units.dictionary.take(pa.array(keys >> 1)).to_numpy(zero_copy_only=False).tolist()
+        ids, to = self.memo.look_up([" " + w if k else w for w, k in zip(words, (keys & 1).tolist())], self._encode_units)
+        to = np.concatenate([[0], to])
+        index = (np.cumsum(there) - 1)[key]
+        if whole.any():  # one entry each behind the units
+            more, ends = self._encode_each(texts.filter(pa.array(whole)).to_pylist())
+            index[first[:-1][whole]] = len(keys) + np.arange(len(ends) - 1)
+            ids, to = np.concatenate([ids, more]), np.concatenate([to, ends[1:] + len(ids)])
+        flat, ends = picked(ids, to, index)
+        return flat, ends[first]
+
+    def _encode_each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and offsets."""
+        ids = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(ids), np.int32), np.cumsum([0, *map(len, ids)], dtype=np.int64)
 
     def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = []
-        for k in range(0, len(units), 10_000):
-            ids += [e.ids for e in self.library.encode_batch_fast(units[k:k + 10_000], add_special_tokens=False)]
-        return np.fromiter(chain.from_iterable(ids), np.int32), np.cumsum([len(x) for x in ids])
+        """Ids and ends. Units the library cuts apart anyway go to it as joined texts, whose ids are
+        dealt out by the tokens' byte lengths; a joined text that does not come apart so goes singly."""
+        ids, to, order = [], [np.zeros(1, np.int64)], []
+        joined = np.array([self.joins and u[:1] == " " and not u[-1].isspace() for u in units], bool)
+        for at, whole in ((np.flatnonzero(joined), True), (np.flatnonzero(~joined), False)):
+            for k in range(0, len(at), JOINED):
+                here = [units[i] for i in at[k:k + JOINED].tolist()]
+                found, ends = self._encode_joined(here) if whole else self._encode_each(here)
+                ids.append(found)
+                to.append(ends[1:] + to[-1][-1])
+            order.append(at)
+        back = np.argsort(np.concatenate(order))
+        flat, ends = picked(np.concatenate(ids) if ids else np.zeros(0, np.int32), np.concatenate(to), back)
+        return flat, ends[1:]
+
+    def _encode_joined(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = np.array(self.library.encode_batch_fast(["".join(units)], add_special_tokens=False)[0].ids, np.int32)
+        length = np.concatenate([[0], np.cumsum(self.n_bytes[found])])
+        want = np.cumsum([0, *map(len, map(str.encode, units))])
+        ends = np.searchsorted(length, want)
+        if length[-1] != want[-1] or (length[ends] != want).any():
+            return self._encode_each(units)
+        return found, ends
+
+
+def picked(ids: np.ndarray, to: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries ``index`` of entries laid one after another from offsets ``to``, with their offsets."""
+    sizes = (to[1:] - to[:-1])[index]
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    return ids[np.repeat(to[index] - ends[:-1], sizes) + np.arange(int(ends[-1]))], ends
 
 
 @lru_cache(maxsize=1)
@@ -111,9 +157,8 @@ def _tokenised(docs: DataFrame, id_col: str, text_col: str, path: str | None, en
         id_type = None
         total = np.zeros(max(encoder.n_ids, end_id + 1), np.int64)
         for whole in batches:
-            for k in range(0, whole.num_rows, TEXTS_AT_ONCE):
-                batch = whole.slice(k, TEXTS_AT_ONCE)
-                flat, offsets = encoder.encode(batch.column("text").to_pylist())
+            for batch in chunks(whole, "text"):
+                flat, offsets = encoder.encode(batch.column("text"))
                 flat = np.insert(flat, offsets[1:], end_id).astype("<u4")
                 offsets = offsets + np.arange(len(offsets))
                 total += np.bincount(flat, minlength=len(total))
