@@ -7,6 +7,7 @@ import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -323,3 +324,21 @@ def test_pipeline_against_brute_force(spark):
     assert set(got) == set(want) and not {5, 6, 12, 13, 14} & set(got)
     encoder = bpe.Encoder(bpe.Vocabulary(bpe.default_path()))
     assert all(encoder.encode([t])[0].tolist() == got[i] for i, t in want.items())
+
+
+def test_unit_encoder_equals_library():
+    texts = [None, "", " ", "  ", "a", "a ", " a", "a  b", "a  ", "\n b", "\n  b c", "x <|endoftext|> y", "a\n b  c　d e\x1c f",
+             "\U0001f600 x \U0001f600", "a  b", "é ü ñandú " * 700, "w" * 5000]
+    unit = token_files.UnitEncoder(token_files.default_path())
+    assert unit.joins
+    want = [unit.library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+    def got(encoder, some):
+        ids, to = encoder.encode(some)
+        return [ids[a:b].tolist() for a, b in zip(to, to[1:])]
+
+    rows = pa.array(texts)
+    assert got(unit, rows) == want and got(unit, rows.slice(3, 5)) == want[3:8] and got(unit, rows.slice(0, 0)) == []
+    single = token_files.UnitEncoder(token_files.default_path())
+    single.n_bytes[:] = 1  # joined texts never come apart by these lengths: every unit goes singly
+    assert got(single, rows) == want
