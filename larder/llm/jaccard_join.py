@@ -9,7 +9,11 @@ draws coordinates at random (by a hash of the node), and a set follows each draw
 the child named by its value there, so sets sharing that sampled token go down together and
 sharply different sets part. A child small enough is searched by brute force over the embeddings;
 in a larger one every set is compared with a few leaders first (so a bucket of near copies is not
-passed down again and again), and the sets not as close as the threshold to one are split again, down to ``DEPTH``. Runs repeat with other draws: a pair at the threshold
+passed down again and again), and the sets not as close as the threshold to one are split again, down
+to ``DEPTH``; what is left there is compared pair by pair, in parts. Agreement on coordinates is a metric,
+so a set may leave with a leader if all sets that may be close to it are tied to that leader too: the limit for a
+tie is lowered by as much as the leader's farthest leaving set lies from it, and a pair that a small
+bucket would tie is tied in a large one. Runs repeat with other draws: a pair at the threshold
 survives a level with probability 1 - exp(-BRANCH * 0.8), and the number of runs follows from the
 recall asked for.
 
@@ -217,40 +221,88 @@ def _brute(leaves: DataFrame, least: float) -> DataFrame:
 
 def _buckets(slim: DataFrame, leaders: int, leaf: int) -> DataFrame:
     """(node, size, lead, id): every row whose node holds more than one set, with the node's size
-    and, in a large one, its leaders: the least ids under ``leaders`` orders. One aggregation with a
-    row per node, one join."""
-    orders = [F.min_by("id", F.xxhash64(F.lit(k), "id")).alias(f"l{k}") for k in range(leaders)]
+    and, in a large one, its leaders: the least ids under ``leaders`` orders, which differ from node to
+    node. One aggregation with a row per node, one join."""
+    orders = [F.min_by("id", F.xxhash64(F.lit(k), "node", "id")).alias(f"l{k}") for k in range(leaders)]
     shape = slim.groupBy("node").agg(F.count(F.lit(1)).alias("size"), *orders).filter("size > 1").select(
         "node", "size", F.when(F.col("size") > leaf, F.array(*[f"l{k}" for k in range(leaders)])).alias("lead"))
     return slim.join(shape, "node").select("node", "size", "lead", "id")
 
 
-def _with_leaders(big: DataFrame, least: float, enough: float) -> DataFrame:
-    """(id, node, sketch, ties, done) of every set of a large bucket: the bucket's leaders its embedding
-    agrees with to ``least``, and whether it agrees with one to ``enough``. A bucket is dealt out in
-    parts of about SUB sets, each with a copy of the few leaders."""
+def _with_leaders(big: DataFrame, enough: float) -> DataFrame:
+    """(id, node, size, sketch, lead, agree, best, done) of every set of a large bucket: the bucket's leaders,
+    how far its embedding agrees with each, the best of them, and whether that one agrees to
+    ``enough``. A bucket is dealt out in parts of about SUB sets, each with a copy of the few leaders."""
     kind = big.schema["id"].dataType.simpleString()
     parts = F.ceil(F.col("size") / F.lit(SUB)).cast("int")
-    members = big.select("node", F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"), F.lit(1).alias("member"), "id", "sketch")
+    members = big.select(
+        "node", F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"), F.lit(1).alias("member"), "id", "size", "sketch")
     lead = big.filter(F.array_contains("lead", F.col("id"))).select(
-        "node", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("member"), "id", "sketch")
-    placed = members.unionByName(lead).repartition("node", "part").sortWithinPartitions("node", "part", "member")
+        "node", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("member"), "id", "size", "sketch")
+    placed = members.unionByName(lead).repartition("node", "part").sortWithinPartitions("node", "part", "member", "id")
 
     def run(batches):
         for g in _groups(batches, ["node", "part"]):
             member = g.column("member").to_numpy() == 1
             if not member.any():
                 continue
-            sketch, ids = _matrix(g.column("sketch")), g.column("id")
+            sketch, own = _matrix(g.column("sketch")), pa.array(member)
             first = np.flatnonzero(~member)
             agree = np.stack([(sketch[member] == sketch[k]).mean(1) for k in first], 1)
-            own, lead = ids.filter(pa.array(member)), ids.take(pa.array(first)).to_pylist()
-            ties = [[x for x, a in zip(lead, row) if a] for row in (agree >= least).tolist()]
+            n = len(agree)
+            each = pa.array(np.arange(n + 1, dtype=np.int32) * len(first))
+            lead = pa.ListArray.from_arrays(each, g.column("id").take(pa.array(np.tile(first, n))))
             yield pa.RecordBatch.from_arrays(
-                [own, g.column("node").filter(pa.array(member)), g.column("sketch").filter(pa.array(member)),
-                 pa.array(ties, pa.list_(ids.type)), pa.array(agree.max(1) >= enough)], names=["id", "node", "sketch", "ties", "done"])
+                [*[g.column(c).filter(own) for c in ("id", "node", "size", "sketch")], lead,
+                 pa.ListArray.from_arrays(each, pa.array(agree.ravel())), pa.array(agree.argmax(1).astype(np.int32)),
+                 pa.array(agree.max(1) >= enough)],
+                names=["id", "node", "size", "sketch", "lead", "agree", "best", "done"])
+
+    return placed.mapInArrow(
+        run, f"id {kind}, node long, size long, sketch binary, lead array<{kind}>, agree array<double>, best int, done boolean")
+
+
+def _leader_ties(led: DataFrame, least: float, leaders: int) -> DataFrame:
+    """Edges (u, v) from sets to their buckets' leaders. The limit for a leader is ``least``, less
+    the distance of the farthest set that leaves with it: what agrees to ``least`` with a set that
+    leaves agrees that far with the leader, by the triangle inequality."""
+    reach = led.filter("done").groupBy("node").agg(*[
+        F.coalesce(F.min(F.when(F.col("best") == k, F.get("agree", F.lit(k)))), F.lit(1.0)).alias(f"r{k}") for k in range(leaders)])
+    limits = reach.select("node", F.array(*[F.col(f"r{k}") + (least - 1 - 1e-9) for k in range(leaders)]).alias("limit"))
+    met = led.select("node", "id", "lead", "agree").join(limits, "node").select(
+        F.col("id").alias("u"), F.explode(F.arrays_zip("lead", "agree", "limit")).alias("x"))
+    return met.filter("x.agree >= x.limit AND u != x.lead").select("u", F.col("x.lead").alias("v")).distinct()
+
+
+def _in_parts(rest: DataFrame, least: float) -> DataFrame:
+    """Edges (u, v) among the sets that are left in large buckets after the last level: all are
+    compared, a pair of parts of about SUB sets at a time."""
+    kind = rest.schema["id"].dataType.simpleString()
+    parts = F.ceil(F.col("size") / F.lit(SUB)).cast("int")
+    dealt = rest.select("node", "id", "sketch", parts.alias("parts"), F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"))
+    placed = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("with")).select(
+        "node", F.least("part", "with").alias("left"), F.greatest("part", "with").alias("right"), "part", "id", "sketch")
+    placed = placed.repartition("node", "left", "right").sortWithinPartitions("node", "left", "right")
 
-    return placed.mapInArrow(run, f"id {kind}, node long, sketch binary, ties array<{kind}>, done boolean")
+    def run(batches):
+        us, vs = [], []
+        t = None
+        for g in _groups(batches, ["node", "left", "right"]):
+            m, part, ids = _matrix(g.column("sketch")), g.column("part").to_numpy(), g.column("id").to_pylist()
+            left, right = g.column("left")[0].as_py(), g.column("right")[0].as_py()
+            first, second = np.flatnonzero(part == left), np.flatnonzero(part == right)
+            other, t = m[second], g.column("id").type
+            pairs = ((i, j) for i in first.tolist() for j in second[(other == m[i]).mean(1) >= least].tolist() if i != j)
+            for a, b in _forest(len(m), pairs):
+                us.append(ids[a])
+                vs.append(ids[b])
+            if len(us) > 20000:
+                yield pa.RecordBatch.from_pydict({"u": pa.array(us, t), "v": pa.array(vs, t)})
+                us, vs = [], []
+        if us:
+            yield pa.RecordBatch.from_pydict({"u": pa.array(us, t), "v": pa.array(vs, t)})
+
+    return placed.mapInArrow(run, f"u {kind}, v {kind}")
 
 
 def likely_ties(sets: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, branch: float = BRANCH,
@@ -268,13 +320,13 @@ def likely_ties(sets: DataFrame, threshold: float = THRESHOLD, recall: float = R
         met = _buckets(slim, LEADERS, leaf).join(sets.select("id", "sketch"), "id")
         met = written(met, f"buckets-{level}")
         big = met.filter(F.col("size") > leaf)
-        led = written(_with_leaders(big, least, threshold), f"led-{level}")
-        ties = led.select(F.col("id").alias("u"), F.explode("ties").alias("v")).filter("u != v")
-        for f in (_brute(met.filter(F.col("size") <= leaf), least), ties):
+        led = written(_with_leaders(big, threshold), f"led-{level}")
+        for f in (_brute(met.filter(F.col("size") <= leaf), least), _leader_ties(led, least, LEADERS)):
             edges = f if edges is None else edges.unionByName(f)
-        # A set tied to a leader is found; what is close to it lies close to the leader too.
-        frontier = led.filter(~F.col("done")).select("node", "id", "sketch")
-    return edges
+        # A set close to a leader leaves: the leader's ties hold all that may be close to the set.
+        rest = led.filter(~F.col("done"))
+        frontier = rest.select("node", "id", "sketch")
+    return edges.unionByName(_in_parts(rest, least))
 
 
 # ---- exact ties -------------------------------------------------------------------------------

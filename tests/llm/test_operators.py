@@ -104,6 +104,41 @@ def test_jaccard_join_large_group_and_nulls(spark):
     assert got.count() == 331 and got.filter("doc_id IS NULL AND class_id IS NULL AND n_links = 0").count() == 1
 
 
+def test_jaccard_join_chains_beside_hot_groups(spark):
+    def embedded(texts):
+        words, first = word_hashes(pa.array(texts, pa.string()))
+        return jaccard_join.minhashes(*jaccard_join.distinct_sorted(*gram_hashes(words, first, 5)))
+
+    texts, chains = {}, []
+    for world in range(1000):
+        w = [f"w{world}x{k}" for k in range(242)]
+        group = [" ".join([*w[:200], f"end{world}x{k}"]) for k in range(60)]
+        near, far = " ".join(w[21:221]), " ".join(w[42:242])  # near: 0.8 to the group and to far; far: 0.65 to the group
+        m = embedded([*group, near, far])
+        to_near, to_far = (m[:60] == m[60]).mean(1), (m[:60] == m[61]).mean(1)
+        if (to_near >= 0.8).mean() > 0.95 < (to_far < 0.6).mean() and (m[60] == m[61]).mean() >= 0.6:
+            at = len(texts)
+            texts.update({at + k: t for k, t in enumerate([*group, near, far])})
+            chains.append((at + 60, at + 61))
+        if len(chains) == 12:
+            break
+    assert len(chains) == 12
+    got = by_id(jaccard_join.jaccard_classes(spark.createDataFrame([*texts.items()], "doc_id long, text string").repartition(4)),
+                "class_id", "n_links")
+    assert got == brute.near_classes(texts)
+    assert all(got[a][0] == got[b][0] for a, b in chains)
+
+
+def test_likely_ties_in_a_bucket_that_stays_large(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SUB", 16)
+    shared = [f"s{k}" for k in range(120)]
+    texts = {2 * p + k: " ".join([*shared, *[f"p{p}x{x}" for x in range(60)], f"end{k}"]) for p in range(120) for k in range(2)}
+    sets = jaccard_join.written(jaccard_join.shingle_sets(
+        spark.createDataFrame([*texts.items()], "doc_id long, text string"), "doc_id", "text"), "sets")
+    root = by_id(graph.connected_components(jaccard_join.likely_ties(sets, depth=1, leaf=4)), "root", key="node")
+    assert [p for p in range(120) if root.get(2 * p, 0) != root.get(2 * p + 1, 1)] == []
+
+
 def test_connected_components(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 90), (90, 95), (7, 7), (200, 201), (201, 200)]
     got = by_id(graph.connected_components(spark.createDataFrame(edges, "u long, v long")), "root", key="node")
