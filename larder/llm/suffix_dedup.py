@@ -13,13 +13,14 @@ strings with one anchor form a *stretch*, sent as one row (anchor, fingerprint o
 1. Stretches are sorted by (anchor, fingerprint, id). One equal to a stretch of a smaller id is
    covered whole; a bucket (anchor) with several fingerprints is unresolved, and so are its first holders.
 2. Only those get their bytes back. Their bucket is refined, string by string, to full length and sorted by
-   pointer and id; strings that a smaller id holds are covered. A bucket with more than HOT
-   holders is split by the refined pointers themselves, so no task gets a large one.
+   pointer and id; strings that a smaller id holds are covered. In a bucket with more than HOT
+   holders the strings are named in the map task and go through step 1 again under the refined
+   pointers themselves: a task sends a string for its least id only, and the sorted rows are streamed.
 3. Covered ranges are united per document and cut out.
 
 A task combines its own rows first (a stretch it has seen with a smaller id is covered there and
-then), so an often copied passage sends one row per task. Memory: FLUSH stretches in a map task, one
-batch and one small bucket in a sort task.
+then), so an often copied passage sends one row per task. Memory: FLUSH stretches or strings in a map
+task, one batch and one small bucket in a sort task.
 
 Null or empty text: no bytes. Rows with a null id are returned as they are and cover nothing.
 Repeated rows do not cover each other (no smaller id). Matches never cross documents. Extra columns are
@@ -30,9 +31,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -182,104 +185,125 @@ def _sent(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, _ROW)
 
 
+def _resolved(batches: Iterator[pa.RecordBatch], single: bool = False) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (anchor, print, doc) -> covered ranges (n < 0) and unresolved stretches (n > 0).
+    ``single``: a bucket has one print, so none is unresolved."""
+    # The last bucket's tail goes into the next batch: its last stretch's first holder, and
+    # whether the bucket is known to have several prints (its holders so far are then out already).
+    tail, several = None, False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in _NAMES]
+        out = cols[4] < 0
+        if out.any():
+            yield batch.filter(pa.array(out))
+        cols = [c[~out] for c in cols]
+        old = 0
+        if tail is not None:
+            cols, old = [np.concatenate([t, c]) for t, c in zip(tail, cols)], len(tail[0])
+        anchor, prints, doc, place, n = cols
+        if not len(doc):
+            continue
+        bucket = np.ones(len(doc), bool)
+        bucket[1:] = anchor[1:] != anchor[:-1]
+        run_head = bucket.copy()
+        run_head[1:] |= prints[1:] != prints[:-1]
+        least = doc[np.flatnonzero(run_head)][np.cumsum(run_head) - 1]
+        holder = doc == least
+        at = np.cumsum(bucket) - 1
+        many = np.bincount(at, weights=run_head) > 1
+        if several:
+            many[0] = True
+        is_open = holder & many[at]
+        if several:
+            is_open[:old] = False
+        seen = ~holder
+        if seen.any():
+            yield _covered(doc[seen], place[seen], n[seen].astype(np.int64) + LENGTH - 1)
+        if is_open.any():
+            yield pa.RecordBatch.from_arrays([pa.array(c[is_open]) for c in cols], names=_NAMES)
+        last = at == at[-1]
+        several = bool(many[-1])
+        keep = np.flatnonzero(last & holder)
+        if several or single:  # only the last print's least id is still needed
+            keep = keep[-1:]
+        tail = [c[keep] for c in cols]
+        if several and not (prints[keep] == prints[-1]).all():
+            tail = [c[-1:] for c in cols]
+
+
 def _sorted_out(sent: DataFrame) -> DataFrame:
-    """Rows sorted by (anchor, print, doc) -> covered ranges (n < 0) and unresolved stretches (n > 0)."""
+    """Covered ranges and unresolved stretches among the stretches sent."""
     placed = sent.repartition("anchor").sortWithinPartitions("anchor", "print", "doc")
-
-    def run(batches):
-        # The last bucket's tail goes into the next batch: its last stretch's first holder, and
-        # whether the bucket is known to have several prints (its holders so far are then out already).
-        tail, several = None, False
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in _NAMES]
-            out = cols[4] < 0
-            if out.any():
-                yield batch.filter(pa.array(out))
-            cols = [c[~out] for c in cols]
-            old = 0
-            if tail is not None:
-                cols, old = [np.concatenate([t, c]) for t, c in zip(tail, cols)], len(tail[0])
-            anchor, prints, doc, place, n = cols
-            if not len(doc):
-                continue
-            bucket = np.ones(len(doc), bool)
-            bucket[1:] = anchor[1:] != anchor[:-1]
-            run_head = bucket.copy()
-            run_head[1:] |= prints[1:] != prints[:-1]
-            least = doc[np.flatnonzero(run_head)][np.cumsum(run_head) - 1]
-            holder = doc == least
-            at = np.cumsum(bucket) - 1
-            many = np.bincount(at, weights=run_head) > 1
-            if several:
-                many[0] = True
-            is_open = holder & many[at]
-            if several:
-                is_open[:old] = False
-            seen = ~holder
-            if seen.any():
-                yield _covered(doc[seen], place[seen], n[seen].astype(np.int64) + LENGTH - 1)
-            if is_open.any():
-                yield pa.RecordBatch.from_arrays([pa.array(c[is_open]) for c in cols], names=_NAMES)
-            last = at == at[-1]
-            several = bool(many[-1])
-            keep = np.flatnonzero(last & holder)
-            if several:  # only the last print's least id is still needed
-                keep = keep[-1:]
-            tail = [c[keep] for c in cols]
-            if several and not (prints[keep] == prints[-1]).all():
-                tail = [c[-1:] for c in cols]
-
-    return placed.mapInArrow(run, _ROW)
+    return placed.mapInArrow(_resolved, _ROW)
 
 
 # ---- stage 2: refinement of unresolved buckets -----------------------------------------------
 
+def _touching(rows: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Strings with one name, places of a text that touch put into one row: a smaller id covers all or none."""
+    names, prints, doc, place = (np.concatenate(c) for c in zip(*rows))
+    order = np.lexsort((place, doc, names))
+    names, doc, place = names[order], doc[order], place[order]
+    head = np.ones(len(doc), bool)
+    head[1:] = (names[1:] != names[:-1]) | (doc[1:] != doc[:-1]) | (place[1:] - place[:-1] > LENGTH)
+    first = np.flatnonzero(head)
+    last = np.append(first[1:], len(doc)) - 1
+    return names[first], prints[first], doc[first], place[first], place[last] - place[first] + 1
+
+
 def _with_bytes(unresolved: DataFrame, texts: DataFrame) -> DataFrame:
-    """Unresolved stretches with their bytes; those of hot buckets string by string, under
-    the string's own pointer."""
+    """Unresolved stretches with their bytes; those of hot buckets string by string, under the string's
+    own pointer and without bytes, combined within the task."""
     per_doc = unresolved.groupBy("doc", "tag").agg(F.collect_list(F.struct("anchor", "begin", "n", "hot")).alias("open"))
 
     def run(batches):
+        strings, held = [], 0
         for batch in batches:
-            rows = [[], [], [], [], []]
+            rows = [[], [], [], [], [], []]
             for doc, tag, text, found in zip(*(batch.column(c) for c in ("doc", "tag", "text", "open"))):
                 data, doc, tag = text.as_py().encode("utf-8"), doc.as_py(), tag.as_py()
-                names = None
                 for x in found.as_py():
                     begin, n = x["begin"], x["n"]
-                    body = data[begin:begin + n + LENGTH - 1]
-                    if not x["hot"]:
-                        pieces = [(x["anchor"], begin, body)]
-                    else:
-                        names = pointers(np.frombuffer(body, np.uint8), LENGTH)[:n].view(np.int64).tolist()
-                        pieces = [(names[k], begin + k, body[k:k + LENGTH]) for k in range(n)]
-                    for key, b, piece in pieces:
-                        for c, v in zip(rows, (key, doc, tag, b, piece)):
-                            c.append(v)
+                    body, place = data[begin:begin + n + LENGTH - 1], (tag << _PLACE_BITS) | begin
+                    if x["hot"]:
+                        names = pointers(np.frombuffer(body, np.uint8), LENGTH)[:n]
+                        strings.append((names, np.zeros(n, np.int64), np.full(n, doc, np.int64), place + np.arange(n)))
+                        held += n
+                        if held >= FLUSH:
+                            yield from map(_bare, _combined([_touching(strings)]))
+                            strings, held = [], 0
+                        continue
+                    for c, v in zip(rows, (x["anchor"], 0, doc, place, n, body)):
+                        c.append(v)
                 if len(rows[0]) > 20_000:
                     yield _batch(rows)
-                    rows = [[], [], [], [], []]
+                    rows = [[], [], [], [], [], []]
             if rows[0]:
                 yield _batch(rows)
+        if held:
+            yield from map(_bare, _combined([_touching(strings)]))
+
+    def _bare(t):
+        return pa.RecordBatch.from_arrays([*t.columns, pa.nulls(t.num_rows, pa.binary())], names=[*_NAMES, "body"])
 
     def _batch(rows):
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=["bucket", "doc", "tag", "begin", "body"])
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=[*_NAMES, "body"])
 
-    return texts.join(per_doc, ["doc", "tag"]).select("doc", "tag", "text", "open").mapInArrow(
-        run, "bucket long, doc long, tag long, begin long, body binary")
+    return texts.join(per_doc, ["doc", "tag"]).select("doc", "tag", "text", "open").mapInArrow(run, f"{_ROW}, body binary")
 
 
 def _refined(opened: DataFrame) -> DataFrame:
     """Covered ranges (doc, tag, begin, end) among the unresolved stretches."""
-    placed = opened.repartition("bucket").sortWithinPartitions("bucket", "doc")
+    placed = opened.repartition("anchor").sortWithinPartitions(F.col("body").isNotNull(), "anchor", "doc")
 
     def judge(t: pa.RecordBatch) -> pa.RecordBatch | None:
         data, offsets = string_bytes(t.column("body"))
         size = np.diff(offsets)
-        bucket, doc, tag, begin = (t.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "doc", "tag", "begin"))
+        bucket, doc, place = (t.column(c).to_numpy(zero_copy_only=False) for c in ("anchor", "doc", "place"))
+        tag, begin = place >> np.int64(_PLACE_BITS), place & ((1 << _PLACE_BITS) - 1)
         row = np.repeat(np.arange(len(size)), size - LENGTH + 1)
         inside = np.arange(len(row)) - np.repeat(np.cumsum(size - LENGTH + 1) - (size - LENGTH + 1), size - LENGTH + 1)
         name = mix(pointers(data, LENGTH)[offsets[:-1][row] + inside] + mix(bucket.view(np.uint64))[row])
@@ -295,20 +319,38 @@ def _refined(opened: DataFrame) -> DataFrame:
         cols = _united(doc[row], tag[row], start, start + LENGTH)
         return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["doc", "tag", "begin", "end"])
 
-    def run(batches):
+    def by_kind(batches):
+        for batch in batches:
+            named = batch.column("body").null_count  # strings of hot buckets come first
+            if named:
+                yield True, batch.slice(0, named)
+            if named < batch.num_rows:
+                yield False, batch.slice(named)
+
+    def buckets(batches):
         rest = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
             t = batch if rest is None else pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
-            bucket = t.column("bucket").to_numpy(zero_copy_only=False)
+            bucket = t.column("anchor").to_numpy(zero_copy_only=False)
             cut = int(np.searchsorted(bucket, bucket[-1]))  # the last bucket may go on
             if cut and (found := judge(t.slice(0, cut))) is not None:
                 yield found
             rest = t.slice(cut)
-        if rest is not None and (found := judge(rest)) is not None:
+        if (found := judge(rest)) is not None:
             yield found
 
+    def strings(batches):
+        for t in _resolved((x.select(_NAMES) for x in batches), single=True):
+            place = t.column("place").to_numpy()
+            begin = pa.array(place & ((1 << _PLACE_BITS) - 1))
+            yield pa.RecordBatch.from_arrays(
+                [t.column("doc"), pa.array(place >> np.int64(_PLACE_BITS)), begin,
+                 pc.subtract(begin, t.column("n").cast(pa.int64()))], names=["doc", "tag", "begin", "end"])
+
+    def run(batches):
+        for named, part in groupby(by_kind(batches), lambda x: x[0]):
+            yield from (strings if named else buckets)(x for _, x in part)
+
     return placed.mapInArrow(run, "doc long, tag long, begin long, end long")
 
 

@@ -163,6 +163,23 @@ def test_suffix_dedup_hot_bucket_small_flush(spark, monkeypatch):
         (0, False), (1, False), (1, False), (2, True)]
 
 
+def test_suffix_dedup_hot_string_sends_one_row_per_task(spark, monkeypatch):
+    passage, most, refined = prose(40, 11), [], suffix_dedup._refined
+
+    def counted(opened):
+        most.append(opened.groupBy(opened.columns[0]).count().agg(F.max("count")).first()[0])
+        return refined(opened)
+
+    monkeypatch.setattr(suffix_dedup, "HOT", 20)
+    monkeypatch.setattr(suffix_dedup, "_refined", counted)
+    texts = {i: f"{prose(30, 1000 + i)} {passage} {prose(30, 2000 + i)}" for i in range(300)}
+    texts[300], texts[301] = "a" * 3000 + "b", "a" * 2000 + "c"
+    df = spark.createDataFrame([*texts.items()], "doc_id long, text string").repartition(6)
+    got = by_id(suffix_dedup.remove_repeats(df), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == brute.without_repeats(texts)
+    assert most and most[0] <= 24  # 8 tasks, fewer than HOT holders in an unsplit bucket
+
+
 def test_secret_scan(spark, docs, none):
     found = secret_scan.scan_documents(spark, docs)
     for r in found.collect():
