@@ -269,9 +269,9 @@ def _leader_ties(led: DataFrame, least: float, leaders: int) -> DataFrame:
     reach = led.filter("done").groupBy("node").agg(*[
         F.coalesce(F.min(F.when(F.col("best") == k, F.get("agree", F.lit(k)))), F.lit(1.0)).alias(f"r{k}") for k in range(leaders)])
     limits = reach.select("node", F.array(*[F.col(f"r{k}") + (least - 1 - 1e-9) for k in range(leaders)]).alias("limit"))
-    met = led.select("node", "id", "lead", "agree").join(limits, "node").select(
-        F.col("id").alias("u"), F.explode(F.arrays_zip("lead", "agree", "limit")).alias("x"))
-    return met.filter("x.agree >= x.limit AND u != x.lead").select("u", F.col("x.lead").alias("v")).distinct()
+    near = F.filter(F.arrays_zip("lead", "agree", "limit"), lambda x: (x["agree"] >= x["limit"]) & (x["lead"] != F.col("id")))
+    met = led.select("node", "id", "lead", "agree").join(limits, "node").select(F.col("id").alias("u"), F.explode(near).alias("x"))
+    return met.select("u", F.col("x.lead").alias("v")).distinct()
 
 
 def _in_parts(rest: DataFrame, least: float) -> DataFrame:
