@@ -6,7 +6,7 @@ and its own turns after its first h (the remainder has the sign of c, as in SQL)
 
 Names. A node is named by 128 bits: four sums, over its turns, of 32-bit parts of two hashes of (place, role, text),
 so a name is a running sum and needs no state that is carried from turn to turn. Places come from a
-distributed numbering of all turns (``running.numbered``) minus the conversation's first number; running sums are
+distributed numbering of all turns (``keys.surrogate_key``, nulls first) minus the conversation's first number; running sums are
 taken in two levels (blocks of ``SPAN`` places), so that a conversation of any length is spread.
 
 Totals. Nodes are cut into shards. A node's weight is the number of turns its members have below it, an upper bound of
@@ -137,7 +137,7 @@ def turns_in_place(df: DataFrame) -> DataFrame:
         F.col("conv_id").cast("bigint").alias("conv"), F.col("turn").cast("bigint").alias("turn"),
         F.xxhash64(role, text).alias("a"), F.xxhash64(F.lit(11), text, F.lit(5), role).alias("b"), words.alias("words"))
     rows = written(rows, "turns")
-    numbered = surrogate_key(rows, [F.col("conv").asc(), F.col("turn").asc_nulls_first(), F.col("a").asc(), F.col("b").asc()], "at", unique=False)
+    numbered = surrogate_key(rows, ["conv", "turn", "a", "b"], "at", unique=False)
     numbered = written(numbered, "turns-numbered")
     first = numbered.groupBy("conv").agg(F.min("at").alias("_first"), F.count(F.lit(1)).alias("n"))
     return numbered.join(first, "conv").select("conv", (F.col("at") - F.col("_first") + 1).alias("place"), "n", "a", "b", "words")
