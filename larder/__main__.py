@@ -17,8 +17,8 @@ import sys
 def main(argv: list[str] | None = None) -> int:
     from larder.config import VARIANTS
     from larder.plans.warehouse import run_pipeline
-    from larder.session import get_session
-    from larder.sources.io import land_raw, read_raw, verify_landing
+    from larder.session import get_session, remove_work
+    from larder.sources.io import RAW_CONTRACT, land_checked, read_raw, verify_landing
 
     ap = argparse.ArgumentParser(prog="larder")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -28,6 +28,8 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--variant", default="default", choices=sorted(VARIANTS))
     run.add_argument("--audit", default=None, help="audit table folder (appended)")
     run.add_argument("--silver", default=None, help="also write the six staging tables to this folder")
+    run.add_argument("--contract", default=None, help="JSON file {column: type} the raw files must keep; default: the columns a run needs")
+    run.add_argument("--no-contract", action="store_true", help="do not check the raw files")
     land = sub.add_parser("land", help="copy a raw dump to food/food_YYYYMMDD.parquet and check it")
     land.add_argument("--source", required=True)
     land.add_argument("--base", required=True)
@@ -36,14 +38,19 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = get_session("larder")
     if args.cmd == "run":
-        res = run_pipeline(read_raw(spark, args.raw), VARIANTS[args.variant], out=args.out,
-                           audit_path=args.audit, source_file=args.raw, silver=args.silver)
+        contract = RAW_CONTRACT
+        if args.contract:
+            with open(args.contract) as f:
+                contract = json.load(f)
+        res = run_pipeline(read_raw(spark, args.raw), VARIANTS[args.variant], out=args.out, audit_path=args.audit, source_file=args.raw,
+                           silver=args.silver, raw_path=args.raw, contract=None if args.no_contract else contract)
         failed = res["quality_report"].filter("NOT passed").count()
+        remove_work(spark)  # everything that stays is written
         print(json.dumps({"out": args.out, "variant": args.variant, "failed_checks": failed}))
     else:
-        path, rows = land_raw(read_raw(spark, args.source, schema=None), args.base, dated=not args.fixed_name)
-        ok, n = verify_landing(spark, path, rows)
-        print(json.dumps({"path": path, "rows": rows, "verified": ok}))
+        path, landed = land_checked(read_raw(spark, args.source, schema=None), args.base, dated=not args.fixed_name)
+        ok, n = verify_landing(spark, path, landed)
+        print(json.dumps({"path": path, "rows": landed.rows, "digest": landed.digest, "verified": ok}))
         if not ok:
             return 1
     return 0

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from larder.config import DEFAULT, VARIANT_A, VARIANT_B, Variant
 from larder.operators import quality as Q
 from larder.functions.dates import date_key, seconds_to_date
-from larder.functions.nested import array_size
+from larder.functions.nested import array_size, keep_items, map_items
 from larder.functions.predicates import if_
 from larder.operators.dedup import dedup, latest_per_key
 from larder.operators.joins import bridge_lookup, lookup
@@ -29,6 +29,7 @@ from larder.plans import warehouse as W
 from larder.session import work_dir
 from larder.sources import audit as AU
 from larder.sources import documents as DOC
+from larder.sources import footers as FT
 from larder.sources import io as IO
 from larder.sources.testdata import food_path, load_food
 
@@ -261,7 +262,6 @@ def audit_catalog(spark, sf):
 
 # Contract of the raw table; one type is deliberately stricter than the data and
 # one column is absent, so the report shows both kinds of finding.
-RAW_CONTRACT = {"code": "string", "nutriscore_grade": "string", "nutriscore_score": "int", "last_modified_t": "bigint"}
 FOOD_CONTRACT = {"code": "string", "nutriscore_grade": "string", "nutriscore_score": "bigint",
                  "nova_group": "int", "last_modified_t": "bigint", "countries_tags": "array<string>",
                  "created_t": "bigint"}
@@ -302,15 +302,117 @@ def _fan_out_first(fmt: str, options: dict):
 def gold_dim_product(spark, sf):
     """dim_product as a finished run leaves it in the gold folder."""
     out = _scratch(spark, "run-a")
-    W.run_pipeline(load_food(spark, sf), VARIANT_A, out=out, raw_path=food_path(spark, sf), contract=RAW_CONTRACT)
+    W.run_pipeline(load_food(spark, sf), VARIANT_A, out=out, raw_path=food_path(spark, sf), contract=IO.RAW_CONTRACT)
     return IO.read_layer(spark, *out.rsplit("/", 1), "dim_product")
 
 
 def layer_view(spark, sf):
     """A layer table read back and shown as a view."""
     base = _scratch(spark, "layers")
-    IO.write_layer(table(spark, sf, "nation"), base, "silver", "nation")
-    return IO.materialize(IO.read_layer(spark, base, "silver", "nation"), "view", f"nation_{uuid.uuid4().hex[:8]}")
+    IO.write_layer(table(spark, sf, "orders"), base, "silver", "orders")
+    return IO.materialize(IO.read_layer(spark, base, "silver", "orders"), "view", f"orders_{uuid.uuid4().hex[:8]}")
+
+
+def mart_table(spark, sf):
+    """A staging view and the mart built from it as a catalog table, read by name once the view is gone."""
+    view, name = f"stg_orders_{uuid.uuid4().hex[:8]}", f"mart_customer_{uuid.uuid4().hex[:8]}"
+    IO.materialize(table(spark, sf, "orders"), "view", view)
+    mart = IO.run_sql(spark, f"SELECT o_custkey, count(*) AS nb_orders, max(o_orderdate) AS last_order FROM {view} GROUP BY o_custkey")
+    IO.materialize(mart, "table", name, _scratch(spark, "mart"))
+    spark.catalog.dropTempView(view)
+    return spark.newSession().table(name)  # another session: no view of this one is seen there
+
+
+def food_typed(spark, sf):
+    """The raw table under its typed projection: flattened names, joined tags, a column per nutrient (S3)."""
+    return IO.project_typed(IO.read_raw(spark, food_path(spark, sf)), IO.food_spec())
+
+
+def food_rich_nutrients(spark, sf):
+    """Nutrients above 5 per 100 g, by a filter over the struct array."""
+    rich = keep_items("nutriments", ["name", "100g"], lambda i: i["100g"] > 5)
+    return load_food(spark, sf).filter("code IS NOT NULL").select(
+        "code", "last_modified_t", F.array_join(F.transform(rich, lambda i: i["name"]), ",").alias("rich"), F.size(rich).cast("bigint").alias("nb_rich"))
+
+
+def food_nutrient_labels(spark, sf):
+    """A label per nutrient, by a transform over the struct array."""
+    label = map_items("nutriments", ["name", "100g"], lambda i: F.concat(i["name"], F.lit("="), F.floor(i["100g"] * 10).cast("string")))
+    return load_food(spark, sf).filter("code IS NOT NULL").select("code", "last_modified_t", F.array_join(label, ";").alias("labels"))
+
+
+def active_products_by_period(spark, sf):
+    """Distinct products per month, year and in all, merged from monthly bitmaps."""
+    from larder.plans.kpis import active_products_by_period as by_period
+    g = _gold(spark, sf, VARIANT_A)
+    return by_period(g["fact_nutrition"], g["dim_date"])
+
+
+def bucketed_grades(spark, sf):
+    """Fact rows and products per grade over tables bucketed by product: no exchange before the grades."""
+    g = W.bucket_by_product(_gold(spark, sf, VARIANT_A), _scratch(spark, "bucketed"), 8, f"larder_{uuid.uuid4().hex[:8]}")
+    per_product = g["fact_nutrition"].groupBy("product_sk").agg(F.count(F.lit(1)).alias("_n"))
+    graded = lookup(per_product, g["dim_product"], "product_sk", ["nutriscore_grade"], how="inner")
+    return graded.groupBy("nutriscore_grade").agg(F.sum("_n").alias("nb_lignes"), F.count(F.lit(1)).alias("nb_produits"))
+
+
+EVENT_CONTRACT = {"event_id": "bigint", "user_id": "bigint", "event_type": "string", "value": "double", "props": "string"}
+
+
+def contract_by_file(spark, sf):
+    """Four batches in one folder, one of them drifted (a type changed, a column gone): the breaches by file."""
+    base = _scratch(spark, "batches")
+    ev = table(spark, sf, "events")
+    for k in range(4):
+        batch = ev.filter(F.col("event_id") % 4 == k)
+        IO.write_parquet(batch.withColumn("value", F.col("value").cast("string")).drop("props") if k == 2 else batch, f"{base}/batch={k}")
+    return FT.contract_breaks(spark, base, EVENT_CONTRACT).withColumn("batch", F.regexp_extract("file", "/batch=([0-9]+)/", 1).cast("int")) \
+        .groupBy("batch", "column_name", "expected_type", "actual_type").agg(F.sum("rows").alias("nb_rows"))
+
+
+def write_options(spark, sf):
+    """Codec, row groups and file sizes as the files' footers have them."""
+    path, group, size = _scratch(spark, "options"), 256 << 10, 1 << 20
+    IO.write_parquet(table(spark, sf, "lineitem"), path, codec="zstd", row_group_bytes=group, file_bytes=size)
+    f = FT.footers(spark, path)
+    return f.agg(F.sum("rows").alias("nb_rows"), F.array_join(F.array_distinct(F.flatten(F.collect_set("codecs"))), ",").alias("codecs"),
+                 (F.max("max_group_bytes") <= 2 * group).alias("groups_small"), (F.max("bytes") <= 2 * size).alias("files_small"))
+
+
+def landing_checksum(spark, sf):
+    """The landing check by content (S9 S17): the same rows in another order pass, one changed value with the same count does not."""
+    base, orders = _scratch(spark, "landings"), table(spark, sf, "orders")
+    _, landed = IO.land_checked(orders, base, dated=False, name="orders")
+    IO.write_parquet(orders.repartition(3, "o_custkey"), f"{base}/moved.parquet")
+    first = orders.agg(F.min("o_orderkey").alias("k"))
+    IO.write_parquet(orders.join(F.broadcast(first)).withColumn("o_totalprice", F.when(F.col("o_orderkey") == F.col("k"), F.col("o_totalprice") + 1)
+                                                                .otherwise(F.col("o_totalprice"))).drop("k"), f"{base}/changed.parquet")
+    rows = []
+    for name in ("orders", "moved", "changed"):
+        by_rows, _ = IO.verify_landing(spark, f"{base}/{name}.parquet", landed.rows)
+        by_content, n = IO.verify_landing(spark, f"{base}/{name}.parquet", landed)
+        rows.append((name, n, by_rows, by_content))
+    return spark.createDataFrame(rows, "landing string, nb_rows bigint, rows_ok boolean, content_ok boolean")
+
+
+def partition_rerun(spark, sf):
+    """A day's partition replaced by a rerun, then a rerun that fails: the other days and the committed rows stay."""
+    path, ev = _scratch(spark, "daily"), table(spark, sf, "events").withColumn("event_date", F.to_date("ts"))
+    IO.overwrite_partitions(ev, path, ["event_date"], "first")
+    days = ev.agg(F.min("event_date").alias("first"), F.max("event_date").alias("last")).first()
+    IO.overwrite_partitions(ev.filter(F.col("event_date") == F.lit(days["first"])).withColumn("value", F.col("value") * 2), path, ["event_date"], "again")
+    broken = ev.filter(F.col("event_date") == F.lit(days["last"])).withColumn(
+        "value", F.when(F.col("event_id") % 3 == 0, F.raise_error(F.lit("a rerun that fails")).cast("double")).otherwise(F.lit(0.0)))
+    try:
+        IO.overwrite_partitions(broken, path, ["event_date"], "failed")
+    except Exception as e:  # noqa: BLE001 - the failure is the point
+        if "a rerun that fails" not in str(e):
+            raise
+    status = IO.partition_status(spark, path, ["event_date"], ev.schema).select(
+        F.get_json_object("partition", "$.event_date").cast("date").alias("event_date"), "run", "committed")
+    now = spark.read.schema(ev.schema).parquet(path).groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("nb_events"), F.sum(F.floor(F.col("value") * 100)).alias("cents"))
+    return now.join(status, "event_date")
 
 
 def order_nation(spark, sf):
@@ -333,8 +435,8 @@ def run_status(spark, sf):
 
 
 def one_per_customer(spark, sf):
-    """One row per key subset."""
-    return dedup(table(spark, sf, "orders").select("o_custkey", F.lit(1).alias("seen")), ["o_custkey"])
+    """One whole order per customer, chosen by hash."""
+    return dedup(table(spark, sf, "orders"), ["o_custkey"], by=["o_orderkey"])
 
 
 def stg_nutrition_rows_a(spark, sf):
@@ -373,6 +475,8 @@ QUERIES: dict[str, Query] = {
     "stg_nutrition_rows_a": stg_nutrition_rows_a,
     "gold_dim_product": gold_dim_product,
     "layer_view": layer_view,
+    **{f.__name__: f for f in (mart_table, food_typed, food_rich_nutrients, food_nutrient_labels, active_products_by_period, bucketed_grades,
+                               contract_by_file, write_options, landing_checksum, partition_rerun)},
     "order_nation": order_nation,
     "food_flags": food_flags,
     "run_status": run_status,

@@ -40,8 +40,6 @@ class Variant:
     product_quantity_col: str = "product_quantity"
     products_distinct: bool = True       # stg_products as SELECT DISTINCT
     # fact (T12)
-    fact_base: str = "countries"         # 'countries': countries LEFT everything | 'nutrition_inner'
-    fact_order: str = "natural"          # 'natural': (product_code, country_tag) | 'fks': five FKs nulls first
     fact_sk: str = "nutrition_sk"
 
     def __post_init__(self) -> None:
@@ -70,8 +68,6 @@ _CHOICES = {
     "measure_names": {"100g", "g"},
     "product_name": {"main_fallback", "first"},
     "product_quantity_col": {"product_quantity", "quantity"},
-    "fact_base": {"countries", "nutrition_inner"},
-    "fact_order": {"natural", "fks"},
     "fact_sk": {"nutrition_sk", "nutrition_fact_sk"},
 }
 
@@ -83,7 +79,7 @@ VARIANT_A = Variant(
     date_rows="per_row", weekday="iso", date_key="smart", date_col="date_value",
     nutrition="max", measure_names="100g", product_name="main_fallback",
     product_quantity_col="product_quantity", products_distinct=True,
-    fact_base="countries", fact_order="natural", fact_sk="nutrition_sk",
+    fact_sk="nutrition_sk",
 )
 
 VARIANT_B = Variant(
@@ -93,7 +89,7 @@ VARIANT_B = Variant(
     date_rows="latest", weekday="sunday", date_key="dense", date_col="full_date",
     nutrition="latest", measure_names="g", product_name="first",
     product_quantity_col="quantity", products_distinct=False,
-    fact_base="nutrition_inner", fact_order="fks", fact_sk="nutrition_fact_sk",
+    fact_sk="nutrition_fact_sk",
 )
 
 DEFAULT = Variant(name="default")

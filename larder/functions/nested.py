@@ -8,6 +8,8 @@ the two fields it needs (lambdas defeat nested-column pruning).
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,6 +28,23 @@ def struct_lookup(arr, key_field: str, key: str, value_field: str) -> Column:
     return F.get(arr.getField(value_field), (pos - F.lit(1)).cast("int"))
 
 
+def pruned_items(arr, fields: Sequence[str]) -> Column:
+    """The array with only ``fields`` of its structs. Taken field by field, so the reader sees which fields are used;
+    a lambda over the whole array would make it read all of them. NULL items become structs of NULLs; NULL array: NULL."""
+    arr = as_col(arr)
+    return F.arrays_zip(*[arr.getField(f) for f in fields])
+
+
+def keep_items(arr, fields: Sequence[str], keep: Callable[[dict[str, Column]], Column]) -> Column:
+    """Items that meet a condition on their ``fields`` (N3), each with these fields; a NULL condition drops. NULL array: NULL."""
+    return F.filter(pruned_items(arr, fields), lambda s: keep({f: s.getField(f) for f in fields}))
+
+
+def map_items(arr, fields: Sequence[str], make: Callable[[dict[str, Column]], Column]) -> Column:
+    """A value from the ``fields`` of every item (N4). NULL array: NULL."""
+    return F.transform(pruned_items(arr, fields), lambda s: make({f: s.getField(f) for f in fields}))
+
+
 def name_with_fallback(arr, lang: str = "main", lang_field: str = "lang", text_field: str = "text") -> Column:
     """Text of the ``lang`` entry, else of the first entry."""
     arr = as_col(arr)

@@ -61,10 +61,19 @@ def latest_per_key(df: DataFrame, keys, order: Sequence, payload: Sequence[str]
     return agg.select(*keys, *[F.col("_latest").getField(c).alias(c) for c in payload])
 
 
-def dedup(df: DataFrame, keys) -> DataFrame:
-    """Keep one row per key subset (A14/A15); use only where the other columns are
-    functionally dependent on the keys, otherwise use :func:`latest_per_key`."""
-    return df.dropDuplicates(_names(keys))
+def dedup(df: DataFrame, keys, by: Sequence[str] | None = None) -> DataFrame:
+    """Keep one whole row per key subset (A14/A15), the same one in every run: that with the least md5 of its ``by``
+    columns (all others by default), ties by the remaining columns' values. The hash picks without favour to early or small values;
+    use :func:`latest_per_key` where an order decides. A partial aggregation, so a hot key sends one row per map task.
+    Map columns cannot be compared and are not supported."""
+    keys = _names(keys)
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    by = list(by) if by is not None else rest
+    digest = F.md5(F.to_json(F.struct(*by), {"ignoreNullFields": "false"})) if len(by) > 1 else F.md5(F.coalesce(F.col(by[0]).cast("string"), F.lit("\x00")))
+    pick = df.groupBy(*keys).agg(F.min(F.struct(digest.alias("_digest"), *rest)).alias("_row"))
+    return pick.select(*[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns])
 
 
 def distinct_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -19,23 +19,24 @@ def lookup(df: DataFrame, dim: DataFrame, on: str | tuple[str, str], cols: Seque
 
     ``on`` is a shared column name or ``(left_name, dim_name)``. Only the key and
     the wanted columns of ``dim`` take part, so name clashes cannot happen. ``spread``: a column whose
-    text stands in for a NULL text key (behind a character no key has), so that rows without a key
-    do not meet in one task.
+    text stands in for a NULL key of any type (behind a character no key has), so that rows without a key
+    do not meet in one task; keys are then compared as text, the dimension's in the left key's type.
     """
     left_key, dim_key = (on, on) if isinstance(on, str) else on
     tmp = f"_lk_{dim_key}"
     side = dim.select(F.col(dim_key).alias(tmp), *cols)
-    key = F.col(left_key)
+    key, other = F.col(left_key), F.col(tmp)
     if spread is not None:
-        key = F.coalesce(key, F.concat(F.lit("\x00"), F.col(spread).cast("string")))
-    return df.join(side, key == F.col(tmp), how).drop(tmp)
+        other = other.cast(df.schema[left_key].dataType).cast("string")
+        key = F.coalesce(key.cast("string"), F.concat(F.lit("\x00"), F.coalesce(F.col(spread).cast("string"), F.lit(""))))
+    return df.join(side, key == other, how).drop(tmp)
 
 
 def bridge_lookup(df: DataFrame, key: str, bridge: DataFrame, tag: str, dim: DataFrame,
                   cols: Sequence[str], dim_tag: str | None = None) -> DataFrame:
     """Two-hop lookup product -> tag -> dim columns (J3): bridge is one row per key."""
     out = df.join(bridge.select(key, tag), key, "left")
-    return lookup(out, dim, (tag, dim_tag or tag), cols)
+    return lookup(out, dim, (tag, dim_tag or tag), cols, spread=key)
 
 
 def star_join(fact: DataFrame, dims: Sequence[tuple]) -> DataFrame:

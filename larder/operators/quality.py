@@ -1,7 +1,8 @@
 """Data-quality checks and their report (Q1-Q7).
 
-Every row-level check of a table is a ``count_if`` in ONE aggregation pass;
-uniqueness needs a grouping per column (map-side combined). The report is a
+All checks of a table take ONE scan and one grouping. Each row gives one entry per distinct unique key (a composite key
+is one key, however many checks name it), tagged with the key's number; the entries are grouped by (tag, key), combined map-side,
+and the first entry of a row also carries its row-level violations, which are summed along the way. The report is a
 small DataFrame ``(table_name, check_name, column_name, violations, passed)``.
 """
 
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 
 from larder.functions.predicates import not_in_nonnull, out_of_range
 
+# Key text keeps NULLs and whole microseconds.
+KEY_TEXT = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 REPORT_COLUMNS = ["table_name", "check_name", "column_name", "violations", "passed"]
 
 
@@ -79,32 +83,48 @@ def _row(table: str, check: Check, violations: Column) -> Column:
                     F.lit(check.column).alias("column_name"), v.alias("violations"))
 
 
+def _keys(checks: Sequence[Check]) -> list[tuple[tuple[str, ...], str | None]]:
+    """The distinct (columns, restriction) whose uniqueness is asked."""
+    return list(dict.fromkeys((tuple(k.strip() for k in c.column.split(",")), c.where) for c in checks if c.kind == "unique"))
+
+
 def run_checks(df: DataFrame, checks: Sequence[Check], table: str = "") -> DataFrame:
-    """Evaluate ``checks`` on ``df`` (Q6)."""
-    row_checks = [c for c in checks if c.kind != "unique"]
-    parts: list[DataFrame] = []
-    if row_checks:
-        counts = df.agg(*[F.count_if(c.violation()).alias(f"_v{i}") for i, c in enumerate(row_checks)])
-        parts.append(counts.select(F.inline(F.array(
-            *[_row(table, c, F.col(f"_v{i}")) for i, c in enumerate(row_checks)]))))
-    for c in (c for c in checks if c.kind == "unique"):
-        src = df.filter(F.expr(c.where)) if c.where else df
-        key = [k.strip() for k in c.column.split(",")]
-        groups = src.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-        if c.mode == "values":
-            present = F.lit(True)
-            for k in key:
-                present = present & F.col(k).isNotNull()
-            v = F.count_if((F.col("_n") > 1) & present)
-        else:
-            v = F.sum(F.col("_n") - 1)
-        parts.append(groups.agg(v.alias("_v")).select(F.inline(F.array(_row(table, c, F.col("_v"))))))
-    if not parts:
+    """Evaluate ``checks`` on ``df`` (Q6) in one pass."""
+    if not checks:
         raise ValueError("no checks")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("passed", F.col("violations") == 0)
+    by_row = [c for c in checks if c.kind != "unique"]
+    keys = _keys(checks)
+    bad = [F.coalesce(c.violation(), F.lit(False)).cast("bigint").alias(f"_v{i}") for i, c in enumerate(by_row)]
+    if not keys:
+        counts = df.select(*bad).agg(*[F.sum(f"_v{i}").alias(f"_v{i}") for i in range(len(bad))])
+    else:
+        entries = []
+        for tag, (cols, where) in enumerate(keys):
+            # text in which values of any type, NULLs and the places of the parts stay apart
+            text = F.to_json(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)]), KEY_TEXT)
+            whole = F.lit(True)
+            for c in cols:
+                whole = whole & F.col(c).isNotNull()
+            entry = F.struct(F.lit(tag).alias("tag"), text.alias("key"), whole.alias("whole"))
+            entries.append(F.when(F.expr(where), entry) if where else entry)
+        # entry 0 also stands for the row itself, whether its key is restricted or not
+        first = F.struct(F.lit(-1).alias("tag"), F.lit("").alias("key"), F.lit(False).alias("whole"))
+        listed = F.filter(F.array(*([first] if any(w for _, w in keys) or not entries else []), *entries), lambda e: e.isNotNull())
+        rows = df.select(listed.alias("_entries"), *bad).select(F.posexplode("_entries").alias("_at", "_e"), *[f"_v{i}" for i in range(len(bad))])
+        rows = rows.select("_e.*", *[F.when(F.col("_at") == 0, F.col(f"_v{i}")).otherwise(0).alias(f"_v{i}") for i in range(len(bad))])
+        groups = rows.groupBy("tag", "key").agg(F.count(F.lit(1)).alias("_n"), F.first("whole").alias("whole"),
+                                                *[F.sum(f"_v{i}").alias(f"_v{i}") for i in range(len(bad))])
+        per_key = []
+        for tag in range(len(keys)):
+            mine = F.col("tag") == tag
+            per_key += [F.count_if(mine & F.col("whole") & (F.col("_n") > 1)).alias(f"_values{tag}"), F.sum(F.when(mine, F.col("_n") - 1)).alias(f"_rows{tag}")]
+        counts = groups.agg(*[F.sum(f"_v{i}").alias(f"_v{i}") for i in range(len(bad))], *per_key)
+    found = {id(c): F.col(f"_v{i}") for i, c in enumerate(by_row)}
+    for c in (c for c in checks if c.kind == "unique"):
+        tag = keys.index((tuple(k.strip() for k in c.column.split(",")), c.where))
+        found[id(c)] = F.col(f"_{'values' if c.mode == 'values' else 'rows'}{tag}")
+    report = counts.select(F.inline(F.array(*[_row(table, c, found[id(c)]) for c in checks])))
+    return report.withColumn("passed", F.col("violations") == 0)
 
 
 def run_suite(tables: dict[str, DataFrame], suite: dict[str, Sequence[Check]]) -> DataFrame:

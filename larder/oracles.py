@@ -362,6 +362,12 @@ def _variant(r: Rules, tail: str) -> dict[str, str]:
             f"fact_nutrition_{tail}": all_of(r, "fact_nutrition")}
 
 
+TYPED = f"""SELECT code, nutriscore_grade, CAST(nova_group AS BIGINT) AS nova_group, environmental_score_grade, categories, brands,
+    CAST(NULL AS BIGINT) AS created_t, CAST(last_modified_t AS BIGINT) AS last_modified_t, CAST(nutriscore_score AS BIGINT) AS nutriscore_score,
+    {_MAIN} AS product_name, quantity AS product_quantity, {', '.join(f"array_to_string({c}, ',') AS {c}" for c in ('categories_tags', 'countries_tags', 'brands_tags'))},
+    {', '.join(f"CAST({_nutrient(n)} AS DOUBLE) AS {n.replace('-', '_')}_100g" for n in NUTRIENTS)} FROM ({FOOD}) food"""
+
+
 ORACLES: dict[str, str] = {
     **_variant(A, "a"), **_variant(B, "b"), **_variant(D, "default"),
     "dim_product": all_of(A, "dim_product"), "gold_dim_product": all_of(A, "dim_product"),
@@ -388,10 +394,31 @@ ORACLES: dict[str, str] = {
         UNION ALL BY NAME SELECT *, 'lineitem.parquet' AS source_file FROM lineitem""",
     "date_out_of_range": """SELECT o_orderkey, d, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS d_key FROM (
         SELECT o_orderkey, CASE WHEN o_orderkey <= 253 THEN DATE '1970-01-01' + CAST(o_orderkey * 1000000000 // 86400 AS INTEGER) END AS d FROM orders)""",
-    "layer_view": "SELECT * FROM nation",
+    "layer_view": "SELECT * FROM orders",
+    "mart_table": "SELECT o_custkey, count(*) AS nb_orders, max(o_orderdate) AS last_order FROM orders GROUP BY o_custkey",
+    "food_typed": TYPED,
+    "food_rich_nutrients": f"""SELECT code, last_modified_t, array_to_string(list_transform(rich, lambda e: e.name), ',') AS rich, len(rich) AS nb_rich
+        FROM (SELECT code, last_modified_t, list_filter(nutriments, lambda e: e['100g'] > 5) AS rich FROM ({FOOD}) food WHERE code IS NOT NULL)""",
+    "food_nutrient_labels": f"""SELECT code, last_modified_t, array_to_string(list_transform(nutriments,
+        lambda e: e.name || '=' || CAST(floor(e['100g'] * 10) AS BIGINT)), ';') AS labels FROM ({FOOD}) food WHERE code IS NOT NULL""",
+    "active_products_by_period": over(A, f"""SELECT CASE WHEN grouping(m) = 0 THEN 'month' WHEN grouping(y) = 0 THEN 'year' ELSE 'all' END AS period,
+        y AS year, m AS month, count(DISTINCT product_code) AS nb_produits_actifs
+        FROM (SELECT product_code, CAST(year(last_day) AS INTEGER) AS y, CAST(month(last_day) AS INTEGER) AS m FROM place WHERE last_day IS NOT NULL)
+        GROUP BY GROUPING SETS ((y, m), (y), ())"""),
+    "bucketed_grades": over(A, "SELECT nutriscore_grade, count(*) AS nb_lignes, count(DISTINCT product_code) AS nb_produits FROM place GROUP BY nutriscore_grade"),
+    "contract_by_file": """SELECT 2 AS batch, c AS column_name, e AS expected_type, a AS actual_type, n AS nb_rows
+        FROM (VALUES ('value', 'double', 'string'), ('props', 'string', NULL)) v(c, e, a),
+             (SELECT count(*) FILTER (event_id % 4 = 2) AS n FROM events)""",
+    "write_options": "SELECT count(*) AS nb_rows, 'zstd' AS codecs, true AS groups_small, true AS files_small FROM lineitem",
+    "landing_checksum": """SELECT landing, count(*) AS nb_rows, true AS rows_ok, landing <> 'changed' AS content_ok
+        FROM orders, (VALUES ('orders'), ('moved'), ('changed')) v(landing) GROUP BY landing""",
+    "partition_rerun": """SELECT event_date, count(*) AS nb_events, CAST(sum(CAST(floor(value * f * 100) AS BIGINT)) AS BIGINT) AS cents,
+        if(f = 2, 'again', 'first') AS run, true AS committed
+        FROM (SELECT CAST(ts AS DATE) AS event_date, value, if(CAST(ts AS DATE) = (SELECT min(CAST(ts AS DATE)) FROM events), 2, 1) AS f FROM events)
+        GROUP BY event_date, f""",
     "order_nation": """SELECT o_orderkey, o_custkey AS c_custkey, c_nationkey, n_name FROM orders
         LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey""",
-    "one_per_customer": "SELECT DISTINCT o_custkey, 1 AS seen FROM orders",
+    "one_per_customer": "SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY md5(CAST(o_orderkey AS VARCHAR))) = 1",
     "star_join_sales": """SELECT r_name, n_name, CAST(year(o_orderdate) AS INTEGER) AS order_year,
         round(avg(l_extendedprice * (1 - l_discount)), 2) AS avg_revenue,
         count(DISTINCT o_custkey) AS nb_customers, count(*) AS nb_lines

@@ -47,7 +47,7 @@ def product_keys(v: Variant, dims: dict[str, DataFrame], countries: DataFrame) -
         # the smart key is the date itself; every bridge value is in dim_date by construction
         prod = prod.withColumn("date_sk", F.col("_date").cast("int"))
     else:
-        prod = lookup(prod, dims["date"], ("_date", v.date_col), ["date_sk"])
+        prod = lookup(prod, dims["date"], ("_date", v.date_col), ["date_sk"], spread="product_code")
     return prod.select("product_code", "product_sk", "category_sk", "brand_sk", "date_sk", *measures, "nutriscore_score", "_n")
 
 

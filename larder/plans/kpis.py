@@ -10,12 +10,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.operators.joins import lookup, star_join
-from larder.operators.metrics import avg_rounded, count_distinct, pct_nonnull
+from larder.operators.metrics import avg_rounded, bitmap_counts, count_distinct, key_bitmaps, merge_bitmaps, pct_nonnull
 
 
 def active_products(fact: DataFrame) -> DataFrame:
-    """K1: number of distinct products in the fact."""
-    return fact.agg(count_distinct("product_sk").alias("nb_produits_actifs"))
+    """K1: number of distinct products in the fact, as bitmaps over the dense product key."""
+    return bitmap_counts(key_bitmaps(fact, "product_sk"), name="nb_produits_actifs")
+
+
+def active_products_by_period(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """K1 per month, per year and over all dated rows. The months' bitmaps are built once from the fact; years and the total are
+    merged from them (a product active in several months counts once in its year)."""
+    dated = lookup(fact.filter(F.col("date_sk").isNotNull()).select("product_sk", "date_sk"), dim_date, "date_sk", ["year", "month"], how="inner")
+    months = key_bitmaps(dated, "product_sk", ["year", "month"])
+    years = merge_bitmaps(months, ["year"])
+    none = F.lit(None).cast("int")
+
+    def level(name: str, counts: DataFrame, *missing: str) -> DataFrame:
+        for c in missing:
+            counts = counts.withColumn(c, none)
+        return counts.select(F.lit(name).alias("period"), F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"), "nb_produits_actifs")
+
+    n = "nb_produits_actifs"
+    return level("month", bitmap_counts(months, ["year", "month"], n)).unionByName(level("year", bitmap_counts(years, ["year"], n), "month")) \
+        .unionByName(level("all", bitmap_counts(merge_bitmaps(years), name=n), "year", "month"))
 
 
 def mean_score(fact: DataFrame, dim_category: DataFrame, dim_brand: DataFrame, dim_country: DataFrame,

@@ -21,7 +21,7 @@ from larder.plans import kpis as K
 from larder.plans import staging as S
 from larder.plans.fact import FKS, fact_nutrition
 from larder.sources.audit import log_run
-from larder.sources.io import check_contract, write_parquet
+from larder.sources.io import check_contract, write_bucketed, write_parquet
 from larder.session import work_dir
 
 
@@ -103,6 +103,15 @@ def build_gold(food: DataFrame, v: Variant, out: str, parallel: int = 5, silver:
     return Gold(v, t, rows)
 
 
+def bucket_by_product(g: Gold, out: str, buckets: int, prefix: str = "gold") -> Gold:
+    """The gold tables with the fact and the product dimension as catalog tables dealt alike into ``buckets`` by product key, so
+    that what joins or groups them by product (K1, K3) needs no exchange of either."""
+    tables = dict(g.tables)
+    for name in ("fact_nutrition", "dim_product"):
+        tables[name] = write_bucketed(g[name], f"{prefix}_{g.variant.name}_{name}", f"{out}/{name}", "product_sk", buckets)
+    return Gold(g.variant, tables, g.rows)
+
+
 def kpis(g: Gold) -> dict[str, DataFrame]:
     v, t = g.variant, g.tables
     label = S.category_label_col(v)

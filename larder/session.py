@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -50,8 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, the place lineage is cut.
 
     On a cluster it must be set (``spark.checkpoint.dir``) to a folder every
-    executor and the driver can reach. Only a local-mode session without one
-    (tests, the bench) gets a fresh temporary folder.
+    executor and the driver can reach. A local-mode session without one (a notebook, a smoke test) uses a folder in its
+    warehouse, which the driver and the local executor threads share.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -64,7 +63,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3) "
                            "so that checkpoints and intermediate tables survive executor loss")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="larder-ckpt-"))
+    sc.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir', 'spark-warehouse').rstrip('/')}/larder-checkpoints")
     return sc.getCheckpointDir()
 
 
@@ -73,3 +72,9 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     app = spark.sparkContext.applicationId
     return "/".join([base, "larder-tables", app, *parts])
+
+
+def remove_work(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; for the end of a run, when no DataFrame reads them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

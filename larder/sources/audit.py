@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from larder.functions.dates import run_id
+from larder.sources.io import sql_text
 
 # nb_lignes_output is a bigint: an int would overflow on a large dump.
 # The audit table's column names.
@@ -42,5 +43,5 @@ def read_audit(spark: SparkSession, path: str) -> DataFrame:
 def audit_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     """The audit log as a catalog table over its folder."""
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in AUDIT_SCHEMA.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet LOCATION {sql_text(path)}")
     return spark.table(name).select(*[F.col(f.name) for f in AUDIT_SCHEMA.fields])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from larder.functions.nested import nutrient_columns
 from larder.functions.predicates import cap_filter
-from larder.operators.keys import top_n
+from larder.operators.keys import SortBy, top_n
 from larder.sources.io import JSON_OPTIONS
 
 DOCUMENT_COLUMNS = ["code", "product_name", "brands", "nutriscore_grade", "nutriscore_score", "nova_group",
@@ -33,7 +33,7 @@ def document_subset(food: DataFrame, n: int | None = None, max_energy: float | N
     if nutrients and max_energy is not None:
         df = df.filter(cap_filter("energy_kcal", max_energy))
     if n is not None:
-        df = top_n(df, [F.col("code").asc_nulls_last()], n)
+        df = top_n(df, [SortBy("code", nulls_last=True)], n)
     return df
 
 

@@ -81,4 +81,50 @@ def test_cluster_session_needs_a_shared_checkpoint_folder():
         ensure_checkpoint_dir(_FakeSession("yarn"))
     assert ensure_checkpoint_dir(_FakeSession("yarn", {"spark.checkpoint.dir": "hdfs:///ckpt"})) == "hdfs:///ckpt"
     assert ensure_checkpoint_dir(_FakeSession("yarn", ckpt="s3a://b/ckpt")) == "s3a://b/ckpt"
-    assert ensure_checkpoint_dir(_FakeSession("local[2]")).startswith("/")
+    assert ensure_checkpoint_dir(_FakeSession("local[2]", {"spark.sql.warehouse.dir": "/wh"})) == "/wh/larder-checkpoints"
+
+
+def test_session_settings():
+    """What a session of the library is set to (S19), without starting one."""
+    import os
+    from unittest import mock
+
+    from larder import session
+
+    class Builder:
+        def __init__(self):
+            self.conf = {}
+
+        def appName(self, name):
+            return self
+
+        master = appName
+
+        def config(self, k, v):
+            self.conf[k] = v
+            return self
+
+        def getOrCreate(self):
+            return self.conf
+
+    env = {"LARDER_S3_ENDPOINT": "http://store:9000", "AWS_ACCESS_KEY_ID": "id", "AWS_SECRET_ACCESS_KEY": "secret"}
+    with mock.patch.object(session, "SparkSession", mock.Mock(builder=Builder())), mock.patch.dict(os.environ, env):
+        conf = session.get_session("x", shuffle_partitions=7, extra={"spark.sql.ansi.enabled": "true"})
+    assert conf["spark.sql.adaptive.enabled"] == conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert conf["spark.sql.session.timeZone"] == "UTC" and conf["spark.ui.enabled"] == "false"
+    assert conf["spark.sql.shuffle.partitions"] == "7" and conf["spark.sql.ansi.enabled"] == "true"
+    assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000" and conf["spark.hadoop.fs.s3a.path.style.access"] == "true"
+    assert not any("secret" in str(v) for v in conf.values())  # credentials stay in the environment
+
+
+def test_struct_arrays_filter_and_transform(spark, tmp_path):
+    from larder.functions.nested import keep_items, map_items
+    path = str(tmp_path / "items")
+    spark.createDataFrame([(1, [("a", 1.0, "u"), ("b", 6.0, "u"), (None, 7.0, "u"), ("c", None, "u")]), (2, []), (3, None)],
+                          "id int, items array<struct<name:string,v:double,unit:string>>").write.parquet(path)
+    df = spark.read.parquet(path)
+    out = df.select("id", keep_items("items", ["name", "v"], lambda i: i["v"] > 5).alias("kept"), map_items("items", ["name", "v"], lambda i: F.concat(i["name"], i["v"].cast("string"))).alias("made"))
+    got = {r.id: ([tuple(x) for x in r.kept] if r.kept is not None else None, r.made) for r in out.collect()}
+    assert got == {1: ([("b", 6.0), (None, 7.0)], ["a1.0", "b6.0", None, None]), 2: ([], []), 3: (None, None)}
+    plan = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    assert "items:array<struct<name:string,v:double>>" in plan.split("ReadSchema")[1].splitlines()[0]

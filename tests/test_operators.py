@@ -36,9 +36,9 @@ def test_surrogate_key_equals_global_row_number(spark, parts):
     rnd = random.Random(parts)
     rows = [(rnd.choice([None, *range(40)]), f"s{rnd.randrange(500)}", i) for i in range(3000)]
     df = spark.createDataFrame(rows, "a int, b string, id int").repartition(5)
-    order = [F.col("a").asc_nulls_first(), F.col("b").desc(), F.col("id")]
+    order = [K.sort_spec("a"), K.sort_spec("b", descending=True), K.sort_spec("id")]
     got = K.surrogate_key(df, order, "sk", partitions=parts)
-    exp = _rownumber(df, order, "sk")
+    exp = _rownumber(df, [o.order() for o in order], "sk")
     assert got.count() == 3000
     assert got.select("sk", "a", "b", "id").exceptAll(exp.select("sk", "a", "b", "id")).count() == 0
 
@@ -55,6 +55,47 @@ def test_surrogate_key_with_ties_and_hot_key(spark):
     assert got.select("k", "sk").exceptAll(exp.select("k", "sk")).filter("k != 'hot'").count() == 0
 
 
+def test_surrogate_key_unfolds_equal_rows_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(K, "CHUNK", 7)
+    rows = [("hot", 1)] * 100 + [(None, 2)] * 9 + [("a", k % 5) for k in range(20)]
+    got = K.surrogate_key(spark.createDataFrame(rows, "k string, v int").repartition(5), ["k"], "sk", unique=False).collect()
+    assert sorted(r.sk for r in got) == list(range(1, 130))
+    assert sorted((r.k or "", r.v) for r in got) == sorted((k or "", v) for k, v in rows)
+    assert max(r.sk for r in got if r.k is None) == 9 and min(r.sk for r in got if r.k == "hot") == 30
+
+
+def test_surrogate_key_moves_wide_rows_once_and_writes_keys_only(spark):
+    df = spark.range(2000).select("id", F.repeat(F.lit("x"), 500).alias("wide"))
+    got = K.surrogate_key(df.repartition(3), ["id"], "sk")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan.split("Join")[0] and "ExistingRDD" not in plan and "RDDScan" not in plan
+    # what is read back is the narrow table of keys
+    assert [ln for ln in plan.splitlines() if "parquet" in ln] and not [ln for ln in plan.splitlines() if "parquet" in ln and "wide" in ln]
+
+
+@pytest.mark.parametrize("n", [1, 37, 400, 900, 2000])
+@pytest.mark.parametrize("desc", [False, True])
+def test_top_n_by_counting(spark, monkeypatch, n, desc):
+    """Small samples force several rounds; a key with a third of the rows; NULLs; ties cut inside a key."""
+    for name, value in (("SAMPLE", 12), ("CUTS", 4), ("SLACK", 5)):
+        monkeypatch.setattr(K, name, value)
+    rnd = random.Random(n)
+    rows = [("hot" if rnd.random() < 0.3 else rnd.choice([None, *"abcdefghijklmnopqrstuvwxyz"]), rnd.randrange(50), rnd.randrange(3)) for _ in range(1000)]
+    df = spark.createDataFrame(rows, "k string, b int, c int").repartition(4)
+    order = [K.sort_spec("k", descending=desc, nulls_last=True)]
+    got = K.top_n(df, order, n)
+    want = df.orderBy(order[0].order(), F.col("b").asc_nulls_last(), F.col("c").asc_nulls_last()).limit(n)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_cut_value_keeps_about_n_rows(spark):
+    df = spark.range(300_000).select(((F.col("id") * 7919) % 300_007).alias("k"))
+    key, below, upto = K.cut_value(df, [K.sort_spec("k")], 100, slack=200)
+    rows = below if upto is None else upto
+    assert 100 <= rows <= 300
+    assert df.filter(F.col("k") < key[0]).count() == below
+
+
 def test_top_n(spark):
     df = spark.createDataFrame([(i % 50, i) for i in range(1000)], "a int, b int")
     exp = {(a, b) for a, b in sorted([(i % 50, i) for i in range(1000)])[:30]}
@@ -97,6 +138,58 @@ def test_quality_checks(spark):
     assert Q.status(ok) == "SUCCESS"
 
 
+def test_quality_checks_take_one_scan_and_one_grouping(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, None, "x"), (1, 2, "x"), (None, None, "y"), (None, 2, "y"), (3, 2, None)], "a int, b int, c string").write.parquet(path)
+    df = spark.read.parquet(path)
+    checks = [Q.unique("a"), Q.Check("unique", "a", mode="rows", label="a_rows"), Q.unique("a,b"), Q.Check("unique", "a,b", mode="rows", label="ab_rows"),
+              Q.unique("c"), Q.Check("unique", "b", where="c = 'x'", label="b_of_x"), Q.not_null("a"), Q.at_least("b", 3)]
+    report = Q.run_checks(df, checks, "t")
+    got = {r.check_name + ":" + r.column_name: r.violations for r in report.collect()}
+    assert got == {"unique:a": 1, "a_rows:a": 2, "unique:a,b": 0, "ab_rows:a,b": 0, "unique:c": 2, "b_of_x:b": 0, "not_null:a": 2, "positive_values:b": 3}
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") <= 2 and plan.count("hashpartitioning") <= 2  # AQE prints the plan twice at most
+    empty = {r.check_name + ":" + r.column_name: r.violations for r in Q.run_checks(df.limit(0), checks, "t").collect()}
+    assert set(empty.values()) == {0}
+
+
+def test_quality_keys_do_not_run_together(spark):
+    df = spark.createDataFrame([("a,b", "c"), ("a", "b,c"), (None, "x"), ("null", "x")], "p string, q string")
+    got = {r.check_name: r.violations for r in Q.run_checks(df, [Q.unique("p,q"), Q.Check("unique", "p,q", mode="rows", label="rows")]).collect()}
+    assert got == {"unique": 0, "rows": 0}
+
+
+def test_bitmaps_count_exactly_and_merge(spark):
+    from larder.operators.metrics import bitmap_counts, key_bitmaps, merge_bitmaps
+    rnd = random.Random(3)
+    rows = [(rnd.choice("xyz"), rnd.randrange(4), rnd.choice([None, *range(1, 400), 32768, 32769, 65536, 65537, 10**10])) for _ in range(5000)]
+    df = spark.createDataFrame(rows, "g string, m int, k bigint").repartition(4)
+    fine = key_bitmaps(df, "k", ["g", "m"])
+    for cols, got in ((["g", "m"], bitmap_counts(fine, ["g", "m"])), (["g"], bitmap_counts(merge_bitmaps(fine, ["g"]), ["g"])), ([], bitmap_counts(merge_bitmaps(fine)))):
+        want = df.groupBy(*cols).agg(F.count_distinct("k").alias("n"))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    assert bitmap_counts(key_bitmaps(df.filter("k < 0"), "k")).first()[0] == 0
+
+
+def test_dedup_keeps_whole_rows_and_the_same_ones(spark):
+    from larder.operators.dedup import dedup
+    rows = [(k % 7, k, f"v{k}", [k]) for k in range(200)] + [(None, 1, None, None), (None, 2, "z", [])]
+    df = spark.createDataFrame(rows, "k int, n int, s string, a array<int>")
+    once = sorted(map(str, dedup(df.repartition(5), ["k"]).collect()))
+    assert once == sorted(map(str, dedup(df.orderBy(F.desc("n")).coalesce(1), ["k"]).collect())) and len(once) == 8
+    assert set(once) <= set(map(str, df.collect()))
+    chosen = [r.n for r in dedup(df.filter("k IS NOT NULL"), ["k"]).collect()]
+    assert any(n >= 7 for n in chosen) and any(n < 193 for n in chosen)  # neither all first nor all last
+
+
+def test_lookup_spreads_null_keys_of_any_type(spark):
+    f = spark.createDataFrame([(1, 5), (2, None), (3, None), (None, None)], "id int, k int")
+    d = spark.createDataFrame([(5, "five"), (None, "never")], "k bigint, name string")
+    got = {(r.id, r.k): r.name for r in lookup(f, d, "k", ["name"], spread="id").collect()}
+    assert got == {(1, 5): "five", (2, None): None, (3, None): None, (None, None): None}
+
+
 def test_surrogate_key_adaptive_partitions(spark):
     rnd = random.Random(7)
     rows = [(rnd.randrange(10_000), rnd.choice("xyz")) for _ in range(5000)]

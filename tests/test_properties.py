@@ -251,6 +251,6 @@ def test_surrogate_key_matches_row_number(spark, vals, parts, desc):
     df = spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(vals)], "a int, b string, i int")
     order = [sort_spec("a", descending=desc), sort_spec("b"), sort_spec("i")]
     got = surrogate_key(df, order, "sk", partitions=parts)
-    exp = df.withColumn("sk", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    exp = df.withColumn("sk", F.row_number().over(Window.orderBy(*[o.order() for o in order])).cast("bigint"))
     assert sorted(tuple(r) for r in got.select("sk", "i").collect()) == \
         sorted(tuple(r) for r in exp.select("sk", "i").collect())
