@@ -365,7 +365,7 @@ def _variant(r: Rules, tail: str) -> dict[str, str]:
 TYPED = f"""SELECT code, nutriscore_grade, CAST(nova_group AS BIGINT) AS nova_group, environmental_score_grade, categories, brands,
     CAST(NULL AS BIGINT) AS created_t, CAST(last_modified_t AS BIGINT) AS last_modified_t, CAST(nutriscore_score AS BIGINT) AS nutriscore_score,
     {_MAIN} AS product_name, quantity AS product_quantity, {', '.join(f"array_to_string({c}, ',') AS {c}" for c in ('categories_tags', 'countries_tags', 'brands_tags'))},
-    {', '.join(f"CAST({_nutrient(n)} AS DOUBLE) AS {n.replace('-', '_')}_100g" for n in NUTRIENTS)} FROM ({FOOD}) food"""
+    {', '.join(f"CAST({_nutrient(n)} AS DOUBLE) AS {m.removesuffix('_100g')}_100g" for n, m in zip(NUTRIENTS, M_A))} FROM ({FOOD}) food"""
 
 
 ORACLES: dict[str, str] = {

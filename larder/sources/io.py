@@ -83,7 +83,7 @@ def food_spec() -> list[tuple[str | Column, str, str]]:
     plain = [("code", text), ("nutriscore_grade", text), ("nova_group", number), ("environmental_score_grade", text), ("categories", text),
              ("brands", text), ("created_t", number), ("last_modified_t", number), ("nutriscore_score", number)]
     tags = [(F.array_join(c, ","), text, c) for c in ("categories_tags", "countries_tags", "brands_tags")]
-    nutrients = [(struct_lookup("nutriments", "name", raw, "100g"), "double", f"{raw.replace('-', '_')}_100g") for raw, *_ in NUTRIENTS]
+    nutrients = [(struct_lookup("nutriments", "name", raw, "100g"), "double", name.removesuffix("_100g") + "_100g") for raw, name, _ in NUTRIENTS]
     return [(c, t, c) for c, t in plain] + [(name_with_fallback("product_name"), text, "product_name"), ("quantity", text, "product_quantity"), *tags, *nutrients]
 
 
