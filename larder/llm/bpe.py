@@ -9,7 +9,8 @@ updated. A merge can only make pairs of higher rank (checked when the file is lo
 ascending pass over the ranks equals merging word by word.
 
 Special tokens standing in a text become their ids, as the tokenizers library does by default.
-Decoding looks ids up and joins the tokens with spaces (the file names no decoder).
+Decoding looks ids up in a column of tokens and joins them with spaces (the file names no decoder), a bounded
+number of ids at once; it loads the tokens alone.
 
 Map only: no shuffle. The memory of words already encoded is bounded by CACHE_WORDS; beyond it
 the memory starts anew. A null text is empty: no tokens, empty decoded text. Ids, repeated rows and
@@ -29,6 +30,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -301,10 +303,44 @@ def bpe_decode(encoded: DataFrame, carry: Sequence[str] = ("doc_id",), ids_col:
                            T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]):
-        bpe = encoder(path or default_path())
-        for batch in batches:
-            texts = [None if x is None else bpe.decode(x) for x in batch.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in carry], batch.column(ids_col), pa.array(texts, pa.string())], names=schema.names)
+        tokens = token_table(path or default_path())
+        for whole in batches:
+            for batch in _id_slices(whole, ids_col):
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in carry], batch.column(ids_col), joined(batch.column(ids_col), tokens)],
+                                                 names=schema.names)
 
     return df.mapInArrow(run, schema)
+
+
+#: Ids decoded at once (a longer document is a slice of its own).
+IDS_AT_ONCE = 1 << 19
+
+
+@lru_cache(maxsize=2)
+def token_table(path: str) -> pa.Array:
+    """The token of every id, all that decoding needs of a vocabulary; ids the file lacks are null."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    tokens = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+    return pa.array([tokens.get(i) for i in range(max(tokens, default=-1) + 1)], pa.large_string())
+
+
+def _id_slices(batch: pa.RecordBatch, ids_col: str) -> Iterator[pa.RecordBatch]:
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(batch.column(ids_col)), 0)))
+    at = 0
+    while at < batch.num_rows:
+        to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + IDS_AT_ONCE, "right"))
+        to = min(max(to, at + 1), batch.num_rows)
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def joined(ids: pa.ListArray, tokens: pa.Array) -> pa.Array:
+    """The tokens of every list, joined by spaces; an id without a token is an error, a null list null."""
+    lens = np.asarray(pc.fill_null(pc.list_value_length(ids), 0), np.int64)
+    flat = tokens.take(ids.flatten())
+    if flat.null_count:
+        raise KeyError("an id that the vocabulary does not have")
+    lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)])), flat)
+    texts = pc.binary_join(lists, pa.scalar(" ", pa.large_string())).cast(pa.string())
+    return pc.if_else(ids.is_valid(), texts, pa.scalar(None, pa.string())) if ids.null_count else texts
