@@ -4,7 +4,7 @@ vectorised word hashing over Arrow string batches."""
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +30,10 @@ def scratch(spark: SparkSession, name: str) -> str:
     return work_dir(spark, "llm", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -43,6 +43,14 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def free_name(columns: Sequence[str], name: str) -> str:
+    """``name``, lengthened until no column has it (names differ in more than case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z to a-z, every other character as it is."""
     return F.translate(c, UPPER, LOWER)

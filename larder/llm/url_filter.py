@@ -19,12 +19,18 @@ equal length that fit, the one first in alphabetical order decides.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import ascii_lower
+from larder.llm.common import LOWER, UPPER, ascii_lower
+
+
+#: What a token is, in rules and in addresses.
+TOKEN = re.compile("[a-z0-9]+")
+_FOLD = str.maketrans(UPPER, LOWER)
 
 
 @dataclass(frozen=True)
@@ -38,9 +44,10 @@ class Rule:
 
 
 def host_rule(text: str, verdict: str) -> Rule:
-    """'example.net/en/' as a rule on a host and a path prefix."""
+    """'example.net/en/' as a rule on a host and a path prefix. A host that fits holds the rule's host behind a
+    dot or as a whole, so it holds each of its tokens, cut as in addresses, as a whole token."""
     host, slash, path = text.partition("/")
-    return Rule(text, verdict, host.lower(), slash + path, None, tuple(t for t in host.lower().split(".") if t))
+    return Rule(text, verdict, host.translate(_FOLD), slash + path, None, tuple(dict.fromkeys(TOKEN.findall(host.translate(_FOLD)))))
 
 
 def pattern_rule(pattern: str, *tokens: str) -> Rule:
@@ -79,6 +86,8 @@ def filed_rules(spark: SparkSession, urls: DataFrame, rules: tuple[Rule, ...], u
     rows = [(r.rule, r.verdict, r.host, r.path, r.pattern, t) for r in rules for t in r.tokens]
     if {r.rule for r in rules} != {r[0] for r in rows}:
         raise ValueError("every rule needs a literal token")
+    if lost := sorted({r[0] for r in rows if not TOKEN.fullmatch(r[5])}):
+        raise ValueError(f"rules filed under a token that no address can hold: {lost}")
     table = spark.createDataFrame(rows, _SCHEMA)
     wanted = table.select("token").distinct()
     tokens = urls.select(F.explode(url_tokens(F.col(url_col))).alias("token"))
