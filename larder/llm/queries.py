@@ -31,7 +31,7 @@ def op4_suffix_dedup(spark, sf):
 
 
 def op5_secret_scan(spark, sf):
-    found = secret_scan.scan_documents(spark, table(spark, sf, "documents"))
+    found = secret_scan.scan_documents(spark, table(spark, sf, "documents"), batches=2)
     base = F.filter("findings", lambda s: s["rank"] < len(secret_scan.BASE_RULES))
 
     def n(kind):

@@ -71,8 +71,15 @@ def test_line_index_levels(spark, docs):
     for k in range(4):
         index.add(rows.filter(F.pmod("_id", F.lit(4)) == k))
     assert sum(map(len, index.levels)) < 4 and len(index.levels) > 1
-    keys = index.spark.read.parquet(*index.paths()).select(*line_dedup.KEY).distinct()
-    assert keys.count() == rows.select(*line_dedup.KEY).distinct().count()
+    keys = index.spark.read.parquet(*index.paths()).select(*line_dedup.KEY)
+    # a key is an entry once: this is what the anti-join is for
+    assert keys.count() == keys.distinct().count() == rows.select(*line_dedup.KEY).distinct().count()
+
+
+def test_line_index_needs_its_anti_join(spark, docs, monkeypatch):
+    want = brute.kept_lines(TEXTS)
+    monkeypatch.setattr(line_dedup.LineIndex, "unseen", lambda self, batch: batch)
+    assert by_id(line_dedup.drop_lines(docs, batches=3, fanout=2), "n_lines", "n_dropped", "text") != want
 
 
 def test_shingles_equal_python(docs):
@@ -194,7 +201,22 @@ def test_secret_ledger_scans_only_unseen(spark, docs):
     new = secret_scan.update_ledger(docs, first)
     assert first.count() + new.count() == blobs
     assert secret_scan.update_ledger(docs, first.unionByName(new)).count() == 0
-    assert secret_scan.update_ledger(docs, first, version="next").count() == blobs
+    ledger = first.unionByName(new)
+    extra = secret_scan.SecretRule("word", r"river[0-9]+")
+    changed = (secret_scan.SecretRule("assign", r"secret=([a-z0-9]+)", 3, 1), *secret_scan.ALL_RULES[1:])
+    for rules, fresh in (((*secret_scan.ALL_RULES, extra), extra), (changed, changed[0])):
+        more = secret_scan.update_ledger(docs, ledger, rules)
+        assert more.count() == blobs and {tuple(r.rules) for r in more.select("rules").distinct().collect()} == {(fresh.version,)}
+        got = by_id(secret_scan.join_findings(docs, ledger.unionByName(more), rules), "findings")
+        want = by_id(secret_scan.scan_documents(spark, docs, rules), "findings")
+        assert got == want  # findings of the rule's former version are not read
+    kept = secret_scan.join_findings(docs, ledger, secret_scan.BASE_RULES)
+    assert {s["rank"] for r in kept.collect() for s in r.findings} <= {0, 1, 2}
+
+
+def test_secret_ledger_over_batches(spark, docs):
+    once, parts = (by_id(secret_scan.scan_documents(spark, docs, batches=k), "findings") for k in (1, 3))
+    assert once == parts
 
 
 def test_quality(spark, docs, none):
