@@ -24,7 +24,7 @@ the classes returned are components of exact ties, the link counts exact counts
 
 Bounded memory: a brute-forced bucket has at most LEAF sets, a block at most BLOCK sets and about
 BLOCK_TOKENS shingles. Null ids: returned with null class and no links. Repeated rows are one
-document. Empty or null texts: a class of their own, no links. Extra columns are ignored.
+document; of an id's different texts that with the least hash is judged. Empty or null texts: a class of their own, no links. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -92,8 +92,8 @@ def distinct_sorted(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str, n: int = WORDS) -> DataFrame:
-    """(id, k1, k2, n_grams, sketch) per text that has a shingle; (k1, k2) names the set."""
-    df = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """(id, k1, k2, n_grams, sketch, hash) per text that has a shingle; (k1, k2) names the set, hash the text."""
+    df = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash"))
 
     def run(batches: Iterator[pa.RecordBatch]):
         for whole in batches:
@@ -111,11 +111,12 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, n: int = WORDS) ->
                 sketch = minhashes(grams, edges)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").take(pa.array(some)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)),
-                     pa.array(np.diff(edges).astype(np.int32)), pa.array([r.tobytes() for r in sketch], pa.binary())],
-                    names=["id", "k1", "k2", "n_grams", "sketch"])
+                     pa.array(np.diff(edges).astype(np.int32)), pa.array([r.tobytes() for r in sketch], pa.binary()),
+                     batch.column("hash").take(pa.array(some))],
+                    names=["id", "k1", "k2", "n_grams", "sketch", "hash"])
 
     kind = df.schema["id"].dataType.simpleString()
-    return df.mapInArrow(run, f"id {kind}, k1 long, k2 long, n_grams int, sketch binary")
+    return df.mapInArrow(run, f"id {kind}, k1 long, k2 long, n_grams int, sketch binary, hash long")
 
 
 # ---- chosen paths -----------------------------------------------------------------------------
@@ -262,16 +263,28 @@ def _with_leaders(big: DataFrame, enough: float) -> DataFrame:
         run, f"id {kind}, node long, size long, sketch binary, lead array<{kind}>, agree array<double>, best int, done boolean")
 
 
-def _leader_ties(led: DataFrame, least: float, leaders: int) -> DataFrame:
-    """Edges (u, v) from sets to their buckets' leaders. The limit for a leader is ``least``, less
+def _leader_ties(led: DataFrame, least: float, enough: float, leaders: int) -> DataFrame:
+    """Edges (u, v) that join sets to their buckets' leaders. The limit for a leader is ``least``, less
     the distance of the farthest set that leaves with it: what agrees to ``least`` with a set that
-    leaves agrees that far with the leader, by the triangle inequality."""
+    leaves agrees that far with the leader, by the triangle inequality. As sets leave from ``enough`` on, only what
+    agrees to between ``least + enough - 1`` and ``least`` needs its bucket's limits. A set gives one edge, to the first
+    leader near it; that its other near leaders belong together is said once per bucket."""
+    sure, floor = least - 1e-9, least + enough - 1 - 1e-9
+    others = F.filter(F.arrays_zip("lead", "agree"), lambda x: x["lead"] != F.col("id"))
+    open_ = F.exists(others, lambda x: (x["agree"] < sure) & (x["agree"] >= floor))
+    near = F.transform(F.filter(others, lambda x: x["agree"] >= sure), lambda x: x["lead"])
+    settled = led.filter(~open_).select("id", near.alias("near"))
     reach = led.filter("done").groupBy("node").agg(*[
         F.coalesce(F.min(F.when(F.col("best") == k, F.get("agree", F.lit(k)))), F.lit(1.0)).alias(f"r{k}") for k in range(leaders)])
     limits = reach.select("node", F.array(*[F.col(f"r{k}") + (least - 1 - 1e-9) for k in range(leaders)]).alias("limit"))
-    near = F.filter(F.arrays_zip("lead", "agree", "limit"), lambda x: (x["agree"] >= x["limit"]) & (x["lead"] != F.col("id")))
-    met = led.select("node", "id", "lead", "agree").join(limits, "node").select(F.col("id").alias("u"), F.explode(near).alias("x"))
-    return met.select("u", F.col("x.lead").alias("v")).distinct()
+    inside = F.filter(F.arrays_zip("lead", "agree", "limit"), lambda x: (x["agree"] >= x["limit"]) & (x["lead"] != F.col("id")))
+    unsettled = led.filter(open_).select("node", "id", "lead", "agree").join(limits, "node", "left")
+    unsettled = unsettled.select("id", F.when(F.col("limit").isNull(), near).otherwise(F.transform(inside, lambda x: x["lead"])).alias("near"))
+    met = settled.unionByName(unsettled).filter(F.size("near") > 0)
+    first = F.get("near", F.lit(0))
+    edges = met.select(F.array(F.struct(F.col("id").alias("u"), first.alias("v"))).alias("e"), "near")
+    both = F.concat("e", F.transform(F.slice("near", F.lit(2), F.size("near")), lambda x: F.struct(first.alias("u"), x.alias("v"))))
+    return edges.select(F.inline(both)).distinct()
 
 
 def _in_parts(rest: DataFrame, least: float) -> DataFrame:
@@ -321,7 +334,7 @@ def likely_ties(sets: DataFrame, threshold: float = THRESHOLD, recall: float = R
         met = written(met, f"buckets-{level}")
         big = met.filter(F.col("size") > leaf)
         led = written(_with_leaders(big, threshold), f"led-{level}")
-        for f in (_brute(met.filter(F.col("size") <= leaf), least), _leader_ties(led, least, LEADERS)):
+        for f in (_brute(met.filter(F.col("size") <= leaf), least), _leader_ties(led, least, threshold, LEADERS)):
             edges = f if edges is None else edges.unionByName(f)
         # A set close to a leader leaves: the leader's ties hold all that may be close to the set.
         rest = led.filter(~F.col("done"))
@@ -415,7 +428,9 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     its component of ties, ``n_links`` the number of other documents it ties with, ``set_id`` the
     least id among the documents with its very set of shingles."""
     spark = docs.sparkSession
-    sets = written(shingle_sets(docs, id_col, text_col, n).dropDuplicates(["id"]), "sets")
+    # of an id's several texts with shingles, that with the least hash is judged
+    sets = shingle_sets(docs, id_col, text_col, n).groupBy("id").agg(F.min_by(F.struct("k1", "k2", "n_grams", "sketch"), F.struct("hash", "k1")).alias("s"))
+    sets = written(sets.select("id", "s.*"), "sets")
     classes = written(sets.groupBy("k1", "k2").agg(F.min("id").alias("set_id"), F.count(F.lit(1)).alias("weight")), "classes")
     leaders = sets.join(classes.select(F.col("set_id").alias("id"), "weight"), "id").select("id", "k1", "n_grams", "sketch", "weight")
     leaders = written(leaders, "leaders")
