@@ -36,6 +36,9 @@ def main(argv: list[str] | None = None) -> int:
     land.add_argument("--fixed-name", action="store_true", help="write food.parquet instead of a dated key")
     args = ap.parse_args(argv)
 
+    from pyspark.sql import SparkSession
+
+    own = SparkSession.getActiveSession() is None
     spark = get_session("larder")
     if args.cmd == "run":
         contract = RAW_CONTRACT
@@ -45,7 +48,8 @@ def main(argv: list[str] | None = None) -> int:
         res = run_pipeline(read_raw(spark, args.raw), VARIANTS[args.variant], out=args.out, audit_path=args.audit, source_file=args.raw,
                            silver=args.silver, raw_path=args.raw, contract=None if args.no_contract else contract)
         failed = res["quality_report"].filter("NOT passed").count()
-        remove_work(spark)  # everything that stays is written
+        if own:
+            remove_work(spark)  # everything that stays is written
         print(json.dumps({"out": args.out, "variant": args.variant, "failed_checks": failed}))
     else:
         path, landed = land_checked(read_raw(spark, args.source, schema=None), args.base, dated=not args.fixed_name)
