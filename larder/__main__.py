@@ -29,6 +29,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--audit", default=None, help="audit table folder (appended)")
     run.add_argument("--silver", default=None, help="also write the six staging tables to this folder")
     run.add_argument("--contract", default=None, help="JSON file {column: type} the raw files must keep; default: the columns a run needs")
+    run.add_argument("--buckets", type=int, default=None, help="keep the fact and the product dimension as catalog tables in so many buckets by product")
     run.add_argument("--no-contract", action="store_true", help="do not check the raw files")
     land = sub.add_parser("land", help="copy a raw dump to food/food_YYYYMMDD.parquet and check it")
     land.add_argument("--source", required=True)
@@ -46,7 +47,8 @@ def main(argv: list[str] | None = None) -> int:
             with open(args.contract) as f:
                 contract = json.load(f)
         res = run_pipeline(read_raw(spark, args.raw), VARIANTS[args.variant], out=args.out, audit_path=args.audit, source_file=args.raw,
-                           silver=args.silver, raw_path=args.raw, contract=None if args.no_contract else contract)
+                           silver=args.silver, raw_path=args.raw, contract=None if args.no_contract else contract,
+                           buckets=args.buckets)
         failed = res["quality_report"].filter("NOT passed").count()
         if own:
             remove_work(spark)  # everything that stays is written

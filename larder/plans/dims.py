@@ -79,8 +79,9 @@ def dim_product(food: DataFrame, v: Variant) -> DataFrame:
 
 # ---- brand (T8) ----------------------------------------------------------------------------
 
-def dim_brand(food: DataFrame, v: Variant) -> DataFrame:
-    stg = S.stg_brands(food, v)
+def dim_brand(food: DataFrame, v: Variant, staged: DataFrame | None = None) -> DataFrame:
+    """``staged``, here and below: the written staging rows, if at hand (saves a scan of the raw)."""
+    stg = S.stg_brands(food, v) if staged is None else staged
     if v.brand_key == "tag":
         d = collapse_max(stg.filter(F.col("brand_tag").isNotNull()), "brand_tag", ["brand_name"])
         return surrogate_key(d, ["brand_tag"], "brand_sk").select(
@@ -93,9 +94,9 @@ def dim_brand(food: DataFrame, v: Variant) -> DataFrame:
 
 # ---- category (T9) -------------------------------------------------------------------------
 
-def dim_category(food: DataFrame, v: Variant) -> DataFrame:
+def dim_category(food: DataFrame, v: Variant, staged: DataFrame | None = None) -> DataFrame:
     label = S.category_label_col(v)
-    stg = S.stg_categories(food, v)
+    stg = S.stg_categories(food, v) if staged is None else staged
     keep = nonempty("category_tag") if v.category_drop_empty else F.col("category_tag").isNotNull()
     d = collapse_max(stg.filter(keep), "category_tag", [label])
     return surrogate_key(d, ["category_tag"], "category_sk").select(
@@ -126,8 +127,8 @@ def dim_date_columns(v: Variant) -> list[str]:
     return ["date_sk", v.date_col, "year", "quarter", "month", "day_of_week", "is_weekend"]
 
 
-def dim_date(food: DataFrame, v: Variant) -> DataFrame:
-    dates = S.stg_date(food, v).select(v.date_col).filter(F.col(v.date_col).isNotNull()).distinct()
+def dim_date(food: DataFrame, v: Variant, staged: DataFrame | None = None) -> DataFrame:
+    dates = (S.stg_date(food, v) if staged is None else staged).select(v.date_col).filter(F.col(v.date_col).isNotNull()).distinct()
     d = F.col(v.date_col)
     attrs = dates.select(*S.date_attr_exprs(v, d))
     if v.date_key == "smart":

@@ -47,59 +47,61 @@ def silver_tables(food: DataFrame, v: Variant) -> dict[str, DataFrame]:
             "stg_date": S.stg_date(food, v), "stg_nutrition": S.stg_nutrition(food, v, collapse=v.nutrition == "latest")}
 
 
-def build_gold(food: DataFrame, v: Variant, out: str, parallel: int = 5, silver: str | None = None) -> Gold:
+def build_gold(food: DataFrame, v: Variant, out: str, parallel: int = 5, silver: str | None = None, buckets: int | None = None,
+               prefix: str = "gold") -> Gold:
     """Build and write the five dimensions and the fact under ``out``.
 
-    Four dimensions and the country staging rows do not depend on each other: their
-    jobs are submitted concurrently (``parallel`` driver threads, one Spark job stream
+    Tables that do not depend on each other are submitted concurrently (``parallel`` driver threads, one Spark job stream
     each) so fixed per-job costs overlap and idle executor slots are used. The
     country rows are written once and feed both dim_country and the fact. With
-    ``silver`` (a folder) the six staging tables are written there as well.
+    ``silver`` (a folder) the six staging tables are written there first, and the brand, category and date dimensions are
+    built from them instead of the raw rows. With ``buckets`` the product dimension and the fact are catalog tables
+    (``prefix_variant_name``) dealt alike into that many buckets by product key.
     """
     spark = food.sparkSession
     rows: dict[str, int] = {}
     t: dict[str, DataFrame] = {}
-    # Intermediate tables stay out of the gold folder. Country rows feed both dim_country and the
-    # fact: written once, read twice.
+    # Intermediate tables stay out of the gold folder.
     aside = work_dir(spark, "gold-aside", uuid.uuid4().hex[:12])
-    countries_path = f"{silver}/stg_countries" if silver else f"{aside}/stg_countries"
-    builders = {
-        "dim_product_wide": lambda: DM.dim_product_wide(food, v),
-        "dim_brand": lambda: DM.dim_brand(food, v),
-        "dim_category": lambda: DM.dim_category(food, v),
-        "dim_date": lambda: DM.dim_date(food, v),
-        "stg_countries": lambda: S.stg_countries(food, v),
-    }
-    if silver:
-        for name, df in silver_tables(food, v).items():
-            builders.setdefault(name, (lambda df=df: df))
 
     def path_of(name: str) -> str:
-        if name == "stg_countries":
-            return countries_path
-        if name == "dim_product_wide":
-            return f"{aside}/{name}"
-        return f"{silver if name.startswith('stg_') else out}/{name}"
-
-    def build(name: str) -> tuple[str, DataFrame]:
-        return name, _persist(spark, builders[name](), path_of(name), rows, name)
-
-    if parallel > 1:
-        with ThreadPoolExecutor(max_workers=parallel, thread_name_prefix="gold") as pool:
-            done = list(pool.map(build, builders))
+        if name.startswith("stg_"):
+            return f"{silver or aside}/{name}"
+        return f"{aside if name == 'dim_product_wide' else out}/{name}"
+
+    def write(builders: dict) -> None:
+        def build(name: str) -> tuple[str, DataFrame]:
+            return name, _persist(spark, builders[name](), path_of(name), rows, name)
+
+        if parallel > 1:
+            with ThreadPoolExecutor(max_workers=parallel, thread_name_prefix="gold") as pool:
+                t.update(dict(pool.map(build, builders)))
+        else:
+            t.update(dict(map(build, builders)))
+
+    def keyed_by_product(df: DataFrame, name: str) -> DataFrame:
+        if buckets is None:
+            return _persist(spark, df, f"{out}/{name}", rows, name)
+        table = write_bucketed(df, f"{prefix}_{v.name}_{name}", f"{out}/{name}", "product_sk", buckets)
+        rows[name] = table.count()
+        return table
+
+    wide = {"dim_product_wide": lambda: DM.dim_product_wide(food, v)}
+    if silver:
+        write({**wide, **{n: (lambda df=df: df) for n, df in silver_tables(food, v).items()}})
+        write({"dim_brand": lambda: DM.dim_brand(food, v, t["stg_brands"]), "dim_category": lambda: DM.dim_category(food, v, t["stg_categories"]),
+               "dim_date": lambda: DM.dim_date(food, v, t["stg_date"]), "dim_country": lambda: DM.dim_country(food, v, t["stg_countries"])})
+        countries = t["stg_countries"]
     else:
-        done = [build(n) for n in builders]
-    t.update(dict(done))
-    countries = t["stg_countries"] if silver else t.pop("stg_countries")
-    t["dim_country"] = _persist(spark, DM.dim_country(food, v, countries), f"{out}/dim_country", rows,
-                                "dim_country")
-    wide = t.pop("dim_product_wide")
-    t["product_wide"] = wide
-    t["dim_product"] = _persist(spark, wide.select(*DM.dim_product_columns(v)), f"{out}/dim_product", rows, "dim_product")
-    dims = {"product_wide": wide, "brand": t["dim_brand"], "category": t["dim_category"],
+        write({**wide, "dim_brand": lambda: DM.dim_brand(food, v), "dim_category": lambda: DM.dim_category(food, v),
+               "dim_date": lambda: DM.dim_date(food, v), "stg_countries": lambda: S.stg_countries(food, v)})
+        countries = t.pop("stg_countries")
+        write({"dim_country": lambda: DM.dim_country(food, v, countries)})
+    t["product_wide"] = t.pop("dim_product_wide")
+    t["dim_product"] = keyed_by_product(t["product_wide"].select(*DM.dim_product_columns(v)), "dim_product")
+    dims = {"product_wide": t["product_wide"], "brand": t["dim_brand"], "category": t["dim_category"],
             "country": t["dim_country"], "date": t["dim_date"]}
-    t["fact_nutrition"] = _persist(spark, fact_nutrition(food, v, dims, countries=countries),
-                                   f"{out}/fact_nutrition", rows, "fact_nutrition")
+    t["fact_nutrition"] = keyed_by_product(fact_nutrition(food, v, dims, countries=countries), "fact_nutrition")
     return Gold(v, t, rows)
 
 
@@ -157,19 +159,20 @@ def quality_report(g: Gold, unique_mode: str = "values") -> DataFrame:
 
 def run_pipeline(raw: DataFrame, v: Variant, out: str | None = None, audit_path: str | None = None,
                  source_file: str = "food", parallel: int = 6, silver: str | None = None,
-                 raw_path: str | None = None, contract: dict[str, str] | None = None) -> dict[str, DataFrame]:
+                 raw_path: str | None = None, contract: dict[str, str] | None = None, buckets: int | None = None,
+                 prefix: str = "gold") -> dict[str, DataFrame]:
     """Whole run. Returns gold tables, KPI tables and the quality report (all written
     under ``out``, dim_product among them); ``contract`` is held against the schema in the files at
     ``raw_path`` first; appends one audit row whose status is FAILED when a check fails
     (a soft failure: the run still completes). The KPI tables and the report are
-    independent and are written concurrently."""
+    independent and are written concurrently. ``buckets``, ``prefix``: see :func:`build_gold`."""
     spark = raw.sparkSession
     if raw_path and contract:
         broken = check_contract(spark, raw_path, contract)
         if broken:
             raise ValueError(f"{raw_path} breaks its schema contract: {broken}")
     out = out or work_dir(spark, "gold", v.name, uuid.uuid4().hex[:12])
-    g = build_gold(raw, v, out, parallel=parallel, silver=silver)
+    g = build_gold(raw, v, out, parallel=parallel, silver=silver, buckets=buckets, prefix=prefix)
     result = {k: v_ for k, v_ in g.tables.items() if k != "product_wide"}
     finals = {**kpis(g), "quality_report": quality_report(g)}
 

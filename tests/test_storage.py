@@ -177,6 +177,20 @@ def test_bucketed_tables_join_and_group_without_exchange(spark, base):
             spark.sql(f"DROP TABLE IF EXISTS larder_test_a_{t}")
 
 
+def test_run_with_buckets_and_silver_gives_the_same_tables(spark, base):
+    food = load_food(spark, SF)
+    plain = W.run_pipeline(food, VARIANT_A, out=f"{base}/plain")
+    made = W.run_pipeline(food, VARIANT_A, out=f"{base}/made", silver=f"{base}/silver", buckets=3, prefix="larder_run")
+    try:
+        for name, df in plain.items():
+            assert sorted(map(str, made[name].collect())) == sorted(map(str, df.collect())), name
+        assert "larder_run_a_fact_nutrition" in [t.name for t in spark.catalog.listTables()]
+        assert "stg_brands" in plan(W.DM.dim_brand(food, VARIANT_A, spark.read.parquet(f"{base}/silver/stg_brands")))
+    finally:
+        for t in ("fact_nutrition", "dim_product"):
+            spark.sql(f"DROP TABLE IF EXISTS larder_run_a_{t}")
+
+
 def test_audit_table_with_a_quote_in_its_path(spark, base):
     from larder.sources import audit as AU
     AU.log_run(spark, f"{base}/it's", "food", "gold/", 10)
