@@ -4,7 +4,7 @@ quality rules -> line dedup -> n-gram Jaccard join -> benchmark decontamination
 
 Every stage function takes (spark, docs, sf_dir) and returns a DataFrame; all but the last keep the
 columns of ``documents``. Rows with a null id cannot be told apart and pass the stage that keeps one
-document per class. A repeated id is kept once there.
+document per class. A repeated id is kept once there, with the text that is judged. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm import bpe, decontaminate, jaccard_join, line_dedup, quality
-from larder.llm.common import table, written
+from larder.llm.common import free_name, table, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,9 +30,14 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each class of near copies."""
     classes = jaccard_join.jaccard_classes(docs)
-    keep = classes.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("_keep"))
-    kept = docs.join(keep, F.col("doc_id") == F.col("_keep")).drop("_keep").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)
+    own, text, first = (free_name(docs.columns, n) for n in ("_kept_id", "_text_hash", "_first_hash"))
+    keep = classes.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias(own))
+    # of a repeated id's texts the one that is judged stays: the least hash, wordless texts last
+    rank = F.struct(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)), F.xxhash64("text"))
+    rows = docs.withColumn(text, rank)
+    firsts = rows.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias(own)).agg(F.min(text).alias(first)).join(keep, own)
+    kept = rows.join(firsts, (F.col("doc_id") == F.col(own)) & (F.col(text) == F.col(first))).select(*docs.columns).dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
