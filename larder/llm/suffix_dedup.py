@@ -356,31 +356,39 @@ def _refined(opened: DataFrame) -> DataFrame:
 
 # ---- stage 3: cutting -------------------------------------------------------------------------
 
-def _tag(text: Column) -> Column:
-    """Tells texts with the same id apart."""
-    return F.xxhash64(text).bitwiseAND(F.lit(_TAG))
+def _tag(text: Column, needed: bool) -> Column:
+    """Tells texts with the same id apart; 0, which takes no room in a row, where no id has several texts."""
+    return F.xxhash64(text).bitwiseAND(F.lit(_TAG)) if needed else F.lit(0).cast("bigint")
 
 
-def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, tag, begin, end): covered byte ranges; they may touch or overlap. Ids must be integers."""
+def _ids_repeat(docs: DataFrame, id_col: str, text_col: str) -> bool:
+    """Whether an id stands beside several texts: one narrow aggregation (a hash per id)."""
+    hashes = docs.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min(F.xxhash64(text_col)).alias("a"), F.max(F.xxhash64(text_col)).alias("b"))
+    return not hashes.filter("a <> b").isEmpty()
+
+
+def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tagged: bool = True) -> DataFrame:
+    """(doc, tag, begin, end): covered byte ranges; they may touch or overlap. Ids must be integers. ``tagged`` may be
+    False if no id stands beside several texts."""
     texts = docs.filter(F.col(id_col).isNotNull() & (F.octet_length(text_col) >= LENGTH)).select(
-        F.col(id_col).cast("bigint").alias("doc"), _tag(F.col(text_col)).alias("tag"), F.col(text_col).alias("text"))
-    found = written(_sorted_out(_sent(texts)), "stretches")
+        F.col(id_col).cast("bigint").alias("doc"), _tag(F.col(text_col), tagged).alias("tag"), F.col(text_col).alias("text"))
+    found = written(_sorted_out(_sent(texts)), "stretches", "zstd")
     place = F.col("place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
     tag = F.shiftright("place", _PLACE_BITS).alias("tag")
     whole = found.filter("n < 0").select("doc", tag, place.alias("begin"), (place - F.col("n")).alias("end"))
     unresolved = found.filter("n > 0").select("anchor", "doc", tag, place.alias("begin"), "n")
     sizes = unresolved.groupBy("anchor").agg((F.count(F.lit(1)) > HOT).alias("hot"))
     unresolved = unresolved.join(sizes, "anchor")
-    parts = written(_refined(_with_bytes(unresolved, texts)), "refined")
+    parts = written(_refined(_with_bytes(unresolved, texts)), "refined", "zstd")
     return whole.unionByName(parts)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: id, n_bytes, n_removed, n_spans, kept (binary), kept_sha256."""
-    ranges = repeated_ranges(docs, id_col, text_col)
+    tagged = _ids_repeat(docs, id_col, text_col)
+    ranges = repeated_ranges(docs, id_col, text_col, tagged)
     per_doc = ranges.groupBy("doc", "tag").agg(F.collect_list(F.struct("begin", "end")).alias("_cut"))
-    rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"), _tag(F.col(text_col)).alias("_tag"))
+    rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"), _tag(F.col(text_col), tagged).alias("_tag"))
     joined = rows.join(per_doc, (F.col(id_col).cast("bigint") == F.col("doc")) & (F.col("_tag") == F.col("tag")), "left").select(
         id_col, "_text", "_cut")
     kind = docs.schema[id_col].dataType.simpleString()
