@@ -289,39 +289,22 @@ def unpack(data: np.ndarray, bits: np.ndarray, sizes: np.ndarray, table: tuple[n
 
 # ---- files ------------------------------------------------------------------------------------
 
-def _packed(tokenised: DataFrame, lengths: bytes) -> DataFrame:
-    """(id, n_ids, payload, marks) of every document."""
-    df = tokenised.filter(F.col("ids").isNotNull()).select("id", "ids")
-    kind = df.schema["id"].dataType.simpleString()
-    shared = df.sparkSession.sparkContext.broadcast(lengths)
-
-    def run(batches):
-        sizes = np.frombuffer(shared.value, np.uint8)
-        codes = canonical_codes(sizes)
-        width = "<u2" if len(sizes) <= 65536 else "<u4"
-        for whole in batches:
-            for k in range(0, whole.num_rows, TEXTS_AT_ONCE):
-                batch = whole.slice(k, TEXTS_AT_ONCE)
-                parts = [np.frombuffer(x, width) for x in batch.column("ids").to_pylist()]
-                offsets = np.cumsum([0, *map(len, parts)])
-                payload, first, marks = pack(np.concatenate(parts).astype(np.int64), offsets, sizes, codes)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), pa.array(np.diff(offsets)), pa.array([payload[a:b] for a, b in zip(first, first[1:])], pa.binary()),
-                     pa.array([m.tobytes() for m in marks], pa.binary())], names=["id", "n_ids", "payload", "marks"])
-
-    return df.mapInArrow(run, f"id {kind}, n_ids long, payload binary, marks binary")
-
-
 _DOC = np.dtype([("null", "u1"), ("id", "<i8"), ("n_ids", "<i8"), ("n_bytes", "<i8")])
 
 
-def _blocks(packed: DataFrame, block_ids: int) -> DataFrame:
-    """Sorted documents gathered into blocks."""
+def _blocks(tokenised: DataFrame, lengths: bytes, block_ids: int) -> DataFrame:
+    """Documents in order of their ids (then of their number of ids, then of the ids), packed and gathered into blocks. The ids
+    are dealt out before they are packed: Spark's sample of the range keys then reads a table and runs no packing."""
     from pyspark import TaskContext
 
-    placed = packed.repartitionByRange("id").sortWithinPartitions("id", "n_ids", "payload")
+    df = tokenised.filter(F.col("ids").isNotNull()).select("id", "ids")
+    placed = df.repartitionByRange("id").sortWithinPartitions("id", F.octet_length("ids"), "ids")
+    shared = df.sparkSession.sparkContext.broadcast(lengths)
 
     def run(batches):
+        sizes = np.frombuffer(shared.value, np.uint8)
+        codes = canonical_codes(sizes)
+        width = "<u2" if len(sizes) <= 65536 else "<u4"
         part, block, before = TaskContext.get().partitionId(), 0, 0
         docs, payloads, marks, n = [], [], [], 0
 
@@ -331,16 +314,21 @@ def _blocks(packed: DataFrame, block_ids: int) -> DataFrame:
                 "part": pa.array([part], pa.int32()), "block": pa.array([block], pa.int32()), "before": pa.array([before], pa.int64()),
                 "n_ids": pa.array([n], pa.int64()), "data": pa.array([data], pa.binary())})
 
-        for batch in batches:
-            for i, k, p, m in zip(*(batch.column(c).to_pylist() for c in ("id", "n_ids", "payload", "marks"))):
-                docs.append((i is None, i or 0, k, len(p)))
-                payloads.append(p)
-                marks.append(m)
-                n += k
-                if n >= block_ids:
-                    yield row()
-                    before, block = before + n, block + 1
-                    docs, payloads, marks, n = [], [], [], 0
+        for whole in batches:
+            for k in range(0, whole.num_rows, TEXTS_AT_ONCE):
+                batch = whole.slice(k, TEXTS_AT_ONCE)
+                parts = [np.frombuffer(x, width) for x in batch.column("ids").to_pylist()]
+                offsets = np.cumsum([0, *map(len, parts)])
+                payload, first, bits = pack(np.concatenate(parts).astype(np.int64), offsets, sizes, codes)
+                for i, m, a, b, at in zip(batch.column("id").to_pylist(), np.diff(offsets).tolist(), first.tolist(), first[1:].tolist(), bits):
+                    docs.append((i is None, i or 0, m, b - a))
+                    payloads.append(payload[a:b])
+                    marks.append(at.tobytes())
+                    n += m
+                    if n >= block_ids:
+                        yield row()
+                        before, block = before + n, block + 1
+                        docs, payloads, marks, n = [], [], [], 0
         if docs:
             yield row()
 
@@ -359,7 +347,7 @@ def write_token_files(docs: DataFrame, out: str, id_col: str = "doc_id", text_co
     flat[list(counts)] = list(counts.values())
     lengths = code_lengths(flat).tobytes()
     spark.createDataFrame([(bytearray(lengths),)], "lengths binary").write.parquet(f"{out}/codes")
-    _blocks(_packed(tokenised, lengths), block_ids).write.option("compression", "uncompressed").parquet(f"{out}/blocks")
+    _blocks(tokenised, lengths, block_ids).write.option("compression", "uncompressed").parquet(f"{out}/blocks")
     remove(spark, raw)
 
 
