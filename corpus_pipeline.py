@@ -30,13 +30,12 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each class of near copies."""
     classes = jaccard_join.jaccard_classes(docs)
-    own, text, first = (free_name(docs.columns, n) for n in ("_kept_id", "_text_hash", "_first_hash"))
+    own, row = (free_name(docs.columns, n) for n in ("_kept_id", "_kept_row"))
     keep = classes.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias(own))
-    # of a repeated id's texts the one that is judged stays: the least hash, wordless texts last
-    rank = F.struct(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)), F.xxhash64("text"))
-    rows = docs.withColumn(text, rank)
-    firsts = rows.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias(own)).agg(F.min(text).alias(first)).join(keep, own)
-    kept = rows.join(firsts, (F.col("doc_id") == F.col(own)) & (F.col(text) == F.col(first))).select(*docs.columns).dropDuplicates(["doc_id"])
+    # of a repeated id's texts the one that is judged stays: the least hash, wordless texts last; join and grouping share one shuffle
+    judged = F.struct(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)), F.xxhash64("text"))
+    kept = docs.join(keep, F.col("doc_id") == F.col(own), "left_semi")
+    kept = kept.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), judged).alias(row)).select(F.col(f"{row}.*"))
     return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
