@@ -63,8 +63,8 @@ def main() -> None:
            "written by the gold build, whose own steps are listed first). A single-partition step "
            "appears only where its input is bounded: the final merge of a global aggregate (one "
            "partial row per task) or the surrogate-key offsets (one row per range partition). "
-           "Join strategies are Spark's choice at this scale factor; dimension broadcasts pass "
-           "the size check, larger sides become sort-merge joins.", "",
+           "Join strategies are Spark's choice at this scale factor: what is small by its measured size is "
+           "broadcast, larger sides become sort-merge joins.", "",
            "| query | " + " | ".join(cols) + " |", "|---|" + "---|" * len(cols)]
     for name, s in rows:
         out.append(f"| {name} | " + " | ".join(str(s[c]) for c in cols) + " |")
