@@ -1,8 +1,9 @@
 """Data-quality checks and their report (Q1-Q7).
 
-All checks of a table take ONE scan and one grouping. Each row gives one entry per distinct unique key (a composite key
-is one key, however many checks name it), tagged with the key's number; the entries are grouped by (tag, key), combined map-side,
-and the first entry of a row also carries its row-level violations, which are summed along the way. The report is a
+All checks of a table take ONE scan and one grouping, with a grouping set for each distinct unique key (a composite key
+is one key, however many checks name it) on its own typed columns, combined map-side. The row-level checks of a row are the
+bits of one number and that number is one more grouping set, of few groups, so that a key's group carries nothing but its
+count. The report is a
 small DataFrame ``(table_name, check_name, column_name, violations, passed)``.
 """
 
@@ -16,8 +17,8 @@ from pyspark.sql import functions as F
 
 from larder.functions.predicates import not_in_nonnull, out_of_range
 
-# Key text keeps NULLs and whole microseconds.
-KEY_TEXT = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+#: Row-level checks whose outcomes one number holds.
+MASK_BITS = 62
 
 REPORT_COLUMNS = ["table_name", "check_name", "column_name", "violations", "passed"]
 
@@ -94,36 +95,45 @@ def run_checks(df: DataFrame, checks: Sequence[Check], table: str = "") -> DataF
         raise ValueError("no checks")
     by_row = [c for c in checks if c.kind != "unique"]
     keys = _keys(checks)
-    bad = [F.coalesce(c.violation(), F.lit(False)).cast("bigint").alias(f"_v{i}") for i, c in enumerate(by_row)]
-    if not keys:
-        counts = df.select(*bad).agg(*[F.sum(f"_v{i}").alias(f"_v{i}") for i in range(len(bad))])
-    else:
-        entries = []
-        for tag, (cols, where) in enumerate(keys):
-            # text in which values of any type, NULLs and the places of the parts stay apart
-            text = F.to_json(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)]), KEY_TEXT)
-            whole = F.lit(True)
-            for c in cols:
-                whole = whole & F.col(c).isNotNull()
-            entry = F.struct(F.lit(tag).alias("tag"), text.alias("key"), whole.alias("whole"))
-            entries.append(F.when(F.expr(where), entry) if where else entry)
-        # entry 0 also stands for the row itself, whether its key is restricted or not
-        first = F.struct(F.lit(-1).alias("tag"), F.lit("").alias("key"), F.lit(False).alias("whole"))
-        listed = F.filter(F.array(*([first] if any(w for _, w in keys) or not entries else []), *entries), lambda e: e.isNotNull())
-        rows = df.select(listed.alias("_entries"), *bad).select(F.posexplode("_entries").alias("_at", "_e"), *[f"_v{i}" for i in range(len(bad))])
-        rows = rows.select("_e.*", *[F.when(F.col("_at") == 0, F.col(f"_v{i}")).otherwise(0).alias(f"_v{i}") for i in range(len(bad))])
-        groups = rows.groupBy("tag", "key").agg(F.count(F.lit(1)).alias("_n"), F.first("whole").alias("whole"),
-                                                *[F.sum(f"_v{i}").alias(f"_v{i}") for i in range(len(bad))])
-        per_key = []
-        for tag in range(len(keys)):
-            mine = F.col("tag") == tag
-            per_key += [F.count_if(mine & F.col("whole") & (F.col("_n") > 1)).alias(f"_values{tag}"), F.sum(F.when(mine, F.col("_n") - 1)).alias(f"_rows{tag}")]
-        counts = groups.agg(*[F.sum(f"_v{i}").alias(f"_v{i}") for i in range(len(bad))], *per_key)
-    found = {id(c): F.col(f"_v{i}") for i, c in enumerate(by_row)}
+    names = list(dict.fromkeys(c for cols, _ in keys for c in cols))
+    at = {c: f"_k{i}" for i, c in enumerate(names)}
+    slots = [tuple(n for n in at.values() if n in {at[c] for c in cols}) for cols, _ in keys]
+    sets = list(dict.fromkeys(slots))  # the columns' order does not matter
+    wheres = list(dict.fromkeys(w for _, w in keys if w))
+    masks = []
+    for lo in range(0, len(by_row), MASK_BITS):
+        mask = F.lit(0).cast("bigint")
+        for i, c in enumerate(by_row[lo:lo + MASK_BITS]):
+            mask = mask.bitwiseOR(F.when(F.coalesce(c.violation(), F.lit(False)), F.lit(1 << i).cast("bigint")).otherwise(0))
+        masks.append(mask.alias(f"_m{len(masks)}"))
+    marks = [f"_m{i}" for i in range(len(masks))]
+    rows = df.select(*[F.col(c).alias(at[c]) for c in names], *masks, *[F.expr(w).alias(f"_w{i}") for i, w in enumerate(wheres)])
+    grouped = [*sets, *([tuple(marks)] if marks else [])]
+    by = list(dict.fromkeys(c for s in grouped for c in s))
+    groups = rows.groupingSets([[F.col(c) for c in s] for s in grouped], *by).agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n"), *[F.count_if(f"_w{i}").alias(f"_n{i}") for i in range(len(wheres))])
+
+    def of(s: tuple[str, ...]) -> Column:
+        # the grouping id has a bit, the first column's highest, for each column that is not in the set
+        return F.col("_set") == sum(1 << (len(by) - 1 - i) for i, c in enumerate(by) if c not in s)
+
+    found, totals = {}, []
+    for tag, (_, where) in enumerate(keys):
+        key = slots[tag]
+        n = F.col(f"_n{wheres.index(where)}" if where else "_n")
+        whole = of(key) & (n > 1)
+        totals.append(F.sum(F.when(whole, n - 1)).alias(f"_rows{tag}"))
+        for c in key:
+            whole = whole & F.col(c).isNotNull()
+        totals.append(F.count_if(whole).alias(f"_values{tag}"))
+    for i, c in enumerate(by_row):
+        hit = of(tuple(marks)) & (F.col(marks[i // MASK_BITS]).bitwiseAND(F.lit(1 << i % MASK_BITS).cast("bigint")) != 0)
+        totals.append(F.sum(F.when(hit, F.col("_n"))).alias(f"_v{i}"))
+        found[id(c)] = F.col(f"_v{i}")
     for c in (c for c in checks if c.kind == "unique"):
         tag = keys.index((tuple(k.strip() for k in c.column.split(",")), c.where))
         found[id(c)] = F.col(f"_{'values' if c.mode == 'values' else 'rows'}{tag}")
-    report = counts.select(F.inline(F.array(*[_row(table, c, found[id(c)]) for c in checks])))
+    report = groups.agg(*totals).select(F.inline(F.array(*[_row(table, c, found[id(c)]) for c in checks])))
     return report.withColumn("passed", F.col("violations") == 0)
 
 
