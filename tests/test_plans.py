@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from larder.config import VARIANT_A, VARIANT_B
 from larder.plans import dims as DM
@@ -67,3 +68,17 @@ def test_small_dimensions_are_broadcast_by_the_optimiser(spark, tmpdir_session):
     # their written size decides, no hint does
     k2 = plan(W.kpis(g)["kpi_mean_score"])
     assert k2.count("BroadcastHashJoin") >= 4
+
+
+def test_run_status_runs_the_checks_once(spark, monkeypatch):
+    from larder import catalog
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(n):
+        runs.add(1)
+        return n
+
+    rows = F.udf(seen, "long")
+    monkeypatch.setattr(catalog, "dq_report", lambda spark, sf: spark.range(3).select(rows("id").alias("violations")).withColumn("passed", F.col("violations") < 2))
+    assert [tuple(r) for r in catalog.run_status(spark, SF).collect()] == [(1, "FAILED")]
+    assert runs.value == 3
