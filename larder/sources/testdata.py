@@ -20,10 +20,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.functions.dates import ntz_to_seconds
+from larder.operators.keys import small_surrogate_key
 
 # Part type -> nutrition grade; any other type is 'unknown'.
 GRADE_OF_TYPE = [("ECONOMY", "a"), ("SMALL", "b"), ("MEDIUM", "c"), ("STANDARD", "d"), ("LARGE", "e")]
 
+#: Nations whose bits one number holds.
+WORD = 62
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -32,21 +36,32 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def part_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per part: sorted distinct country tags of its suppliers, last ship time (seconds).
 
-    Lines are reduced to one row per (part, nation) on integer keys first
-    (map-side combined); the tags are attached to that small result and
-    gathered per part (at most one entry per nation).
+    Lines are reduced to one row per part on integer keys (map-side combined): the nations met are bits, of as many
+    numbers as the nation table needs. The tags are read off the bits from the sorted list of all nations, which is
+    one row.
     """
     nation = _table(spark, sf_dir, "nation").select(
         "n_nationkey", F.concat(F.lit("en:"), F.lower(F.replace(F.col("n_name"), F.lit("_"), F.lit("-"))))
         .alias("tag"))
+    known = nation.select("n_nationkey").filter(F.col("n_nationkey").isNotNull()).distinct()
+    words = max(1, -(-known.count() // WORD))
+    i = F.col("_i") - 1
+    placed = small_surrogate_key(known, ["n_nationkey"], "_i").select("n_nationkey", F.floor(i / WORD).cast("int").alias("word"), F.expr(f"shiftleft(1L, CAST((_i - 1) % {WORD} AS INT))").alias("bit"))
     supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     lineitem = _table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_shipdate")
-    per_nation = (lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey)
-                  .groupBy("l_partkey", "s_nationkey").agg(F.max("l_shipdate").alias("_ship")))
-    tagged = per_nation.join(nation, per_nation.s_nationkey == nation.n_nationkey)
-    return (tagged.groupBy("l_partkey")
-            .agg(F.sort_array(F.collect_list("tag")).alias("tags"), F.max("_ship").alias("_ship"))
-            .select("l_partkey", "tags", ntz_to_seconds("_ship").alias("t")))
+    lines = lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey).join(placed, F.col("s_nationkey") == F.col("n_nationkey"))
+    met = [F.coalesce(F.bit_or(F.when(F.col("word") == w, F.col("bit"))), F.lit(0)).alias(f"_met{w}") for w in range(words)]
+    per_part = lines.groupBy("l_partkey").agg(F.max("l_shipdate").alias("_ship"), *met)
+    listed = nation.join(placed, "n_nationkey").agg(
+        F.sort_array(F.collect_list(F.when(F.col("tag").isNotNull(), F.struct("tag", "word", "bit")))).alias("_nations"))
+
+    def is_met(n):
+        mine = F.col("_met0") if words == 1 else F.get(F.array(*[F.col(f"_met{w}") for w in range(words)]), n["word"])
+        return mine.bitwiseAND(n["bit"]) != 0
+
+    tags = F.transform(F.filter("_nations", is_met), lambda n: n["tag"])
+    return (per_part.crossJoin(F.broadcast(listed))
+            .select("l_partkey", tags.alias("tags"), ntz_to_seconds("_ship").alias("t")))
 
 
 def food(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,3 +82,22 @@ def test_run_status_runs_the_checks_once(spark, monkeypatch):
     monkeypatch.setattr(catalog, "dq_report", lambda spark, sf: spark.range(3).select(rows("id").alias("violations")).withColumn("passed", F.col("violations") < 2))
     assert [tuple(r) for r in catalog.run_status(spark, SF).collect()] == [(1, "FAILED")]
     assert runs.value == 3
+
+
+def test_lines_are_reduced_to_parts_in_one_exchange(spark, tmp_path):
+    from larder.sources.testdata import part_countries
+    nations = [(n, f"N_{n:03d}" if n % 50 else None) for n in range(130)] + [(7, "N_007"), (None, "NOWHERE")]  # more than the bits of two numbers
+    supplier = [(s, s if s < 130 else None) for s in range(131)]
+    line = [(p, s, p * 1000 + s) for p in range(1, 6) for s in range(0, 131, p)] + [(9, 130, 5), (None, 1, 5)]
+    for name, rows, schema in (("nation", nations, "n_nationkey int, n_name string"), ("supplier", supplier, "s_suppkey long, s_nationkey int"), ("lineitem", line, "l_partkey long, l_suppkey long, t long")):
+        df = spark.createDataFrame(rows, schema)
+        if name == "lineitem":
+            df = df.select("l_partkey", "l_suppkey", F.timestamp_seconds("t").cast("timestamp_ntz").alias("l_shipdate"))
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = part_countries(spark, str(tmp_path))
+    assert got._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(l_partkey") == 1
+    tag = {n: f"en:n-{n:03d}" for n in range(130) if n % 50}
+    for r in got.filter("l_partkey IS NOT NULL").collect():
+        mine = [s for p, s, _ in line if p == r.l_partkey and s < 130]
+        assert r.tags == sorted([tag[s] for s in mine if s in tag] + [tag[7]] * (7 in mine)) and r.t == r.l_partkey * 1000 + max(mine)
+    assert sorted(r.l_partkey for r in got.filter("l_partkey IS NOT NULL").collect()) == [1, 2, 3, 4, 5]
