@@ -4,7 +4,7 @@ Category, brand and date keys are looked up at product grain, before the country
 the country key is looked up after it. The fact key follows (product, country) in every variant, and the
 products are numbered in that order already, so it needs no sort of the fact: key = countries of all
 earlier products + rank within the product. The first part is a running sum in two levels
-(buckets of consecutive product keys), the second a window on the join's own partitioning.
+(buckets of consecutive product keys), the second a window over the narrow country rows, whose dealing the join takes over.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from larder.session import work_dir
 
 FKS = ["product_sk", "category_sk", "brand_sk", "country_sk", "date_sk"]
 #: Products whose running sum one task computes.
-BUCKET = 1 << 17
+BUCKET = 1 << 14
 
 
 def fact_columns(v: Variant) -> list[str]:
@@ -73,8 +73,10 @@ def fact_nutrition(food: DataFrame, v: Variant, dims: dict[str, DataFrame], coun
     prod = with_offsets(spark.read.parquet(path))
     # Every country row's code is a product code (both come from raw rows with a code), so the
     # sources' two ways to join, from the countries or from the nutrition rows, keep the same rows.
+    # Ranked while narrow: the join then finds the rows dealt and sorted by product, and sorts no wide ones. The hint keeps the
+    # planner from broadcasting millions of country rows that take little room in their files.
     rank = F.row_number().over(Window.partitionBy("product_code").orderBy("country_tag"))
-    fact = countries.select("product_code", "country_tag").join(prod, "product_code").withColumn(
-        v.fact_sk, (F.col("_base") + rank).cast("bigint"))
+    fact = countries.select("product_code", "country_tag", rank.alias("_rank")).join(prod.hint("merge"), "product_code").withColumn(
+        v.fact_sk, (F.col("_base") + F.col("_rank")).cast("bigint"))
     fact = lookup(fact, dims["country"], "country_tag", ["country_sk"])
     return fact.select(*fact_columns(v))

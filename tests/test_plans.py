@@ -101,3 +101,15 @@ def test_lines_are_reduced_to_parts_in_one_exchange(spark, tmp_path):
         mine = [s for p, s, _ in line if p == r.l_partkey and s < 130]
         assert r.tags == sorted([tag[s] for s in mine if s in tag] + [tag[7]] * (7 in mine)) and r.t == r.l_partkey * 1000 + max(mine)
     assert sorted(r.l_partkey for r in got.filter("l_partkey IS NOT NULL").collect()) == [1, 2, 3, 4, 5]
+
+
+def test_country_rows_are_ranked_narrow_and_not_broadcast(spark, tmpdir_session):
+    from larder.plans.fact import fact_nutrition
+    food = load_food(spark, SF)
+    g = W.build_gold(food, VARIANT_A, f"{tmpdir_session}/rank-gold")
+    dims = {"product_wide": g["product_wide"], "brand": g["dim_brand"], "category": g["dim_category"], "country": g["dim_country"], "date": g["dim_date"]}
+    fact = fact_nutrition(food, VARIANT_A, dims, countries=S.stg_countries(food, VARIANT_A))
+    text = plan(fact)
+    assert text.index("SortMergeJoin") < text.index("row_number")  # the window lies below the join
+    columns = g["fact_nutrition"].columns
+    assert sorted(map(str, fact.select(columns).collect())) == sorted(map(str, g["fact_nutrition"].select(columns).collect()))
