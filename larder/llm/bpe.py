@@ -223,8 +223,9 @@ class Memo:
         missed = np.flatnonzero(index < 0).tolist()
         if missed:
             new = list(dict.fromkeys([keys[i] for i in missed]))
+            first = len(self.at)
             self._extend(new, *encode(new))
-            index[missed] = [self.at[keys[i]] for i in missed]
+            index[missed] = range(first, len(self.at)) if len(new) == len(missed) else [self.at[keys[i]] for i in missed]
         uses = np.bincount(index, minlength=len(self.at))
         uses[:len(self.uses)] += self.uses
         self.uses = uses

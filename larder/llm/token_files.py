@@ -22,7 +22,6 @@ come first, repeated ids stay side by side, each row its own document. Extra col
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -42,12 +41,15 @@ from larder.llm.common import chunks, remove, scratch
 
 VOCABULARY, END_ID = "byte_bpe_50k.json", 2
 MAX_BITS, MARK, BLOCK_IDS, TEXTS_AT_ONCE, JOINED = 20, 128, 1 << 18, 256, 512
+#: Text bytes encoded at once, and units remembered: a batch's distinct units are looked up once each.
+TEXT_BYTES, UNITS = 8 << 20, 600_000
 MAGIC = b"LHUF0001"
 
 # ---- tokenising -------------------------------------------------------------------------------
 
 #: White space beside a space that is not single: there the library's cut depends on what follows.
-_MIXED = re.compile(r"\s (?:\s|$)")
+_SPACE = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"  # as str.isspace
+_MIXED = f"[{_SPACE}] (?:[{_SPACE}]|$)"
 
 
 class UnitEncoder:
@@ -68,17 +70,20 @@ class UnitEncoder:
         self.n_bytes = np.zeros(self.n_ids, np.int64)  # a character of a token stands for a byte
         for token, i in self.library.get_vocab(with_added_tokens=True).items():
             self.n_bytes[i] = len(token)
-        self.memo = Memo()
+        self.memo = Memo(UNITS)
 
-    def _whole(self, text: str) -> bool:
-        return _MIXED.search(text) is not None or any(s in text for s in self.special)
+    def _whole(self, texts: pa.Array) -> np.ndarray:
+        found = pc.match_substring_regex(texts, _MIXED)
+        for s in self.special:
+            found = pc.or_(found, pc.match_substring(texts, s))
+        return found.to_numpy(zero_copy_only=False)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids and offsets, as ``bpe.Encoder.encode`` gives them. The texts are cut and their
         units numbered by Arrow; only the distinct units of the batch become Python strings."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        whole = np.array([self._whole(t) for t in texts.to_pylist()], bool)
-        cut = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
+        whole = self._whole(texts)
+        cut = pc.split_pattern(pc.if_else(pa.array(whole), "", texts) if whole.any() else texts, " ")
         first = cut.offsets.to_numpy()
         units = cut.flatten().dictionary_encode()
         # A text's first unit has no space before it: key 2 * unit, the others' 2 * unit + 1.
@@ -88,7 +93,9 @@ class UnitEncoder:
         there[key] = True
         keys = np.flatnonzero(there)
         words = units.dictionary.take(pa.array(keys >> 1)).to_numpy(zero_copy_only=False).tolist()
-        ids, to = self.memo.look_up([" " + w if k else w for w, k in zip(words, (keys & 1).tolist())], self._encode_units)
+        for i in np.flatnonzero((keys & 1) == 0).tolist():  # no unit has a space: one before it marks a text's first
+            words[i] = " " + words[i]
+        ids, to = self.memo.look_up(words, lambda new: self._encode_units([w[1:] if w[:1] == " " else " " + w for w in new]))
         to = np.concatenate([[0], to])
         index = (np.cumsum(there) - 1)[key]
         if whole.any():  # one entry each behind the units
@@ -157,7 +164,7 @@ def _tokenised(docs: DataFrame, id_col: str, text_col: str, path: str | None, en
         id_type = None
         total = np.zeros(max(encoder.n_ids, end_id + 1), np.int64)
         for whole in batches:
-            for batch in chunks(whole, "text"):
+            for batch in chunks(whole, "text", TEXT_BYTES):
                 flat, offsets = encoder.encode(batch.column("text"))
                 flat = np.insert(flat, offsets[1:], end_id).astype("<u4")
                 offsets = offsets + np.arange(len(offsets))
@@ -274,14 +281,14 @@ def unpack(data: np.ndarray, bits: np.ndarray, sizes: np.ndarray, table: tuple[n
     order = np.argsort(-sizes, kind="stable")  # lanes that end drop off the end
     at, to, left = bits[order].astype(np.int64), (np.cumsum(sizes) - sizes)[order], sizes[order]
     mask = (1 << MAX_BITS) - 1
+    # the 32 bits from each byte on, so that a step looks once
+    window = data[:-3].astype(np.uint32) << 24 | data[1:-2].astype(np.uint32) << 16 | data[2:-1].astype(np.uint32) << 8 | data[3:]
     live = len(left)
     for step in range(int(left[0]) if len(left) else 0):
         while live and left[live - 1] <= step:
             live -= 1
         p = at[:live]
-        b = p >> 3
-        word = (data[b].astype(np.int64) << 24) | (data[b + 1].astype(np.int64) << 16) | (data[b + 2].astype(np.int64) << 8) | data[b + 3]
-        look = (word >> (32 - MAX_BITS - (p & 7))) & mask
+        look = (window[p >> 3] >> (32 - MAX_BITS - (p & 7))) & mask
         out[to[:live] + step] = ids[look]
         p += lens[look]
     return out

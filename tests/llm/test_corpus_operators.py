@@ -425,3 +425,14 @@ def test_unit_encoder_equals_library():
     single = token_files.UnitEncoder(token_files.default_path())
     single.n_bytes[:] = 1  # joined texts never come apart by these lengths: every unit goes singly
     assert got(single, rows) == want
+
+
+def test_unit_encoder_remembers_bare_units_and_knows_all_white_space():
+    unit = token_files.UnitEncoder(token_files.default_path())
+    assert unit.memo.most == token_files.UNITS
+    ids, to = unit.encode(pa.array(["b a", "a b", " b"]))
+    assert {"a", "b", " a", " b"} <= set(unit.memo.at)  # a space marks a text's first unit
+    spaces = [chr(i) for i in range(0x110000) if chr(i).isspace()]
+    mixed = pa.array([f"x{c} {d}y" for c in spaces for d in spaces])
+    assert unit._whole(mixed).all() and unit._whole(pa.array([f"x{c} " for c in spaces])).all()
+    assert not unit._whole(pa.array([f"x{c}y {c}z" for c in "\u200b\u180eab"] + ["a b", " a", "a ", "x\ny", ""])).any()
